@@ -11,93 +11,140 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-LOCATION = _ddl("lat double, lon double")
-
-PLACE = _ddl("placeId string, location struct<lat:double,lon:double>, name string, address string")
-
-MESSAGE = (
-    T.StructType()
-    .add("filename", "string")
-    .add("url", "string")
-    .add("checksum", "string")
-    .add("source", PLACE)
+def struct(**kinds: str | T.DataType) -> T.StructType:
+    """A nullable struct from ``name="type"`` pairs, without a session."""
+    out = T.StructType()
+    for name, kind in kinds.items():
+        out = out.add(name, kind)
+    return out
+
+
+LOCATION = struct(lat="double", lon="double")
+
+PLACE = struct(placeId="string", location=LOCATION, name="string", address="string")
+
+MESSAGE = struct(filename="string", url="string", checksum="string", source=PLACE)
+
+OFFER = struct(
+    name="string",
+    price="float",
+    quantity="float",
+    total_quantity="float",
+    count="float",
+    uom="string",
+    category="string",
+    type="string",
+    notes="string",
+    validity_from="string",
+    validity_to="string",
+    embeddings=T.ArrayType(T.FloatType()),
 )
 
-OFFER = _ddl(
-    "name string, price float, quantity float, total_quantity float, count float, uom string,"
-    " category string, type string, notes string, validity_from string, validity_to string,"
-    " embeddings array<float>"
+CHUNK_RESULT = struct(
+    validity_from="string",
+    validity_to="string",
+    offers_count="long",
+    ai_model="string",
+    ai_input_tokens="long",
+    ai_cached_tokens="long",
+    ai_output_tokens="long",
+    ai_finish_reason="string",
+    processed_at="string",
+    processing_time_seconds="double",
+    offers_data=T.ArrayType(OFFER),
 )
 
-CHUNK_RESULT = (
-    _ddl(
-        "validity_from string, validity_to string, offers_count bigint, ai_model string,"
-        " ai_input_tokens bigint, ai_cached_tokens bigint, ai_output_tokens bigint,"
-        " ai_finish_reason string, processed_at string, processing_time_seconds double"
-    )
-    .add("offers_data", T.ArrayType(OFFER))
-)
+_COUNTERS = {
+    "offers_count": "long",
+    "ai_input_tokens": "long",
+    "ai_cached_tokens": "long",
+    "ai_output_tokens": "long",
+    "processing_time_seconds": "double",
+}
+
+_FLAT_PLACE = {
+    "place_id": "string", "lat": "double", "lon": "double", "place_name": "string", "address": "string",
+}
 
 # What the fold needs of a chunk: counters and identifiers, no offers, no vectors.
-FOLD_INPUT = _ddl(
-    "checksum string, chunk_n int, chunk_total int, url string, filename string,"
-    " place_id string, lat double, lon double, place_name string, address string,"
-    " validity_from string, validity_to string, offers_count bigint, ai_input_tokens bigint,"
-    " ai_cached_tokens bigint, ai_output_tokens bigint, processing_time_seconds double,"
-    " staged_on date"
+FOLD_INPUT = struct(
+    checksum="string",
+    chunk_n="integer",
+    chunk_total="integer",
+    url="string",
+    filename="string",
+    **_FLAT_PLACE,
+    validity_from="string",
+    validity_to="string",
+    **_COUNTERS,
+    staged_on="date",
 )
 
-FOLD_OUTPUT = _ddl(
-    "checksum string, url string, filename string, place_id string, lat double, lon double,"
-    " place_name string, address string, chunk_total int, chunks_seen int, validity_from string,"
-    " validity_to string, offers_count bigint, ai_input_tokens bigint, ai_cached_tokens bigint,"
-    " ai_output_tokens bigint, processing_time_seconds double, staged_from date, staged_to date"
+FOLD_OUTPUT = struct(
+    checksum="string",
+    url="string",
+    filename="string",
+    **_FLAT_PLACE,
+    chunk_total="integer",
+    chunks_seen="integer",
+    validity_from="string",
+    validity_to="string",
+    **_COUNTERS,
+    staged_from="date",
+    staged_to="date",
 )
 
-FLYERS = (
-    _ddl("checksum string, url string, filename string")
-    .add("sources", T.ArrayType(PLACE))
-    .add("chunk_total", "int")
-    .add("validity_from", "timestamp")
-    .add("validity_to", "timestamp")
-    .add("offers_count", "bigint")
-    .add("ai_input_tokens", "bigint")
-    .add("ai_cached_tokens", "bigint")
-    .add("ai_output_tokens", "bigint")
-    .add("processing_time_seconds", "double")
-    .add("processed_at", "timestamp")
+FLYERS = struct(
+    checksum="string",
+    url="string",
+    filename="string",
+    sources=T.ArrayType(PLACE),
+    chunk_total="integer",
+    validity_from="timestamp",
+    validity_to="timestamp",
+    **_COUNTERS,
+    processed_at="timestamp",
 )
 
-OFFERS = _ddl(
-    "flyer_checksum string, chunk_n int, offer_n int, name string, price float, quantity float,"
-    " total_quantity float, count float, uom string, category string, type string, notes string,"
-    " validity_from timestamp, validity_to timestamp, validity_from_raw string,"
-    " validity_to_raw string, embeddings array<float>"
+OFFERS = struct(
+    flyer_checksum="string",
+    chunk_n="integer",
+    offer_n="integer",
+    name="string",
+    price="float",
+    quantity="float",
+    total_quantity="float",
+    count="float",
+    uom="string",
+    category="string",
+    type="string",
+    notes="string",
+    validity_from="timestamp",
+    validity_to="timestamp",
+    validity_from_raw="string",
+    validity_to_raw="string",
+    embeddings=T.ArrayType(T.FloatType()),
 )
 
 # When and where a message came in: file time and name, or broker time and partition; then
 # its position there. Structs compare field by field, so this is the arrival order.
-ARRIVAL = _ddl("at timestamp, part string, pos bigint")
+ARRIVAL = struct(at="timestamp", part="string", pos="long")
 
 # One row per flyer ever queued.
-REGISTRY = _ddl("checksum string, url string, filename string")
+REGISTRY = struct(checksum="string", url="string", filename="string")
 
 # One row per (flyer, shop), written once, when the shop is first seen with that flyer.
-PLACES = (
-    _ddl("checksum string, place_id string").add("entry", PLACE).add("arrival", ARRIVAL)
-)
+PLACES = struct(checksum="string", place_id="string", entry=PLACE, arrival=ARRIVAL)
 
 # Chunk results on their way from extraction to the fold. A document that could not be
 # fetched has one row without a chunk number; a chunk that could not be read has ``error``.
 STAGING = T.StructType(
-    list(MESSAGE.fields)
-    + list(_ddl("fetch_status string, chunk_total int, chunk_n int").fields)
-    + list(CHUNK_RESULT.fields)
-    + list(_ddl("attempts int, error string, staged_on date").fields)
+    [
+        *MESSAGE.fields,
+        *struct(fetch_status="string", chunk_total="integer", chunk_n="integer").fields,
+        *CHUNK_RESULT.fields,
+        *struct(attempts="integer", error="string", staged_on="date").fields,
+    ]
 )
 
-INCOMPLETE = _ddl("checksum string, chunks_seen int, chunk_total int")
+INCOMPLETE = struct(checksum="string", chunks_seen="integer", chunk_total="integer")
