@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from leafmill.functions.binding import bind, group
+
 # Italian month names, January to December.
 ITALIAN_MONTHS = (
     "gennaio", "febbraio", "marzo", "aprile", "maggio", "giugno",
@@ -23,17 +25,13 @@ _DAY_FIRST = r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4})$"
 _MONTH_YEAR = r"^(\d{1,2})[/.\-](\d{4})$"
 _MONTH_NAME = r"^(?:(\d{1,2})\s+)?(\p{L}+)\s+(\d{4})$"
 _NO_YEAR = r"^(\d{1,2})(?:[/.\-](\d{1,2})|\s+(\p{L}+))$"
+_STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d"
 _SPAN = (
     r"dal\s+(\d{1,2})(?:/(\d{1,2})|\s+(\p{L}{3,}))?(?:[/\s](\d{4}))?"
     r"\s+al\s+(\d{1,2})(?:/(\d{1,2})|\s+(\p{L}{3,}))(?:[/\s](\d{4}))?"
 )
 
 
-def _group(text: Column, pattern: str, n: int) -> Column:
-    """Group ``n`` of the first match, or null when absent or empty."""
-    return F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
-
-
 def month_number(word: Column) -> Column:
     """1..12 for an Italian month name or its three-letter short form, else null."""
     names = {name: n for n, name in enumerate(ITALIAN_MONTHS, start=1)}
@@ -56,29 +54,35 @@ def normalize_date(text: Column, day_of_month: str = "first", as_of: Column | No
         raise ValueError(f"day_of_month: {day_of_month}")
     if day_of_month == "current" and as_of is None:
         raise ValueError("day_of_month='current' needs as_of")
-    t = F.trim(text)
-    year = F.coalesce(
-        _group(t, _YEAR_FIRST, 1), _group(t, _DAY_FIRST, 3),
-        _group(t, _MONTH_YEAR, 2), _group(t, _MONTH_NAME, 3),
-    )
-    month = F.coalesce(
-        _group(t, _YEAR_FIRST, 2), _group(t, _DAY_FIRST, 2),
-        _group(t, _MONTH_YEAR, 1), month_number(_group(t, _MONTH_NAME, 2)),
-    )
-    day = F.coalesce(_group(t, _YEAR_FIRST, 3), _group(t, _DAY_FIRST, 1), _group(t, _MONTH_NAME, 1))
-    whole = F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), _build(year, month, day))
-    opening = F.when(
-        year.isNotNull() & month.isNotNull() & day.isNull(), _build(year, month, F.lit("1"))
-    )
-    if day_of_month == "first":
-        partial = opening
-    elif day_of_month == "last":
-        partial = F.last_day(opening).cast("timestamp")
-    else:
+
+    def missing_day(opening: Column) -> Column:
+        if day_of_month == "first":
+            return opening
+        if day_of_month == "last":
+            return F.last_day(opening).cast("timestamp")
         offset = F.least(F.dayofmonth(as_of), F.dayofmonth(F.last_day(opening))) - 1
-        partial = F.date_add(opening, offset).cast("timestamp")
-    full_stamp = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d"), F.try_to_timestamp(t))
-    return F.coalesce(whole, partial, full_stamp)
+        return F.date_add(opening, offset).cast("timestamp")
+
+    def stamp(parts: Column) -> Column:
+        year, month, day = parts["year"], parts["month"], parts["day"]
+        known = year.isNotNull() & month.isNotNull()
+        return F.when(known & day.isNotNull(), _build(year, month, day)).when(
+            known, missing_day(_build(year, month, F.lit("1")))
+        )
+
+    def parse(t: Column) -> Column:
+        year = F.coalesce(
+            group(t, _YEAR_FIRST, 1), group(t, _DAY_FIRST, 3), group(t, _MONTH_YEAR, 2), group(t, _MONTH_NAME, 3)
+        )
+        month = F.coalesce(
+            group(t, _YEAR_FIRST, 2), group(t, _DAY_FIRST, 2), group(t, _MONTH_YEAR, 1),
+            month_number(group(t, _MONTH_NAME, 2)),
+        )
+        day = F.coalesce(group(t, _YEAR_FIRST, 3), group(t, _DAY_FIRST, 1), group(t, _MONTH_NAME, 1))
+        parts = F.struct(year.alias("year"), month.alias("month"), day.alias("day"))
+        return F.when(t.rlike(_STAMP), F.try_to_timestamp(t)).otherwise(bind(parts, stamp))
+
+    return bind(F.trim(text), parse)
 
 
 def iso_millis(stamp: Column) -> Column:
@@ -95,8 +99,8 @@ def _next_occurrence(month: Column, day: Column, as_of: Column) -> Column:
 def resolve_day(text: Column, as_of: Column) -> Column:
     """A date without a year, taken as its next occurrence on or after ``as_of``."""
     t = F.trim(text)
-    day = _group(t, _NO_YEAR, 1)
-    month = F.coalesce(_group(t, _NO_YEAR, 2), month_number(_group(t, _NO_YEAR, 3)))
+    day = group(t, _NO_YEAR, 1)
+    month = F.coalesce(group(t, _NO_YEAR, 2), month_number(group(t, _NO_YEAR, 3)))
     found = day.isNotNull() & month.isNotNull()
     return F.coalesce(normalize_date(t), F.when(found, _next_occurrence(month, day, as_of)))
 
@@ -107,19 +111,30 @@ def validity_span(text: Column, as_of: Column) -> tuple[Column, Column]:
     The end leans to the future of ``as_of``; the start is the last such day not after it.
     """
     t = F.lower(text)
-    to_day = _group(t, _SPAN, 5)
-    to_month = F.coalesce(_group(t, _SPAN, 6), month_number(_group(t, _SPAN, 7)))
-    to_year = _group(t, _SPAN, 8)
-    end = F.when(to_year.isNotNull(), _build(to_year, to_month, to_day)).otherwise(
-        F.when(to_day.isNotNull() & to_month.isNotNull(), _next_occurrence(to_month, to_day, as_of))
+    found = F.struct(
+        group(t, _SPAN, 1).alias("from_day"),
+        F.coalesce(group(t, _SPAN, 2), month_number(group(t, _SPAN, 3))).alias("from_month"),
+        group(t, _SPAN, 4).alias("from_year"),
+        group(t, _SPAN, 5).alias("to_day"),
+        F.coalesce(group(t, _SPAN, 6), month_number(group(t, _SPAN, 7))).alias("to_month"),
+        group(t, _SPAN, 8).alias("to_year"),
+        as_of.alias("as_of"),
     )
-    from_day = _group(t, _SPAN, 1)
-    from_month = F.coalesce(_group(t, _SPAN, 2), month_number(_group(t, _SPAN, 3)), to_month)
-    from_year = F.coalesce(_group(t, _SPAN, 4), F.year(end).cast("string"))
-    same_year = _build(from_year, from_month, from_day)
-    year_before = _build((F.year(end) - 1).cast("string"), from_month, from_day)
-    start = F.when(end.isNotNull(), F.when(same_year <= end, same_year).otherwise(year_before))
-    return start, end
+
+    def both(m: Column) -> Column:
+        end = F.when(m["to_year"].isNotNull(), _build(m["to_year"], m["to_month"], m["to_day"])).otherwise(
+            _next_occurrence(m["to_month"], m["to_day"], m["as_of"])
+        )
+        return bind(end, lambda to: F.struct(start(m, to).alias("start"), to.alias("end")))
+
+    def start(m: Column, to: Column) -> Column:
+        month = F.coalesce(m["from_month"], m["to_month"])
+        same_year = _build(F.coalesce(m["from_year"], F.year(to).cast("string")), month, m["from_day"])
+        year_before = _build((F.year(to) - 1).cast("string"), month, m["from_day"])
+        return F.when(same_year <= to, same_year).otherwise(year_before)
+
+    span = F.when(t.contains("dal "), bind(found, lambda m: F.when(m["to_day"].isNotNull(), both(m))))
+    return span["start"], span["end"]
 
 
 def mixed_timestamp(text: Column) -> Column:

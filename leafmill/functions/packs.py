@@ -2,12 +2,18 @@
 
 A rule reader for the plain-text cases. It is the deterministic default where no
 model is plugged in; wording that needs the picture on the page is out of its reach.
+
+``bind`` evaluates the matches of a line once and hands them on as a struct. Written
+out in full the rules would repeat every pattern in every branch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
+from leafmill.functions.binding import bind, group
 from leafmill.functions.dates import ISO_MILLIS, validity_span
 from leafmill.schemas import OFFER
 
@@ -26,13 +32,13 @@ PIECES = r"(?i)\b(\d+)\s*(?:pz|pezzi)\b"
 SINGLE = r"(?i)\b" + NUMBER + r"\s*" + UNIT
 PORTION = r"(?i)(?:€\s*\d+(?:[.,]\d+)?|\d+(?:[.,]\d+)?\s*€)\s+a\s+(\p{L}+)"
 ABOUT = r"(?i)\((circa\s+[^)]+)\)"
-SERVICES = r"(?i)\b(?:abbonament[oi]|viagg[io]|vacanz[ae]|crocier[ae]|polizz[ae]|assicurazion[ei])\b"
+SERVICES = r"(?i)\b(?:abbonament[oi]|viaggio?|vacanz[ae]|crocier[ae]|polizz[ae]|assicurazion[ei])\b"
 
 NOTE_LOYALTY = "Valido solo con carta fedeltà"
 
 
-def _found(text: Column, pattern: str, n: int) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
+def offers_type() -> str:
+    return f"array<{OFFER.simpleString()}>"
 
 
 def number(text: Column) -> Column:
@@ -50,73 +56,114 @@ def final_price(text: Column) -> Column:
     offered = F.regexp_replace(text, USUAL_PRICE, "")
     prices = F.regexp_extract_all(offered, F.lit(PRICE), F.lit(0))
     last = F.try_element_at(prices, F.lit(-1))
-    return F.coalesce(number(_found(text, EACH, 1)), number(F.regexp_replace(last, r"[^\d.,]", "")))
-
-
-def is_per_kg(text: Column) -> Column:
-    return text.rlike(PER_KG) & ~text.rlike(EACH)
-
-
-def pack(text: Column) -> Column:
-    """``struct<price, quantity, total_quantity, count, uom>`` of one offer text."""
-    price = final_price(text)
-    buy, pay = _found(text, N_FOR_M, 1).cast("double"), _found(text, N_FOR_M, 2).cast("double")
-    each_n, each_q = _found(text, MULTI_PACK, 1).cast("double"), number(_found(text, MULTI_PACK, 2))
-    some_n, some_q = _found(text, PIECES_TOTAL, 1).cast("double"), number(_found(text, PIECES_TOTAL, 2))
-    pieces = _found(text, PIECES, 1).cast("double")
-    one = number(_found(text, SINGLE, 1))
-    none = F.lit(None).cast("double")
-
-    def result(price_: Column, quantity: Column, total: Column, count: Column, uom: Column) -> Column:
+    return F.coalesce(number(group(text, EACH, 1)), number(F.regexp_replace(last, r"[^\d.,]", "")))
+
+
+def _matches(text: Column) -> Column:
+    """What the patterns find in a line, as one struct."""
+    found = {
+        "price": final_price(text),
+        "per_kg": text.rlike(PER_KG) & ~text.rlike(EACH),
+        "buy": group(text, N_FOR_M, 1).cast("int"),
+        "pay": group(text, N_FOR_M, 2).cast("int"),
+        "portion": F.lower(group(text, PORTION, 1)),
+        "pack_n": group(text, MULTI_PACK, 1).cast("double"),
+        "pack_q": number(group(text, MULTI_PACK, 2)),
+        "pack_u": F.lower(group(text, MULTI_PACK, 3)),
+        "total_n": group(text, PIECES_TOTAL, 1).cast("double"),
+        "total_q": number(group(text, PIECES_TOTAL, 2)),
+        "total_u": F.lower(group(text, PIECES_TOTAL, 3)),
+        "pieces": group(text, PIECES, 1).cast("double"),
+        "one_q": number(group(text, SINGLE, 1)),
+        "one_u": F.lower(group(text, SINGLE, 2)),
+        "loyalty": text.rlike(LOYALTY),
+        "about": group(text, ABOUT, 1),
+    }
+    return F.struct(*[column.alias(name) for name, column in found.items()])
+
+
+def _pack_of(m: Column) -> Column:
+    none, one = F.lit(None).cast("double"), F.lit(1.0)
+
+    def result(price: Column, quantity: Column, total: Column, count: Column, uom: Column) -> Column:
         return F.struct(
-            price_.alias("price"), quantity.alias("quantity"), total.alias("total_quantity"),
+            price.alias("price"), quantity.alias("quantity"), total.alias("total_quantity"),
             count.alias("count"), uom.alias("uom"),
         )
 
-    def unit(pattern: str, n: int) -> Column:
-        return F.lower(_found(text, pattern, n))
-
-    single_unit = F.lit(1.0)
-    promoted_unit = F.coalesce(F.lower(_found(text, PORTION, 1)), unit(SINGLE, 2))
+    price = m["price"]
     return (
-        F.when(is_per_kg(text), result(price, single_unit, single_unit, none, F.lit("kg")))
-        .when(buy > pay, result(F.round(price * pay, 2), one, one * buy, buy, promoted_unit))
-        .when(each_n.isNotNull(), result(price, each_q, each_n * each_q, each_n, unit(MULTI_PACK, 3)))
+        F.when(m["per_kg"], result(price, one, one, none, F.lit("kg")))
+        .when(
+            m["buy"] > m["pay"],
+            result(
+                F.round(price * m["pay"], 2), m["one_q"], m["one_q"] * m["buy"], m["buy"].cast("double"),
+                F.coalesce(m["portion"], m["one_u"]),
+            ),
+        )
+        .when(
+            m["pack_n"].isNotNull(),
+            result(price, m["pack_q"], m["pack_n"] * m["pack_q"], m["pack_n"], m["pack_u"]),
+        )
         .when(
-            some_n.isNotNull(),
-            result(price, F.try_divide(some_q, some_n), some_q, some_n, unit(PIECES_TOTAL, 3)),
+            m["total_n"].isNotNull(),
+            result(price, F.try_divide(m["total_q"], m["total_n"]), m["total_q"], m["total_n"], m["total_u"]),
         )
-        .when(pieces.isNotNull(), result(price, none, none, pieces, F.lit("pezzi")))
-        .when(one.isNotNull(), result(price, one, one, F.lit(1.0), unit(SINGLE, 2)))
+        .when(m["pieces"].isNotNull(), result(price, none, none, m["pieces"], F.lit("pezzi")))
+        .when(m["one_q"].isNotNull(), result(price, m["one_q"], m["one_q"], one, m["one_u"]))
         .otherwise(result(price, none, none, none, F.lit(None).cast("string")))
     )
 
 
-def notes(text: Column) -> Column:
-    """Conditions worth keeping: promotion, loyalty card, approximate weight."""
-    buy, pay = _found(text, N_FOR_M, 1), _found(text, N_FOR_M, 2)
+def _notes_of(m: Column) -> Column:
     promo = F.when(
-        buy.cast("int") > pay.cast("int"), F.concat(F.lit("Acquista "), buy, F.lit(", ne paghi "), pay)
-    )
-    loyalty = F.when(text.rlike(LOYALTY), F.lit(NOTE_LOYALTY))
-    about = _found(text, ABOUT, 1)
-    about = F.regexp_replace(
-        F.concat(F.upper(F.substring(about, 1, 1)), about.substr(F.lit(2), F.length(about))),
-        r"(\d)\s+(\p{L}+)$", "$1$2",
+        m["buy"] > m["pay"],
+        F.concat(F.lit("Acquista "), m["buy"].cast("string"), F.lit(", ne paghi "), m["pay"].cast("string")),
     )
+    loyalty = F.when(m["loyalty"], F.lit(NOTE_LOYALTY))
+    about = F.concat(F.upper(m["about"].substr(1, 1)), F.regexp_replace(m["about"], "^.", ""))
+    about = F.regexp_replace(about, r"(\d)\s+(\p{L}+)$", "$1$2")
     return F.nullif(F.concat_ws("; ", promo, loyalty, about), F.lit(""))
 
 
+def pack(text: Column) -> Column:
+    """``struct<price, quantity, total_quantity, count, uom>`` of one offer text."""
+    return bind(_matches(text), _pack_of)
+
+
+def notes(text: Column) -> Column:
+    """Conditions worth keeping: promotion, loyalty card, approximate weight."""
+    return bind(_matches(text), _notes_of)
+
+
+def pack_and_notes(text: Column) -> Column:
+    """Both of the above in one struct, from one reading of the text."""
+
+    def both(m: Column) -> Column:
+        return bind(
+            _pack_of(m),
+            lambda p: F.struct(
+                *[p[n].alias(n) for n in ("price", "quantity", "total_quantity", "count", "uom")],
+                _notes_of(m).alias("notes"),
+            ),
+        )
+
+    return bind(_matches(text), both)
+
+
 def product_names(name: Column) -> Column:
     """One name per product of "A b / c": a one-word alternative replaces the last word."""
-    parts = F.split(name, r"\s*/\s*")
-    head = F.regexp_replace(parts[0], r"\s*\S+$", "")
-    return F.transform(
-        parts,
-        lambda part, i: F.when(
-            (i > 0) & ~part.contains(" ") & (head != ""), F.concat(head, F.lit(" "), part)
-        ).otherwise(part),
-    )
+
+    def names(parts: Column) -> Column:
+        head = F.regexp_replace(parts[0], r"\s*\S+$", "")
+        return F.transform(
+            parts,
+            lambda part, i: F.when(
+                (i > 0) & ~part.contains(" ") & (head != ""), F.concat(head, F.lit(" "), part)
+            ).otherwise(part),
+        )
+
+    return bind(F.split(name, r"\s*/\s*"), names)
 
 
 def base_name(text: Column) -> Column:
@@ -129,28 +176,28 @@ def base_name(text: Column) -> Column:
 
 def read_offers(text: Column, as_of: Column, category: Column) -> Column:
     """All offers named by one line, as ``array<offer>``; none without a price or out of scope."""
-    parts, name = pack(text), base_name(text)
     start, end = validity_span(text, as_of)
-    offers = F.transform(
-        product_names(name),
-        lambda one: F.struct(
+    line = F.struct(
+        pack_and_notes(text).alias("pack"), base_name(text).alias("name"),
+        F.date_format(start, ISO_MILLIS).alias("start"), F.date_format(end, ISO_MILLIS).alias("end"),
+    )
+
+    def offer(r: Column) -> Callable[[Column], Column]:
+        p = r["pack"]
+        return lambda one: F.struct(
             one.alias("name"),
-            parts["price"].alias("price"),
-            parts["quantity"].alias("quantity"),
-            parts["total_quantity"].alias("total_quantity"),
-            parts["count"].alias("count"),
-            parts["uom"].alias("uom"),
+            *[p[n].alias(n) for n in ("price", "quantity", "total_quantity", "count", "uom")],
             category.alias("category"),
             F.lower(F.regexp_extract(one, r"^\S+", 0)).alias("type"),
-            notes(text).alias("notes"),
-            F.date_format(start, ISO_MILLIS).alias("validity_from"),
-            F.date_format(end, ISO_MILLIS).alias("validity_to"),
+            p["notes"].alias("notes"),
+            r["start"].alias("validity_from"),
+            r["end"].alias("validity_to"),
             F.lit(None).cast("array<float>").alias("embeddings"),
-        ),
-    ).cast(offers_type())
-    keep = parts["price"].isNotNull() & (F.length(name) > 0) & in_scope(text)
-    return F.when(keep, offers).otherwise(F.array().cast(offers_type()))
+        )
 
+    def offers(r: Column) -> Column:
+        found = F.transform(product_names(r["name"]), offer(r)).cast(offers_type())
+        keep = r["pack"]["price"].isNotNull() & (F.length(r["name"]) > 0)
+        return F.when(keep, found).otherwise(F.array().cast(offers_type()))
 
-def offers_type() -> str:
-    return f"array<{OFFER.simpleString()}>"
+    return F.when(in_scope(text), bind(line, offers)).otherwise(F.array().cast(offers_type()))

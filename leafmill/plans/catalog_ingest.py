@@ -75,9 +75,9 @@ def _stored_flyers(spark, sf_dir):
 
 
 _LISTS = """firsts as (
-  select checksum, place_id, min(arrival) as at from {rows} group by 1, 2
+  select checksum, place_id, min(arrival) as first_at from {rows} group by 1, 2
 ), lists as (
-  select checksum, string_agg(place_id, '|' order by at) as places, count(*) as n_places
+  select checksum, string_agg(place_id, '|' order by first_at) as places, count(*) as n_places
   from firsts group by 1
 )"""
 
@@ -149,10 +149,10 @@ def searchable(spark, sf_dir):
 @query(
     "ingest_merge_places",
     f"""with {_MSG}, kept as (select m.* from msg m join labels l on l.doc_id = m.arrival),
-s as (select checksum, place_id, min(arrival) as at, 0 as late from kept group by 1, 2),
-a as (select checksum, place_id, min(arrival) as at, 1 as late from msg group by 1, 2),
+s as (select checksum, place_id, min(arrival) as first_at, 0 as late from kept group by 1, 2),
+a as (select checksum, place_id, min(arrival) as first_at, 1 as late from msg group by 1, 2),
 u as (select * from s union all select * from a where (checksum, place_id) not in (select (checksum, place_id) from s))
-select checksum, string_agg(place_id, '|' order by late, at) as places, count(*) as n_places
+select checksum, string_agg(place_id, '|' order by late, first_at) as places, count(*) as n_places
 from u group by 1""",
 )
 def merge(spark, sf_dir):
@@ -194,13 +194,13 @@ def _announced(spark, sf_dir):
 @query(
     "acquire_content",
     """select d.doc_id, case when l.quality = 0 then 'missing' when l.toxic = 1 then 'checksum mismatch' else 'ok' end
-  as fetch_status, case when l.quality = 0 then null else strlen(d.text) end as n_bytes
+  as fetch_status, case when l.quality = 0 then null else strlen(d.text)::double end as n_bytes
 from documents d left join labels l using (doc_id)""",
 )
 def acquire_content(spark, sf_dir):
     fetched = acquire(_announced(spark, sf_dir), standins.content(spark, sf_dir))
     return fetched.select(
-        F.col("arrival").alias("doc_id"), "fetch_status", F.octet_length("content").cast("bigint").alias("n_bytes")
+        F.col("arrival").alias("doc_id"), "fetch_status", F.octet_length("content").cast("double").alias("n_bytes")
     )
 
 

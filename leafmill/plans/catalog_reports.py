@@ -129,7 +129,7 @@ with span as (select min(o_orderdate) as low, max(o_orderdate) as high from orde
        from axis
      ),
      counts as (select date_trunc(unit, o_orderdate)::timestamp as bucket, count(*) as n from orders, axis group by 1)
-select strftime(bucket, '%Y-%m-%d %H:%M:%S') as bucket, nullif(n, 0) as n
+select strftime(bucket, '%Y-%m-%d %H:%M:%S') as bucket, nullif(n, 0)::double as n
 from spine left join counts using (bucket)
 """
 
@@ -146,7 +146,7 @@ _AUTO_UNIT = """case
 
 def _histogram(spark, sf_dir, unit=None):
     buckets = dashboards.date_histogram(standins.flyers(spark, sf_dir), unit=unit)
-    return buckets.select(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"), "n")
+    return buckets.select(F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"), F.col("n").cast("double"))
 
 
 @query("q_start_date_histogram", _histogram_sql(_AUTO_UNIT))

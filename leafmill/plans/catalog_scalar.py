@@ -58,8 +58,8 @@ def json_props(spark, sf_dir):
     "extractor_json",
     """select event_id,
   case when event_type = 'error' then null else strftime(ts, '%Y-%m-%d') end as validity_from,
-  case when event_type = 'error' then null else user_id end as ai_input_tokens,
-  case when event_type in ('click', 'view') then 1 when event_type = 'error' then null else 0 end as valid_offers,
+  case when event_type = 'error' then null else user_id::double end as ai_input_tokens,
+  case when event_type in ('click', 'view') then 1 when event_type = 'error' then null else 0 end::double as valid_offers,
   case when event_type in ('click', 'view', 'error') then null else 'category unknown' end as reject
 from events""",
 )
@@ -80,8 +80,8 @@ def extractor_json(spark, sf_dir):
     )
     checked = split_valid(extract_json(rows))
     return checked.select(
-        "event_id", "validity_from", "ai_input_tokens",
-        F.when(F.col("offers_data").isNotNull(), F.size("offers_data")).alias("valid_offers"),
+        "event_id", "validity_from", F.col("ai_input_tokens").cast("double"),
+        F.when(F.col("offers_data").isNotNull(), F.size("offers_data")).cast("double").alias("valid_offers"),
         F.try_element_at("rejected_offers", F.lit(1))["reason"].alias("reject"),
     )
 
@@ -275,7 +275,7 @@ def chunk_split(spark, sf_dir):
 
 @query(
     "chunk_numbering",
-    """with p as (select doc_id, len(list_filter(string_split(text, chr(10)), x -> length(x) > 200)) as n from documents)
+    """with p as (select doc_id, len(list_filter(string_split(text, chr(10)), lambda x: length(x) > 200)) as n from documents)
 select doc_id, unnest(range(0, ((n + 4) // 5)::bigint))::int as chunk_n, ((n + 4) // 5)::int as chunk_total
 from p where n > 0""",
 )
@@ -339,11 +339,6 @@ def _euro(column):
     return F.regexp_replace(F.format_string("%.2f", column), r"\.", ",")
 
 
-def _pack_columns(written):
-    parts = packs.pack(written)
-    return [parts[name].alias(name) for name in ("price", "quantity", "total_quantity", "count", "uom")]
-
-
 @query(
     "pack_arithmetic",
     """select l_orderkey, l_linenumber, l_extendedprice as price,
@@ -361,7 +356,9 @@ def pack_arithmetic(spark, sf_dir):
         .otherwise(F.concat(F.lit("Passata "), q, F.lit(" g - "), price, F.lit(" €")))
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
-    return rows.select("l_orderkey", "l_linenumber", *_pack_columns(F.col("written")))
+    return rows.select("l_orderkey", "l_linenumber", packs.pack(F.col("written")).alias("p")).select(
+        "l_orderkey", "l_linenumber", "p.*"
+    )
 
 
 @query(
@@ -381,7 +378,9 @@ def promo_price(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
     w = F.col("written")
-    return rows.select("l_orderkey", "l_linenumber", *_pack_columns(w), packs.notes(w).alias("notes"))
+    return rows.select("l_orderkey", "l_linenumber", packs.pack_and_notes(w).alias("p")).select(
+        "l_orderkey", "l_linenumber", "p.*"
+    )
 
 
 @query(
@@ -399,7 +398,9 @@ def per_kg_price(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
     w = F.col("written")
-    return rows.select("p_partkey", *_pack_columns(w), packs.notes(w).alias("notes"), packs.base_name(w).alias("name"))
+    return rows.select("p_partkey", packs.pack_and_notes(w).alias("p"), packs.base_name(w).alias("name")).select(
+        "p_partkey", "p.*", "name"
+    )
 
 
 @query(
@@ -418,9 +419,8 @@ def final_price_notes(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
     w = F.col("written")
-    parts = packs.pack(w)
-    return rows.select(
-        "p_partkey", parts["price"].alias("price"), parts["count"].alias("count"), packs.notes(w).alias("notes")
+    return rows.select("p_partkey", packs.pack_and_notes(w).alias("p")).select(
+        "p_partkey", "p.price", "p.count", "p.notes"
     )
 
 

@@ -175,7 +175,7 @@ def text_rank(spark, sf_dir):
 c as (select label, i, avg(x) as x from e group by 1, 2),
 q as (select label, list(x order by i) as v from c group by 1),
 s as (
-  select label, vec_id, round(list_cosine_similarity(v, embedding::double[]), 6) as similarity from q, embeddings
+  select q.label, vec_id, round(list_cosine_similarity(v, embedding::double[]), 6) as similarity from q, embeddings
 )
 select label::bigint as query_id, row_number() over (partition by label order by similarity desc, vec_id)::int as rank,
   vec_id as row_id, similarity

@@ -22,7 +22,7 @@ def _run_fold(spark, chunks, copies=1, per_batch=1):
     root = scratch_dir(spark, "fold")
     for _ in range(copies):
         chunks.repartition(2, "chunk_n").write.mode("append").parquet(f"{root}/chunks")
-    session = streaming_session(spark)
+    session = streaming_session(spark, drain=True)
     stream = session.readStream.schema(FOLD_INPUT).option("maxFilesPerTrigger", per_batch)
     folded = fold_stream(stream.parquet(f"{root}/chunks"))
     running = (
@@ -59,7 +59,7 @@ def queue_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "queue")
     messages = standins.messages(spark, sf_dir)
     messages.select(message_json(*MESSAGE.fieldNames()).alias("value")).write.text(f"{root}/queue/batch_id=0")
-    session = streaming_session(spark)
+    session = streaming_session(spark, drain=True)
     raw = session.readStream.format("text").schema("value string").load(f"{root}/queue/*")
     running = (
         parse_messages(raw).writeStream.format("parquet").outputMode("append")
@@ -128,7 +128,7 @@ def progress(spark, sf_dir):
     """Counters observed on a stream in passing, per micro-batch, here added up."""
     root = scratch_dir(spark, "progress")
     standins.conversation_chunks(spark, sf_dir).repartition(2, "chunk_n").write.parquet(f"{root}/chunks")
-    session = streaming_session(spark)
+    session = streaming_session(spark, drain=True)
     chunks = session.readStream.schema(FOLD_INPUT).option("maxFilesPerTrigger", 1).parquet(f"{root}/chunks")
     running = (
         count_chunks(chunks).writeStream.format("noop").option("checkpointLocation", f"{root}/checkpoint")
@@ -158,7 +158,7 @@ def _line_offers(chunks):
 def run_flow(spark, sf_dir):
     """Documents announced in two waves, through intake, extraction and fold."""
     store = flow.Store(scratch_dir(spark, "flow"))
-    session = streaming_session(spark)
+    session = streaming_session(spark, drain=True)
     store.create(session)
     # One file per wave: a document goes out with its own source's half of the sources.
     standins.messages(spark, sf_dir).repartition(2, "source.placeId").select(
@@ -185,7 +185,7 @@ f as (select checksum, any_value(pages) as pages from d group by 1)
   select sha256(text) as checksum, string_agg(distinct source, '|' order by source) as places from documents group by 1
 )
 select f.checksum, ((len(pages) + 4) // 5)::int as chunk_total, '2025-06-28' as validity_from, '2025-06-30' as validity_to,
-  len(list_filter(pages, x -> length(trim(x, ' ')) > 0))::bigint as offers_count,
+  len(list_filter(pages, lambda x: length(trim(x, ' ')) > 0))::bigint as offers_count,
   places.places
 from f join places using (checksum)""",
 )

@@ -27,9 +27,15 @@ def build_session(app: str = "leafmill", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
-    """A sibling session with streaming settings, so that the caller's stay as they are."""
+def streaming_session(spark: SparkSession, drain: bool = False) -> SparkSession:
+    """A sibling session with streaming settings, so that the caller's stay as they are.
+
+    ``drain`` is for runs that stop once the input is used up. State with a time-to-live
+    asks for one more empty batch for ever; without empty batches such a run ends. A
+    standing query keeps them, as they are what fires its timers.
+    """
     session = spark.newSession()
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not drain).lower())
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
     # Stateful operators keep their partition count for life: take the caller's, not the default.
