@@ -16,6 +16,18 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def group(text: Column, pattern: str, n: int) -> Column:
-    """Group ``n`` of the first match, or null when absent or empty."""
-    return F.nullif(F.regexp_extract(text, pattern, n), F.lit(""))
+def groups(text: Column, pattern: str, **wanted: int) -> Column:
+    """Struct of named groups of the first match; null when there is no match.
+
+    The text is searched once. The groups are then read off the match itself, so the
+    pattern must not look behind it. A group that took no part is null.
+    """
+
+    def read(match: Column) -> Column:
+        parts = [F.regexp_extract(match, pattern, n).alias(name) for name, n in wanted.items()]
+        blank_as_null = [
+            lambda s, name=name: F.when(s[name] != "", s[name]).alias(name) for name in wanted
+        ]
+        return F.when(match != "", bind(F.struct(*parts), lambda s: F.struct(*[f(s) for f in blank_as_null])))
+
+    return bind(F.regexp_extract(text, pattern, 0), read)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from leafmill.functions.binding import bind, group
+from leafmill.functions.binding import bind, groups
 
 # Italian month names, January to December.
 ITALIAN_MONTHS = (
@@ -71,15 +71,16 @@ def normalize_date(text: Column, day_of_month: str = "first", as_of: Column | No
         )
 
     def parse(t: Column) -> Column:
-        year = F.coalesce(
-            group(t, _YEAR_FIRST, 1), group(t, _DAY_FIRST, 3), group(t, _MONTH_YEAR, 2), group(t, _MONTH_NAME, 3)
+        numeric = F.coalesce(
+            groups(t, _YEAR_FIRST, year=1, month=2, day=3),
+            groups(t, _DAY_FIRST, year=3, month=2, day=1),
         )
-        month = F.coalesce(
-            group(t, _YEAR_FIRST, 2), group(t, _DAY_FIRST, 2), group(t, _MONTH_YEAR, 1),
-            month_number(group(t, _MONTH_NAME, 2)),
+        partial = groups(t, _MONTH_YEAR, year=2, month=1).withField("day", F.lit(None).cast("string"))
+        named = bind(
+            groups(t, _MONTH_NAME, year=3, month=2, day=1),
+            lambda m: m.withField("month", month_number(m["month"])),
         )
-        day = F.coalesce(group(t, _YEAR_FIRST, 3), group(t, _DAY_FIRST, 1), group(t, _MONTH_NAME, 1))
-        parts = F.struct(year.alias("year"), month.alias("month"), day.alias("day"))
+        parts = F.when(t.rlike(r"\p{L}"), named).otherwise(F.coalesce(numeric, partial))
         return F.when(t.rlike(_STAMP), F.try_to_timestamp(t)).otherwise(bind(parts, stamp))
 
     return bind(F.trim(text), parse)
@@ -98,11 +99,13 @@ def _next_occurrence(month: Column, day: Column, as_of: Column) -> Column:
 
 def resolve_day(text: Column, as_of: Column) -> Column:
     """A date without a year, taken as its next occurrence on or after ``as_of``."""
-    t = F.trim(text)
-    day = group(t, _NO_YEAR, 1)
-    month = F.coalesce(group(t, _NO_YEAR, 2), month_number(group(t, _NO_YEAR, 3)))
-    found = day.isNotNull() & month.isNotNull()
-    return F.coalesce(normalize_date(t), F.when(found, _next_occurrence(month, day, as_of)))
+
+    def resolve(m: Column) -> Column:
+        month = F.coalesce(m["month"], month_number(m["name"]))
+        return F.when(month.isNotNull(), _next_occurrence(month, m["day"], as_of))
+
+    without_year = bind(groups(F.trim(text), _NO_YEAR, day=1, month=2, name=3), resolve)
+    return F.coalesce(normalize_date(text), without_year)
 
 
 def validity_span(text: Column, as_of: Column) -> tuple[Column, Column]:
@@ -110,15 +113,14 @@ def validity_span(text: Column, as_of: Column) -> tuple[Column, Column]:
 
     The end leans to the future of ``as_of``; the start is the last such day not after it.
     """
-    t = F.lower(text)
-    found = F.struct(
-        group(t, _SPAN, 1).alias("from_day"),
-        F.coalesce(group(t, _SPAN, 2), month_number(group(t, _SPAN, 3))).alias("from_month"),
-        group(t, _SPAN, 4).alias("from_year"),
-        group(t, _SPAN, 5).alias("to_day"),
-        F.coalesce(group(t, _SPAN, 6), month_number(group(t, _SPAN, 7))).alias("to_month"),
-        group(t, _SPAN, 8).alias("to_year"),
-        as_of.alias("as_of"),
+    found = bind(
+        groups(
+            F.lower(text), _SPAN, from_day=1, from_month=2, from_name=3, from_year=4,
+            to_day=5, to_month=6, to_name=7, to_year=8,
+        ),
+        lambda m: m.withField("from_month", F.coalesce(m["from_month"], month_number(m["from_name"])))
+        .withField("to_month", F.coalesce(m["to_month"], month_number(m["to_name"])))
+        .withField("as_of", as_of),
     )
 
     def both(m: Column) -> Column:
@@ -133,7 +135,7 @@ def validity_span(text: Column, as_of: Column) -> tuple[Column, Column]:
         year_before = _build((F.year(to) - 1).cast("string"), month, m["from_day"])
         return F.when(same_year <= to, same_year).otherwise(year_before)
 
-    span = F.when(t.contains("dal "), bind(found, lambda m: F.when(m["to_day"].isNotNull(), both(m))))
+    span = bind(found, lambda m: F.when(m["to_day"].isNotNull(), both(m)))
     return span["start"], span["end"]
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from leafmill.functions.binding import bind, group
+from leafmill.functions.binding import bind, groups
 from leafmill.functions.dates import ISO_MILLIS, validity_span
 from leafmill.schemas import OFFER
 
@@ -51,35 +51,55 @@ def in_scope(text: Column, services: str = SERVICES) -> Column:
     return ~F.coalesce(text.rlike(services), F.lit(False))
 
 
+def _last_price(text: Column) -> Column:
+    """The last price that is not named as the usual one."""
+    offered = F.regexp_replace(text, USUAL_PRICE, "")
+    last = F.try_element_at(F.regexp_extract_all(offered, F.lit(PRICE), F.lit(0)), F.lit(-1))
+    return number(F.regexp_replace(last, r"[^\d.,]", ""))
+
+
 def final_price(text: Column) -> Column:
     """The price to pay: the one per piece if named, else the last that is not the usual one."""
-    offered = F.regexp_replace(text, USUAL_PRICE, "")
-    prices = F.regexp_extract_all(offered, F.lit(PRICE), F.lit(0))
-    last = F.try_element_at(prices, F.lit(-1))
-    return F.coalesce(number(group(text, EACH, 1)), number(F.regexp_replace(last, r"[^\d.,]", "")))
+    return F.coalesce(number(groups(text, EACH, q=1)["q"]), _last_price(text))
 
 
 def _matches(text: Column) -> Column:
-    """What the patterns find in a line, as one struct."""
+    """What the patterns find in a line, as one struct; an item without a match is null."""
     found = {
-        "price": final_price(text),
-        "per_kg": text.rlike(PER_KG) & ~text.rlike(EACH),
-        "buy": group(text, N_FOR_M, 1).cast("int"),
-        "pay": group(text, N_FOR_M, 2).cast("int"),
-        "portion": F.lower(group(text, PORTION, 1)),
-        "pack_n": group(text, MULTI_PACK, 1).cast("double"),
-        "pack_q": number(group(text, MULTI_PACK, 2)),
-        "pack_u": F.lower(group(text, MULTI_PACK, 3)),
-        "total_n": group(text, PIECES_TOTAL, 1).cast("double"),
-        "total_q": number(group(text, PIECES_TOTAL, 2)),
-        "total_u": F.lower(group(text, PIECES_TOTAL, 3)),
-        "pieces": group(text, PIECES, 1).cast("double"),
-        "one_q": number(group(text, SINGLE, 1)),
-        "one_u": F.lower(group(text, SINGLE, 2)),
+        "price": _last_price(text),
+        "each": groups(text, EACH, q=1),
+        "per_kg": text.rlike(PER_KG),
+        "promo": groups(text, N_FOR_M, buy=1, pay=2),
+        "portion": F.regexp_extract(text, PORTION, 1),
+        "multi": groups(text, MULTI_PACK, n=1, q=2, u=3),
+        "total": groups(text, PIECES_TOTAL, n=1, q=2, u=3),
+        "pieces": F.regexp_extract(text, PIECES, 1).try_cast("double"),
+        "one": groups(text, SINGLE, q=1, u=2),
         "loyalty": text.rlike(LOYALTY),
-        "about": group(text, ABOUT, 1),
+        "about": F.regexp_extract(text, ABOUT, 1),
+    }
+    numbers = {
+        "price": lambda m: F.coalesce(number(m["each"]["q"]), m["price"]),
+        "per_kg": lambda m: m["per_kg"] & m["each"].isNull(),
+        "buy": lambda m: m["promo"]["buy"].try_cast("int"),
+        "pay": lambda m: m["promo"]["pay"].try_cast("int"),
+        "portion": lambda m: F.when(m["portion"] != "", F.lower(m["portion"])),
+        "pack_n": lambda m: m["multi"]["n"].try_cast("double"),
+        "pack_q": lambda m: number(m["multi"]["q"]),
+        "pack_u": lambda m: F.lower(m["multi"]["u"]),
+        "total_n": lambda m: m["total"]["n"].try_cast("double"),
+        "total_q": lambda m: number(m["total"]["q"]),
+        "total_u": lambda m: F.lower(m["total"]["u"]),
+        "pieces": lambda m: m["pieces"],
+        "one_q": lambda m: number(m["one"]["q"]),
+        "one_u": lambda m: F.lower(m["one"]["u"]),
+        "loyalty": lambda m: m["loyalty"],
+        "about": lambda m: F.when(m["about"] != "", m["about"]),
     }
-    return F.struct(*[column.alias(name) for name, column in found.items()])
+    return bind(
+        F.struct(*[column.alias(name) for name, column in found.items()]),
+        lambda m: F.struct(*[value(m).alias(name) for name, value in numbers.items()]),
+    )
 
 
 def _pack_of(m: Column) -> Column:

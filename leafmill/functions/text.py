@@ -81,10 +81,13 @@ def raw_keyword(text: Column) -> Column:
     return F.when(F.length(text) <= KEYWORD_MAX_CHARS, text)
 
 
-def raw_tokens(text: Column) -> Column:
-    """Lower-case words with the elided article cut off."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    return F.transform(words, lambda w: F.regexp_replace(w, ELIDED, ""))
+def words(text: Column) -> Column:
+    """Lower-case words of a text, elided articles still on them."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def without_elision(word: Column) -> Column:
+    return F.when(word.rlike("['’]"), F.regexp_replace(word, ELIDED, "")).otherwise(word)
 
 
 def stem(word: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leafmill.functions.geo import haversine_km, space_cell, touching_cells
-from leafmill.functions.text import raw_tokens, stem
+from leafmill.functions.text import stem, without_elision, words
 
 # The usual BM25 constants.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -96,10 +96,11 @@ def italian_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("italian")
 
 
-def search_terms(text: Column, stop_words: list[str]) -> Column:
-    """Analysed terms of a text: elisions cut, stop words dropped, light stems."""
-    kept = F.filter(raw_tokens(text), lambda w: ~w.isin(stop_words) & (w != "")) if stop_words else raw_tokens(text)
-    return F.transform(kept, stem)
+def kept_words(rows: DataFrame, key: str, text: str, stop_words: list[str]) -> DataFrame:
+    """One row ``key, word`` per word that counts: elisions cut, stop words dropped."""
+    split = rows.select(key, F.explode(words(F.col(text))).alias("word"))
+    cut = split.select(key, without_elision(F.col("word")).alias("word")).filter("word != ''")
+    return cut.filter(~F.col("word").isin(stop_words)) if stop_words else cut
 
 
 def text_rank(
@@ -109,36 +110,37 @@ def text_rank(
     """The best ``k`` documents per query by BM25: ``query_id, rank, doc_id, score``.
 
     Only terms that some query asks for leave the scan. They are shuffled once, on the
-    document id: term frequencies and scores are both grouped on keys that this
-    partitioning already satisfies. Scores are summed as decimals, so equal documents
+    document id: term frequencies, lengths and scores are all grouped or joined on keys
+    that this partitioning already satisfies. Document lengths shrink to one row per
+    document before they are shuffled. Scores are summed as decimals, so equal documents
     tie exactly and the id decides.
     """
-    asked = queries.select(query_id, F.explode(search_terms(F.col(query), stop_words)).alias("term"))
+    term = stem(F.col("word")).alias("term")
+    asked = kept_words(queries, query_id, query, stop_words).select(query_id, term)
     asked = asked.groupBy(query_id, "term").agg(F.count("*").alias("weight"))
-    analysed = documents.select(doc_id, search_terms(F.col(text), stop_words).alias("_terms"))
-    analysed = analysed.select(doc_id, F.size("_terms").alias("_length"), "_terms")
 
-    corpus = analysed.agg(F.count("*").alias("docs"), F.avg("_length").alias("mean_length"))
-    n_docs, mean_length = corpus.select("docs").scalar(), corpus.select("mean_length").scalar()
+    found = kept_words(documents, doc_id, text, stop_words)
+    lengths = found.groupBy(doc_id).agg(F.count("*").alias("length"))
+    n_docs = documents.agg(F.count("*").alias("n")).scalar()
+    mean_length = lengths.agg(F.sum("length").alias("n")).scalar() / n_docs
 
     postings = (
-        analysed.select(doc_id, "_length", F.explode("_terms").alias("term"))
+        found.select(doc_id, term)
         .join(asked.select("term").distinct(), "term", "left_semi")
         .repartition(doc_id)
-        .groupBy(doc_id, "_length", "term")
+        .groupBy(doc_id, "term")
         .agg(F.count("*").alias("tf"))
     )
     rarity = postings.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     wanted = asked.join(rarity, "term").select(query_id, "term", "weight", idf.alias("idf"))
 
-    norm = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("_length") / mean_length)
-    part = F.col("weight") * F.col("idf") * (F.col("tf") * (BM25_K1 + 1)) / norm
-    scores = (
-        postings.join(wanted, "term")
-        .groupBy(doc_id, query_id)
-        .agg(F.sum(part.cast("decimal(18,6)")).alias("score"))
+    norm = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length)
+    weighted = postings.join(lengths, doc_id).select(
+        doc_id, "term", (F.col("tf") * (BM25_K1 + 1) / norm).alias("saturation")
     )
+    part = (F.col("weight") * F.col("idf") * F.col("saturation")).cast("decimal(18,6)")
+    scores = weighted.join(wanted, "term").groupBy(doc_id, query_id).agg(F.sum(part).alias("score"))
     best = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(doc_id))
     return (
         scores.withColumn("rank", F.row_number().over(best))

@@ -149,8 +149,8 @@ with dt as {_terms_sql("documents", "doc_id")},
      tf as (select doc_id, term, count(*) as tf from dt where term in (select term from asked) group by 1, 2),
      idf as (select term, ln(1 + (docs - count(*) + 0.5::double) / (count(*) + 0.5::double)) as idf from tf, stats group by term, docs),
      scored as (
-       select item_id, doc_id, sum(cast(weight * idf * (tf * (1.2::double + 1))
-         / (tf + 1.2::double * (1 - 0.75::double + 0.75::double * length / mean_length)) as decimal(18,6))) as score
+       select item_id, doc_id, sum(cast(weight * idf * (tf * (1.2::double + 1)
+         / (tf + 1.2::double * (1 - 0.75::double + 0.75::double * length / mean_length))) as decimal(18,6))) as score
        from tf join asked using (term) join idf using (term) join len using (doc_id), stats group by 1, 2
      ),
      ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored)

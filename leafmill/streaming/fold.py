@@ -74,7 +74,8 @@ class FlyerFold(StatefulProcessor):
         state["seen"] = sorted(seen)
         if len(seen) == state["chunk_total"]:
             yield self._row(key[0], state, COMPLETE)
-            self.open.clear()
+            if not fresh:
+                self.open.clear()
             self.done.update((datetime.now(timezone.utc).replace(tzinfo=None),))
             for timer in list(self.handle.listTimers()) if self.give_up_ms else []:
                 self.handle.deleteTimer(timer)
