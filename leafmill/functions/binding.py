@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -16,18 +17,30 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def groups(text: Column, pattern: str, **wanted: int) -> Column:
+def mentions(text: Column, words: tuple[str, ...]) -> Column:
+    """Does the text contain one of the words? Far cheaper than a pattern that needs it."""
+    return reduce(Column.__or__, [text.contains(word) for word in words])
+
+
+def groups(text: Column, pattern: str, needs: tuple[str, ...] = (), **wanted: int) -> Column:
     """Struct of named groups of the first match; null when there is no match.
 
-    The text is searched once. The groups are then read off the match itself, so the
-    pattern must not look behind it. A group that took no part is null.
+    The text is searched once, and only if it has one of the words in ``needs``. The groups
+    are then read off the match itself, so the pattern must not look behind it. A group
+    that took no part is null.
     """
 
     def read(match: Column) -> Column:
-        parts = [F.regexp_extract(match, pattern, n).alias(name) for name, n in wanted.items()]
-        blank_as_null = [
-            lambda s, name=name: F.when(s[name] != "", s[name]).alias(name) for name in wanted
-        ]
-        return F.when(match != "", bind(F.struct(*parts), lambda s: F.struct(*[f(s) for f in blank_as_null])))
+        parts = F.struct(*[F.regexp_extract(match, pattern, n).alias(name) for name, n in wanted.items()])
+        filled = bind(
+            parts, lambda s: F.struct(*[F.when(s[name] != "", s[name]).alias(name) for name in wanted])
+        )
+        return F.when(match != "", filled)
+
+    return bind(first_match(text, pattern, needs), read)
+
 
-    return bind(F.regexp_extract(text, pattern, 0), read)
+def first_match(text: Column, pattern: str, needs: tuple[str, ...] = (), group: int = 0) -> Column:
+    """The first match, or the empty string."""
+    found = F.regexp_extract(text, pattern, group)
+    return F.when(mentions(text, needs), found).otherwise("") if needs else found

@@ -13,27 +13,31 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from leafmill.functions.binding import bind, groups
+from leafmill.functions.binding import bind, first_match, groups, mentions
 from leafmill.functions.dates import ISO_MILLIS, validity_span
 from leafmill.schemas import OFFER
 
-# Patterns of the offer language.
+# Patterns of the offer language, for lower-case text.
 NUMBER = r"(\d+(?:[.,]\d+)?)"
 UNIT = r"(kg|gr?|mg|lt?|cl|ml)\b"
-PRICE = r"(?i)(?:€|euro)\s*\d+(?:[.,]\d{1,2})?|\d+(?:[.,]\d{1,2})?\s*(?:€|euro)"
-EACH = r"(?i)" + NUMBER + r"\s*cad\b"
-USUAL_PRICE = r"(?i)prezzo normale\s*(?:(?:€|euro)\s*" + NUMBER + r"|" + NUMBER + r"\s*(?:€|euro)?)"
-PER_KG = r"(?i)/\s*kg\b|\bal\s+kg\b"
-LOYALTY = r"(?i)\bcarta\s+(?:fidelity|fedelt)"
-MULTI_PACK = r"(?i)\b(\d+)\s*x\s*" + NUMBER + r"\s*" + UNIT
-N_FOR_M = r"(?i)\b(\d+)\s*x\s*(\d+)\b(?!\s*(?:kg|gr?|mg|lt?|cl|ml)\b|[.,]\d)"
-PIECES_TOTAL = r"(?i)\b(\d+)\s*(?:pz|pezzi)\b\.?\s*,?\s*" + NUMBER + r"\s*" + UNIT
-PIECES = r"(?i)\b(\d+)\s*(?:pz|pezzi)\b"
-SINGLE = r"(?i)\b" + NUMBER + r"\s*" + UNIT
-PORTION = r"(?i)(?:€\s*\d+(?:[.,]\d+)?|\d+(?:[.,]\d+)?\s*€)\s+a\s+(\p{L}+)"
-ABOUT = r"(?i)\((circa\s+[^)]+)\)"
+PRICE = r"(?:€|euro)\s*\d+(?:[.,]\d{1,2})?|\d+(?:[.,]\d{1,2})?\s*(?:€|euro)"
+EACH = NUMBER + r"\s*cad\b"
+USUAL_PRICE = r"prezzo normale\s*(?:(?:€|euro)\s*" + NUMBER + r"|" + NUMBER + r"\s*(?:€|euro)?)"
+PER_KG = r"/\s*kg\b|\bal\s+kg\b"
+LOYALTY = r"\bcarta\s+(?:fidelity|fedelt)"
+MULTI_PACK = r"\b(\d+)\s*x\s*" + NUMBER + r"\s*" + UNIT
+N_FOR_M = r"\b(\d+)\s*x\s*(\d+)\b(?!\s*(?:kg|gr?|mg|lt?|cl|ml)\b|[.,]\d)"
+PIECES_TOTAL = r"\b(\d+)\s*(?:pz|pezzi)\b\.?\s*,?\s*" + NUMBER + r"\s*" + UNIT
+PIECES = r"\b(\d+)\s*(?:pz|pezzi)\b"
+SINGLE = r"\b" + NUMBER + r"\s*" + UNIT
+PORTION = r"(?:€\s*\d+(?:[.,]\d+)?|\d+(?:[.,]\d+)?\s*€)\s+a\s+(\p{L}+)"
+ABOUT = r"\((circa\s+[^)]+)\)"
 SERVICES = r"(?i)\b(?:abbonament[oi]|viaggio?|vacanz[ae]|crocier[ae]|polizz[ae]|assicurazion[ei])\b"
 
+# Words without which a pattern above cannot match.
+EURO_WORDS, PIECE_WORDS, X_WORDS, KG_WORDS = ("€", "euro"), ("pz", "pezzi"), ("x",), ("kg",)
+UNIT_LETTERS = ("g", "l")
+
 NOTE_LOYALTY = "Valido solo con carta fedeltà"
 
 
@@ -52,47 +56,53 @@ def in_scope(text: Column, services: str = SERVICES) -> Column:
 
 
 def _last_price(text: Column) -> Column:
-    """The last price that is not named as the usual one."""
-    offered = F.regexp_replace(text, USUAL_PRICE, "")
-    last = F.try_element_at(F.regexp_extract_all(offered, F.lit(PRICE), F.lit(0)), F.lit(-1))
-    return number(F.regexp_replace(last, r"[^\d.,]", ""))
+    """The last price in a lower-case text that is not named as the usual one."""
+    usual = F.when(text.contains("prezzo normale"), F.regexp_replace(text, USUAL_PRICE, "")).otherwise(text)
+    last = F.try_element_at(F.regexp_extract_all(usual, F.lit(PRICE), F.lit(0)), F.lit(-1))
+    return F.when(mentions(text, EURO_WORDS), number(F.regexp_replace(last, r"[^\d.,]", "")))
 
 
 def final_price(text: Column) -> Column:
     """The price to pay: the one per piece if named, else the last that is not the usual one."""
-    return F.coalesce(number(groups(text, EACH, q=1)["q"]), _last_price(text))
+    return bind(
+        F.lower(text), lambda t: F.coalesce(number(groups(t, EACH, ("cad",), q=1)["q"]), _last_price(t))
+    )
 
 
 def _matches(text: Column) -> Column:
     """What the patterns find in a line, as one struct; an item without a match is null."""
+    return bind(F.lower(text), _matches_lower)
+
+
+def _matches_lower(text: Column) -> Column:
     found = {
         "price": _last_price(text),
-        "each": groups(text, EACH, q=1),
-        "per_kg": text.rlike(PER_KG),
-        "promo": groups(text, N_FOR_M, buy=1, pay=2),
-        "portion": F.regexp_extract(text, PORTION, 1),
-        "multi": groups(text, MULTI_PACK, n=1, q=2, u=3),
-        "total": groups(text, PIECES_TOTAL, n=1, q=2, u=3),
-        "pieces": F.regexp_extract(text, PIECES, 1).try_cast("double"),
-        "one": groups(text, SINGLE, q=1, u=2),
-        "loyalty": text.rlike(LOYALTY),
-        "about": F.regexp_extract(text, ABOUT, 1),
+        "each": groups(text, EACH, ("cad",), q=1),
+        "per_kg": mentions(text, KG_WORDS) & text.rlike(PER_KG),
+        "promo": groups(text, N_FOR_M, X_WORDS, buy=1, pay=2),
+        "portion": first_match(text, PORTION, (" a ",), 1),
+        "multi": groups(text, MULTI_PACK, X_WORDS, n=1, q=2, u=3),
+        "total": groups(text, PIECES_TOTAL, PIECE_WORDS, n=1, q=2, u=3),
+        "pieces": first_match(text, PIECES, PIECE_WORDS, 1).try_cast("double"),
+        "one": groups(text, SINGLE, UNIT_LETTERS, q=1, u=2),
+        "loyalty": text.contains("carta") & text.rlike(LOYALTY),
+        "about": first_match(text, ABOUT, ("(circa",), 1),
     }
     numbers = {
         "price": lambda m: F.coalesce(number(m["each"]["q"]), m["price"]),
         "per_kg": lambda m: m["per_kg"] & m["each"].isNull(),
         "buy": lambda m: m["promo"]["buy"].try_cast("int"),
         "pay": lambda m: m["promo"]["pay"].try_cast("int"),
-        "portion": lambda m: F.when(m["portion"] != "", F.lower(m["portion"])),
+        "portion": lambda m: F.when(m["portion"] != "", m["portion"]),
         "pack_n": lambda m: m["multi"]["n"].try_cast("double"),
         "pack_q": lambda m: number(m["multi"]["q"]),
-        "pack_u": lambda m: F.lower(m["multi"]["u"]),
+        "pack_u": lambda m: m["multi"]["u"],
         "total_n": lambda m: m["total"]["n"].try_cast("double"),
         "total_q": lambda m: number(m["total"]["q"]),
-        "total_u": lambda m: F.lower(m["total"]["u"]),
+        "total_u": lambda m: m["total"]["u"],
         "pieces": lambda m: m["pieces"],
         "one_q": lambda m: number(m["one"]["q"]),
-        "one_u": lambda m: F.lower(m["one"]["u"]),
+        "one_u": lambda m: m["one"]["u"],
         "loyalty": lambda m: m["loyalty"],
         "about": lambda m: F.when(m["about"] != "", m["about"]),
     }
@@ -188,10 +198,16 @@ def product_names(name: Column) -> Column:
 
 def base_name(text: Column) -> Column:
     """The product name: what comes before the first dash, without packs and prices."""
-    head = F.split(text, r"\s+[-–]\s+")[0]
-    for pattern in (ABOUT, PIECES_TOTAL, MULTI_PACK, N_FOR_M, PRICE, PER_KG, PIECES, SINGLE):
-        head = F.regexp_replace(head, pattern, "")
-    return F.trim(F.regexp_replace(F.regexp_replace(head, r"\s{2,}", " "), r"[\s,.;:(/-]+$", ""))
+    head = F.regexp_extract(text, r"^(.*?)(?:\s+[-–]\s|$)", 1)
+
+    def strip(rest: Column) -> Column:
+        for pattern in (ABOUT, PIECES_TOTAL, MULTI_PACK, N_FOR_M, PRICE, PER_KG, PIECES, SINGLE):
+            rest = F.regexp_replace(rest, "(?i)" + pattern, "")
+        return F.regexp_replace(rest, r"\s{2,}", " ")
+
+    # A name without digits and brackets has nothing to strip.
+    bare = bind(head, lambda h: F.when(h.rlike(r"\d|\("), strip(h)).otherwise(h))
+    return F.trim(F.regexp_replace(bare, r"[\s,.;:(/-]+$", ""))
 
 
 def read_offers(text: Column, as_of: Column, category: Column) -> Column:
@@ -220,4 +236,5 @@ def read_offers(text: Column, as_of: Column, category: Column) -> Column:
         keep = r["pack"]["price"].isNotNull() & (F.length(r["name"]) > 0)
         return F.when(keep, found).otherwise(F.array().cast(offers_type()))
 
-    return F.when(in_scope(text), bind(line, offers)).otherwise(F.array().cast(offers_type()))
+    priced = mentions(F.lower(text), EURO_WORDS)
+    return F.when(priced & in_scope(text), bind(line, offers)).otherwise(F.array().cast(offers_type()))

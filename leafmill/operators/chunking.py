@@ -41,7 +41,12 @@ def split_chunks(
     )
 
 
-def spread(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Redistribute chunks before a slow step, by a hash that a replay reproduces."""
-    keys = ("checksum", "chunk_n")
-    return chunks.repartition(partitions, *keys) if partitions else chunks.repartition(*keys)
+def spread(
+    rows: DataFrame, partitions: int | None = None, keys: tuple[str, ...] = ("checksum", "chunk_n")
+) -> DataFrame:
+    """Redistribute rows before a slow step, by a hash that a replay reproduces.
+
+    What a row costs there has nothing to do with how the files happen to be cut, and
+    no statistics can tell Spark. The keys should be as good as unique.
+    """
+    return rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)

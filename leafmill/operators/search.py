@@ -109,17 +109,17 @@ def text_rank(
 ) -> DataFrame:
     """The best ``k`` documents per query by BM25: ``query_id, rank, doc_id, score``.
 
-    Only terms that some query asks for leave the scan. They are shuffled once, on the
-    document id: term frequencies, lengths and scores are all grouped or joined on keys
-    that this partitioning already satisfies. Document lengths shrink to one row per
-    document before they are shuffled. Scores are summed as decimals, so equal documents
+    The texts are shuffled once, on the document id, before they are cut into words, which
+    is smaller than the words would be. Term frequencies, lengths and scores are then all
+    grouped or joined on keys that this partitioning already satisfies, and only terms
+    that some query asks for are kept. Scores are summed as decimals, so equal documents
     tie exactly and the id decides.
     """
     term = stem(F.col("word")).alias("term")
     asked = kept_words(queries, query_id, query, stop_words).select(query_id, term)
     asked = asked.groupBy(query_id, "term").agg(F.count("*").alias("weight"))
 
-    found = kept_words(documents, doc_id, text, stop_words)
+    found = kept_words(documents.select(doc_id, text).repartition(doc_id), doc_id, text, stop_words)
     lengths = found.groupBy(doc_id).agg(F.count("*").alias("length"))
     n_docs = documents.agg(F.count("*").alias("n")).scalar()
     mean_length = lengths.agg(F.sum("length").alias("n")).scalar() / n_docs
@@ -127,7 +127,6 @@ def text_rank(
     postings = (
         found.select(doc_id, term)
         .join(asked.select("term").distinct(), "term", "left_semi")
-        .repartition(doc_id)
         .groupBy(doc_id, "term")
         .agg(F.count("*").alias("tf"))
     )

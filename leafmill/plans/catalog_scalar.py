@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafmill.functions import dates, packs, text as texts
-from leafmill.operators.chunking import split_chunks
+from leafmill.operators.chunking import split_chunks, spread
 from leafmill.operators.extraction import Retry, extract_json, extract_with, split_valid
 from leafmill.operators.embedding import HashingEmbedder, attach_vectors, embed_offers, embed_texts
 from leafmill.operators.offers import explode_offers, offer_rows
@@ -170,6 +170,7 @@ def offer_dates(spark, sf_dir):
     rows = standins.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", written.alias("written")
     )
+    rows = spread(rows, keys=("l_orderkey", "l_linenumber"))
     found = dates.validity_span(F.col("written"), F.col("l_shipdate"))
     return rows.select(
         "l_orderkey", "l_linenumber",
@@ -356,6 +357,7 @@ def pack_arithmetic(spark, sf_dir):
         .otherwise(F.concat(F.lit("Passata "), q, F.lit(" g - "), price, F.lit(" €")))
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
+    rows = spread(rows, keys=("l_orderkey", "l_linenumber", "written"))
     return rows.select("l_orderkey", "l_linenumber", packs.pack(F.col("written")).alias("p")).select(
         "l_orderkey", "l_linenumber", "p.*"
     )
@@ -377,6 +379,7 @@ def promo_price(spark, sf_dir):
         F.lit(", paghi "), m, F.lit(") - €"), unit, F.lit(" a vasetto"),
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
+    rows = spread(rows, keys=("l_orderkey", "l_linenumber", "written"))
     w = F.col("written")
     return rows.select("l_orderkey", "l_linenumber", packs.pack_and_notes(w).alias("p")).select(
         "l_orderkey", "l_linenumber", "p.*"
