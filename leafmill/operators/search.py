@@ -103,43 +103,49 @@ def kept_words(rows: DataFrame, key: str, text: str, stop_words: list[str]) -> D
     return cut.filter(~F.col("word").isin(stop_words)) if stop_words else cut
 
 
+def term_index(
+    documents: DataFrame, stop_words: list[str], doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Postings ``doc_id, term, tf, length``, to be written once and asked many times.
+
+    The texts are shuffled once, on the document id, before they are cut into words, which
+    is smaller than the words would be. Counting terms and adding up lengths then need no
+    further shuffle. Sorted by term within a file, so that a reader skips what no query asks.
+    """
+    found = kept_words(documents.select(doc_id, text).repartition(doc_id), doc_id, text, stop_words)
+    counts = found.groupBy(doc_id, stem(F.col("word")).alias("term")).agg(F.count("*").alias("tf"))
+    length = F.sum("tf").over(Window.partitionBy(doc_id))
+    return counts.select(doc_id, "term", "tf", length.alias("length")).sortWithinPartitions("term")
+
+
 def text_rank(
-    documents: DataFrame, queries: DataFrame, k: int, stop_words: list[str],
-    doc_id: str = "doc_id", query_id: str = "query_id", text: str = "text", query: str = "query",
+    index: DataFrame, n_docs: Column, queries: DataFrame, k: int, stop_words: list[str],
+    doc_id: str = "doc_id", query_id: str = "query_id", query: str = "query",
 ) -> DataFrame:
     """The best ``k`` documents per query by BM25: ``query_id, rank, doc_id, score``.
 
-    The texts are shuffled once, on the document id, before they are cut into words, which
-    is smaller than the words would be. Term frequencies, lengths and scores are then all
-    grouped or joined on keys that this partitioning already satisfies, and only terms
-    that some query asks for are kept. Scores are summed as decimals, so equal documents
-    tie exactly and the id decides.
+    ``index``: a stored ``term_index``; ``n_docs``: how many documents it covers. Scores are
+    added up before they are shuffled, since the postings of a document lie in one file.
+    They are summed as decimals, so equal documents tie exactly and the id decides.
     """
-    term = stem(F.col("word")).alias("term")
-    asked = kept_words(queries, query_id, query, stop_words).select(query_id, term)
+    asked = kept_words(queries, query_id, query, stop_words).select(query_id, stem(F.col("word")).alias("term"))
     asked = asked.groupBy(query_id, "term").agg(F.count("*").alias("weight"))
+    mean_length = index.agg(F.sum("tf").alias("n")).scalar() / n_docs
 
-    found = kept_words(documents.select(doc_id, text).repartition(doc_id), doc_id, text, stop_words)
-    lengths = found.groupBy(doc_id).agg(F.count("*").alias("length"))
-    n_docs = documents.agg(F.count("*").alias("n")).scalar()
-    mean_length = lengths.agg(F.sum("length").alias("n")).scalar() / n_docs
-
-    postings = (
-        found.select(doc_id, term)
-        .join(asked.select("term").distinct(), "term", "left_semi")
-        .groupBy(doc_id, "term")
-        .agg(F.count("*").alias("tf"))
+    rarity = (
+        index.join(asked.select("term").distinct(), "term", "left_semi")
+        .groupBy("term").agg(F.count("*").alias("df"))
     )
-    rarity = postings.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     wanted = asked.join(rarity, "term").select(query_id, "term", "weight", idf.alias("idf"))
 
     norm = F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length)
-    weighted = postings.join(lengths, doc_id).select(
-        doc_id, "term", (F.col("tf") * (BM25_K1 + 1) / norm).alias("saturation")
+    part = F.col("weight") * F.col("idf") * (F.col("tf") * (BM25_K1 + 1) / norm)
+    scores = (
+        index.join(wanted, "term")
+        .groupBy(doc_id, query_id)
+        .agg(F.sum(part.cast("decimal(18,6)")).alias("score"))
     )
-    part = (F.col("weight") * F.col("idf") * F.col("saturation")).cast("decimal(18,6)")
-    scores = weighted.join(wanted, "term").groupBy(doc_id, query_id).agg(F.sum(part).alias("score"))
     best = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(doc_id))
     return (
         scores.withColumn("rank", F.row_number().over(best))

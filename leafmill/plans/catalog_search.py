@@ -14,6 +14,7 @@ from leafmill.functions.geo import EARTH_RADIUS_KM
 from leafmill.operators import search
 from leafmill.plans import standins
 from leafmill.plans.registry import query
+from leafmill.session import scratch_dir
 
 
 @query("facet", "select p_brand, p_type, count(*) as n from part group by 1, 2")
@@ -161,12 +162,15 @@ select item_id as query_id, rank::int as rank, doc_id, score::double as score fr
 @query("text_rank", _rank_sql())
 def text_rank(spark, sf_dir):
     """The ten best documents for every benchmark text, whole texts on both sides."""
+    stop_words = search.italian_stop_words()
+    documents = standins.table(spark, sf_dir, "documents")
+    path = scratch_dir(spark, "terms")
+    search.term_index(documents, stop_words).write.parquet(path)
     queries = standins.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
-    return search.text_rank(
-        standins.table(spark, sf_dir, "documents"), queries, 10, search.italian_stop_words()
-    )
+    n_docs = documents.agg(F.count("*").alias("n")).scalar()
+    return search.text_rank(spark.read.parquet(path), n_docs, queries, 10, stop_words)
 
 
 @query(
