@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Any
 
 import pandas as pd
@@ -54,8 +55,8 @@ def extract_with(
 ) -> DataFrame:
     """Run ``extractor(chunk)`` once per row; typed result columns, ``attempts``, ``error``.
 
-    The extractor returns a dict of ``schema`` fields; wall time and the offer count are
-    filled in here. A chunk that keeps failing becomes a row with ``error`` set.
+    The extractor returns a dict of ``schema`` fields; wall time, time stamp and
+    offer count are filled in here. A chunk that keeps failing becomes a row with ``error`` set.
     """
     keys = [f for f in chunks.schema.fields if f.name != chunk]
     names = [f.name for f in schema.fields]
@@ -76,6 +77,8 @@ def extract_with(
                 row = {name: None for name in names} | (result or {})
                 if "processing_time_seconds" in row and row["processing_time_seconds"] is None:
                     row["processing_time_seconds"] = time.perf_counter() - started
+                if "processed_at" in row and row["processed_at"] is None:
+                    row["processed_at"] = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
                 if row.get("offers_count", 0) is None and row.get("offers_data") is not None:
                     row["offers_count"] = len(row["offers_data"])
                 rows.append(row | {"attempts": attempts, "error": error})

@@ -35,13 +35,14 @@ def first_arrivals(
 ) -> DataFrame:
     """One row per chunk number, the first by ``arrival``; any of them when copies are equal.
 
-    Reduced before the shuffle, so copies of one hot chunk never meet in one task.
+    Reduced before the shuffle, so copies of one hot chunk never meet in one task. The
+    arrival is wrapped in a struct, since ``min_by`` leaves out rows with a null order.
     """
     if arrival is None:
         return chunks.dropDuplicates(list(keys))
     arrival = F.col(arrival) if isinstance(arrival, str) else arrival
     rest = [c for c in chunks.columns if c not in keys]
-    first = chunks.groupBy(*keys).agg(F.min_by(F.struct(*rest), arrival).alias("_first"))
+    first = chunks.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(arrival)).alias("_first"))
     return first.select(*keys, "_first.*")
 
 

@@ -89,7 +89,7 @@ def new_flyers(messages: DataFrame, stored: DataFrame | None = None) -> DataFram
     """The first message of every checksum that is not stored, with all its columns."""
     columns = [c for c in messages.columns if c != "checksum"]
     first = messages.groupBy("checksum").agg(
-        F.min_by(F.struct(*columns), "arrival").alias("_first")
+        F.min_by(F.struct(*columns), F.struct("arrival")).alias("_first")
     )
     first = first.select("checksum", "_first.*")
     return first if stored is None else unseen(first, stored)
@@ -101,7 +101,7 @@ def new_places(messages: DataFrame, stored_places: DataFrame | None = None) -> D
     first = (
         entries.filter("entry is not null")
         .groupBy("checksum", F.col("entry.placeId").alias("place_id"))
-        .agg(F.min_by("entry", "arrival").alias("entry"), F.min("arrival").alias("arrival"))
+        .agg(F.min_by("entry", F.struct("arrival")).alias("entry"), F.min("arrival").alias("arrival"))
     )
     if stored_places is None:
         return first

@@ -76,5 +76,5 @@ def latest_versions(rows: DataFrame, key: str | list[str], version: str | Column
     keys = [key] if isinstance(key, str) else list(key)
     version = F.col(version) if isinstance(version, str) else version
     rest = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("_last"))
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(version)).alias("_last"))
     return last.select(*keys, "_last.*")
