@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leafmill.functions.geo import haversine_km, space_cell, touching_cells
 from leafmill.functions.text import stem, without_elision, words
+from leafmill.session import scratch_dir
 
 # The usual BM25 constants.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -179,20 +181,17 @@ def _block_neighbours(rows: DataFrame, ids: list, matrix: np.ndarray, k: int, di
             width = kept_sims.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(np.arange(len(ids), dtype=np.int32), width)),
+                    pa.array(np.repeat(np.asarray(ids, dtype=np.int64), width)),
                     pa.array(kept_ids.ravel()),
                     pa.array(kept_sims.ravel()),
                 ],
-                names=["_q", "row_id", "similarity"],
+                names=["query_id", "row_id", "similarity"],
             )
 
-    found = rows.mapInArrow(partition_best, "_q int, row_id bigint, similarity double")
-    best = Window.partitionBy("_q").orderBy(F.desc("similarity"), F.asc("row_id"))
+    found = rows.mapInArrow(partition_best, "query_id bigint, row_id bigint, similarity double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("row_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    names = F.array(*[F.lit(i) for i in ids])
-    return ranked.select(
-        F.element_at(names, F.col("_q") + 1).alias("query_id"), "rank", "row_id", "similarity"
-    )
+    return ranked.select("query_id", "rank", "row_id", "similarity")
 
 
 def nearest(
@@ -203,23 +202,28 @@ def nearest(
 
     No row is paired with a query in the plan. The query vectors are a request, read in
     blocks of bounded size; each task scores its rows against a block by one matrix product
-    and keeps ``k`` per query, so only tasks x queries x k rows are shuffled. A larger
-    request costs one more pass over the rows per block, never more memory.
+    and keeps ``k`` per query, so only tasks x queries x k rows are shuffled. A request of
+    more than one block costs a pass over the rows per block; each block's answer is then
+    written to the shared scratch folder before the next is read, so the driver never holds
+    more than one.
     """
     base = rows.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(vector).alias("v"))
     base = base.filter("v is not null")
-    found, ids, vectors = [], [], []
-    for row in queries.select(query_id, query_vector).toLocalIterator():
-        ids.append(row[0])
-        vectors.append(row[1])
-        if len(ids) == QUERY_BLOCK:
-            found.append(_block_neighbours(base, ids, np.asarray(vectors, dtype=np.float64), k, digits))
-            ids, vectors = [], []
-    if ids:
-        found.append(_block_neighbours(base, ids, np.asarray(vectors, dtype=np.float64), k, digits))
-    if not found:
-        return base.select(
-            F.lit(None).cast("bigint").alias("query_id"), F.lit(0).alias("rank"), "row_id",
-            F.lit(0.0).alias("similarity"),
-        ).limit(0)
-    return reduce(DataFrame.unionByName, found)
+    asked = queries.select(F.col(query_id).cast("bigint"), query_vector)
+    blocks = _blocks(asked.toLocalIterator(), QUERY_BLOCK)
+    first = next(blocks, None)
+    if first is None:
+        return base.sparkSession.createDataFrame([], "query_id bigint, rank int, row_id bigint, similarity double")
+    second = next(blocks, None)
+    if second is None:
+        return _block_neighbours(base, *first, k, digits)
+    path = scratch_dir(base.sparkSession, "neighbours")
+    for block in chain((first, second), blocks):
+        _block_neighbours(base, *block, k, digits).write.mode("append").parquet(path)
+    return base.sparkSession.read.parquet(path)
+
+
+def _blocks(rows: Iterator, size: int) -> Iterator[tuple[list, np.ndarray]]:
+    """``(ids, matrix)`` of up to ``size`` query rows at a time."""
+    while part := list(islice(rows, size)):
+        yield [row[0] for row in part], np.asarray([row[1] for row in part], dtype=np.float64)

@@ -38,9 +38,12 @@ def streaming_session(spark: SparkSession, drain: bool = False) -> SparkSession:
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not drain).lower())
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
-    # Stateful operators keep their partition count for life: take the caller's, not the default.
+    # Stateful operators keep their partition count for life, and each partition is a state
+    # store and a Python worker in every batch: as many as the caller shuffles with, but no
+    # more than there are cores.
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set(
-        "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+        "spark.sql.shuffle.partitions", str(min(shuffles, spark.sparkContext.defaultParallelism))
     )
     return session
 
