@@ -22,10 +22,14 @@ def message_json(*columns: str | Column) -> Column:
     return F.to_json(F.struct(*(columns or MESSAGE.fieldNames())))
 
 
-def read_message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def read_message_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, since: str | None = None
+) -> DataFrame:
     """Messages from a folder of JSON-line files, in micro-batches of so many files.
 
-    ``at`` and ``part`` say which file, and which stretch of it, a message came from.
+    ``at`` and ``part`` say which file, and which stretch of it, a message came from. A
+    flow that must ignore what was there before it was first started gives that time as
+    ``since``; a topic does the same with its starting offsets.
     """
     reader = spark.readStream.format("text").schema("value string")
     if files_per_batch:
@@ -36,6 +40,8 @@ def read_message_stream(spark: SparkSession, path: str, files_per_batch: int | N
         F.col("_metadata.file_modification_time").alias("at"),
         F.concat_ws("#", "_metadata.file_path", block).alias("part"),
     )
+    if since is not None:
+        raw = raw.filter(F.col("at") >= F.lit(since).cast("timestamp"))
     return parse_messages(raw)
 
 

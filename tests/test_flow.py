@@ -161,3 +161,55 @@ def test_embedder_failure_keeps_offers(spark):
 
     kept = embed_offers(rows, down, Retry(attempts=2, first_delay=0.0)).first()["offers_data"]
     assert [o["embeddings"] for o in kept] == [None, None]
+
+
+def test_older_files_can_be_left_out(spark):
+    root = scratch_dir(spark, "test-since")
+    session = streaming_session(spark, drain=True)
+    spark.createDataFrame([(message("a" * 64, "u/x", "p"),)], "value string").write.text(f"{root}/inbox")
+    seen = {}
+    for name, since in (("all", "2000-01-01"), ("none", "2999-01-01")):
+        rows = read_message_stream(session, f"{root}/inbox", since=since)
+        flow.finish(
+            rows.writeStream.format("parquet").option("path", f"{root}/{name}")
+            .option("checkpointLocation", f"{root}/c-{name}").trigger(availableNow=True).start()
+        )
+        seen[name] = spark.read.schema(rows.schema).parquet(f"{root}/{name}").count()
+    assert seen == {"all": 1, "none": 0}
+
+
+def test_batches_are_released(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    store = flow.Store(scratch_dir(spark, "test-release"))
+    store.create(spark)
+    rows = spark.createDataFrame([(message("a" * 64, "u/x", "p"),)], "value string")
+    from leafmill.sources.messages import parse_messages
+
+    batch = parse_messages(rows).withColumns({"at": F.current_timestamp(), "part": F.lit("f")})
+    flow.ingest_batch(batch, 0, store)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    import leafmill.session as session_module
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.checkpoint.dir": "hdfs://shared/scratch/"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    assert session_module.scratch_dir(Session(), "x").startswith("hdfs://shared/scratch/x-")
+
+
+def test_progress_log():
+    from types import SimpleNamespace
+
+    from leafmill.streaming.progress import ProgressLog
+
+    seen = []
+    log = ProgressLog(seen.append)
+    row = SimpleNamespace(asDict=lambda: {"chunks": 3})
+    log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=1, numInputRows=3, observedMetrics={"chunks": row})))
+    assert seen == [{"event": "progress", "batch_id": 1, "rows": 3, "chunks": {"chunks": 3}}]
