@@ -4,7 +4,7 @@ The state of an open flyer is one small value: counters, chunk numbers seen, and
 each carried field the lowest chunk that had it. That keeps the result independent of the
 arrival order and equal to the batch form. A complete flyer leaves only a tombstone,
 which stops redelivered chunks and expires; by then the stored-flyer test rejects the
-checksum at intake.
+checksum at intake. A flyer has few chunks, so rows come one by one rather than as frames.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from leafmill.operators.fold import COUNTERS
@@ -24,7 +23,7 @@ COMPLETE, INCOMPLETE = "complete", "incomplete"
 OUTPUT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FOLD_OUTPUT.fields) + ", status string"
 
 # Fields taken from the lowest chunk that has them, each with that chunk's number.
-_SPOT = ("place_id", "lat", "lon")
+_LOWEST = (("spot_n", ("place_id", "lat", "lon")), ("name_n", ("place_name",)), ("address_n", ("address",)))
 _STATE = (
     "seen array<int>, chunk_total int, last_n int, url string, filename string,"
     " spot_n int, place_id string, lat double, lon double, name_n int, place_name string,"
@@ -37,13 +36,6 @@ _FIELDS = [part.split()[0] for part in _STATE.replace("array<int>", "ints").spli
 _DAY_MS = 24 * 60 * 60 * 1000
 
 
-def _plain(value):
-    """A Python value or None out of a pandas cell."""
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return None
-    return value.item() if hasattr(value, "item") else value
-
-
 class FlyerFold(StatefulProcessor):
     """See the module text. ``give_up_ms`` reports a flyer still open after that time."""
 
@@ -56,35 +48,32 @@ class FlyerFold(StatefulProcessor):
         self.open = handle.getValueState("open", _STATE)
         self.done = handle.getValueState("done", "at timestamp", self.tombstone_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if self.done.exists():
             return
-        fresh = not self.open.exists()
-        state = {"seen": []} if fresh else dict(zip(_FIELDS, self.open.get()))
-        seen = set(state["seen"])
-        for frame in rows:
-            frame = frame.drop_duplicates("chunk_n")
-            frame = frame[~frame["chunk_n"].isin(seen)]
-            if frame.empty:
-                continue
-            seen.update(int(n) for n in frame["chunk_n"])
-            self._add(state, frame.sort_values("chunk_n"))
+        stored = self.open.get() if self.open.exists() else None
+        state = dict(zip(_FIELDS, stored or [None] * len(_FIELDS)))
+        seen = set(state["seen"] or ())
+        for row in rows:
+            if row.chunk_n not in seen:
+                seen.add(row.chunk_n)
+                self._add(state, row)
         if not seen:
             return
         state["seen"] = sorted(seen)
         if len(seen) == state["chunk_total"]:
             yield self._row(key[0], state, COMPLETE)
-            if not fresh:
+            if stored is not None:
                 self.open.clear()
             self.done.update((datetime.now(timezone.utc).replace(tzinfo=None),))
             for timer in list(self.handle.listTimers()) if self.give_up_ms else []:
                 self.handle.deleteTimer(timer)
             return
-        self.open.update(tuple(state.get(name) for name in _FIELDS))
-        if fresh and self.give_up_ms:
+        self.open.update(tuple(state[name] for name in _FIELDS))
+        if stored is None and self.give_up_ms:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.give_up_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.open.exists():
             state = dict(zip(_FIELDS, self.open.get()))
             yield self._row(key[0], state, INCOMPLETE)
@@ -93,42 +82,31 @@ class FlyerFold(StatefulProcessor):
         pass
 
     @staticmethod
-    def _add(state: dict, frame: pd.DataFrame) -> None:
-        """Add new chunks, in chunk order, to the state."""
-        for name in (*COUNTERS, "processing_time_seconds"):
-            total = frame[name].sum(skipna=True)
-            kind = float if name == "processing_time_seconds" else int
-            state[name] = kind((state.get(name) or 0) + total)
-        state["chunk_total"] = max(state.get("chunk_total") or 0, int(frame["chunk_total"].max()))
-
-        days = [_plain(d) for d in frame["staged_on"]]
-        days = [d for d in (*days, state.get("staged_from"), state.get("staged_to")) if d is not None]
-        state.update(staged_from=min(days, default=None), staged_to=max(days, default=None))
-
-        last = frame.iloc[-1]
-        if state.get("last_n") is None or last["chunk_n"] > state["last_n"]:
-            state.update(last_n=int(last["chunk_n"]), url=_plain(last["url"]), filename=_plain(last["filename"]))
-        head = frame[frame["chunk_n"] == 0]
-        if len(head):
-            state.update({c: _plain(head[c].iloc[0]) for c in ("validity_from", "validity_to")})
-
-        def take_lowest(number: str, columns: tuple[str, ...]) -> None:
-            having = frame[frame[list(columns)].notna().any(axis=1)]
-            if len(having):
-                first = having.iloc[0]
-                if state.get(number) is None or first["chunk_n"] < state[number]:
-                    state[number] = int(first["chunk_n"])
-                    state.update({c: _plain(first[c]) for c in columns})
-
-        take_lowest("spot_n", _SPOT)
-        take_lowest("name_n", ("place_name",))
-        take_lowest("address_n", ("address",))
+    def _add(state: dict, row: Row) -> None:
+        """Add one new chunk to the state."""
+        n = row.chunk_n
+        for name in COUNTERS:
+            state[name] = (state[name] or 0) + (row[name] or 0)
+        seconds = "processing_time_seconds"
+        state[seconds] = (state[seconds] or 0.0) + (row[seconds] or 0.0)
+        state["chunk_total"] = max(state["chunk_total"] or 0, row.chunk_total or 0)
+        if row.staged_on is not None:
+            state["staged_from"] = min(state["staged_from"] or row.staged_on, row.staged_on)
+            state["staged_to"] = max(state["staged_to"] or row.staged_on, row.staged_on)
+        if n == 0:
+            state.update(validity_from=row.validity_from, validity_to=row.validity_to)
+        if state["last_n"] is None or n > state["last_n"]:
+            state.update(last_n=n, url=row.url, filename=row.filename)
+        for number, columns in _LOWEST:
+            values = {c: row[c] for c in columns}
+            if any(v is not None for v in values.values()) and (state[number] is None or n < state[number]):
+                state.update(values)
+                state[number] = n
 
     @staticmethod
-    def _row(checksum: str, state: dict, status: str) -> pd.DataFrame:
-        values = {**state, "checksum": checksum, "chunks_seen": len(state["seen"])}
-        row = {f.name: [values.get(f.name)] for f in FOLD_OUTPUT.fields} | {"status": [status]}
-        return pd.DataFrame(row)
+    def _row(checksum: str, state: dict, status: str) -> Row:
+        values = {**state, "checksum": checksum, "chunks_seen": len(state["seen"]), "status": status}
+        return Row(**{name: values[name] for name in (*FOLD_OUTPUT.fieldNames(), "status")})
 
 
 def fold_stream(chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = None) -> DataFrame:
@@ -136,7 +114,7 @@ def fold_stream(chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms:
 
     Needs the RocksDB state store provider, see ``leafmill.session``.
     """
-    return chunks.groupBy("checksum").transformWithStateInPandas(
+    return chunks.groupBy("checksum").transformWithState(
         statefulProcessor=FlyerFold(tombstone_ms, give_up_ms),
         outputStructType=OUTPUT_DDL,
         outputMode="Append",

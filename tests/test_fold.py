@@ -2,9 +2,8 @@
 
 import random
 
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from leafmill.operators.fold import fold_batch, fold_totals, incomplete_flyers
 from leafmill.schemas import FOLD_INPUT, FOLD_OUTPUT
@@ -102,8 +101,8 @@ def fold_in_memory(rows, cuts, **options):
     processor.init(handle)
     for start, end in zip([0, *cuts], [*cuts, len(rows)]):
         if start < end:
-            pdf = pd.DataFrame(rows[start:end], columns=NAMES)
-            out += list(processor.handleInputRows((rows[0][0],), iter([pdf]), FakeClock()))
+            batch = [Row(**dict(zip(NAMES, values))) for values in rows[start:end]]
+            out += list(processor.handleInputRows((rows[0][0],), iter(batch), FakeClock()))
     return processor, handle, out
 
 
@@ -127,7 +126,7 @@ def test_any_order_copies_and_cuts_give_the_batch_row(spark):
     for arrivals, cuts in cases:
         _, handle, out = fold_in_memory(arrivals, cuts)
         assert len(out) == 1
-        got = out[0].astype(object).where(out[0].notna(), None).iloc[0]
+        got = out[0]
         assert {n: got[n] for n in OUT} == expected[arrivals[0][0]].asDict()
         assert not handle.states["open"].exists() and handle.states["done"].exists()
 
@@ -135,13 +134,13 @@ def test_any_order_copies_and_cuts_give_the_batch_row(spark):
 def test_redelivery_and_timer():
     rows = [chunk("a", 0, 2), chunk("a", 1, 2), chunk("a", 0, 2), chunk("a", 1, 2)]
     _, handle, out = fold_in_memory(rows, [1, 2], give_up_ms=500)
-    assert len(out) == 1 and out[0]["status"].tolist() == [COMPLETE]
+    assert len(out) == 1 and out[0]["status"] == COMPLETE
     assert handle.timers == []
 
     processor, handle, out = fold_in_memory([chunk("b", 1, 2)], [], give_up_ms=500)
     assert out == [] and handle.timers == [1_500]
     late = list(processor.handleExpiredTimer(("b",), FakeClock(), None))
-    assert late[0]["status"].tolist() == [INCOMPLETE] and late[0]["chunks_seen"].tolist() == [1]
+    assert late[0]["status"] == INCOMPLETE and late[0]["chunks_seen"] == 1
 
 
 @pytest.fixture
