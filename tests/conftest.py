@@ -16,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.unix.domain.socket.enabled", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
