@@ -17,7 +17,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # State is read and written in small messages between JVM and Python worker: over a
-    # domain socket the fold takes less than half the time it takes over TCP.
+    # domain socket the whole flow took 27 s on test data, over TCP 42 s.
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
