@@ -31,6 +31,35 @@ ELISIONS = (
     "degl", "negl", "sugl", "un", "m", "t", "s", "v", "d",
 )
 
+# Italian function words that a search ignores. The forms of avere, essere, fare
+# and stare follow from stems and endings.
+_FUNCTION_WORDS = (
+    "ad al allo ai agli all agl alla alle con col coi da dal dallo dai dagli dall dagl dalla dalle di del dello dei "
+    "degli dell degl della delle in nel nello nei negli nell negl nella nelle su sul sullo sui sugli sull sugl sulla "
+    "sulle per tra contro io tu lui lei noi voi loro mio mia miei mie tuo tua tuoi tue suo sua suoi sue nostro nostra "
+    "nostri nostre vostro vostra vostri vostre mi ti ci vi lo la li le gli ne il un uno una ma ed se perché anche come "
+    "dov dove che chi cui non più quale quanto quanti quanta quante quello quelli quella quelle questo questi questa "
+    "queste si tutto tutti a c e i l o"
+)
+_IRREGULAR_FORMS = (
+    "ho hai ha abbiamo avete hanno ebbi ebbe ebbero avendo avuto avuta avuti avute sono sei è siamo siete fui fosti fu "
+    "fummo foste furono fossi fosse fossimo fossero ero eri era eravamo eravate erano essendo faccio fai facciamo fanno "
+    "feci fece fecero facendo sto stai sta stiamo stanno stetti stette stettero stando"
+)
+_VERB_FORMS = (
+    (("avr", "sar", "far", "star"), ("ò", "ai", "à", "emo", "ete", "anno", "ei", "esti", "ebbe", "emmo", "este", "ebbero")),
+    (("avev", "facev", "stav"), ("o", "i", "a", "amo", "ate", "ano")),
+    (("av", "fac", "st"), ("esti", "emmo", "este", "essi", "esse", "essimo", "essero")),
+    (("abbi", "si", "facci", "sti"), ("a", "ate", "ano")),
+)
+ITALIAN_STOP_WORDS = tuple(
+    dict.fromkeys(
+        _FUNCTION_WORDS.split()
+        + _IRREGULAR_FORMS.split()
+        + [stem_ + ending for stems, endings in _VERB_FORMS for stem_ in stems for ending in endings]
+    )
+)
+
 # A search token, the elided head of one, and the light Italian suffixes
 # (words of six letters or more lose a final vowel, or -he -ie -hi -ii -ia -io).
 TOKEN = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"

@@ -8,7 +8,6 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leafmill.functions.geo import haversine_km, space_cell, touching_cells
@@ -94,10 +93,6 @@ def near_points(rows: DataFrame, points: DataFrame, radius_km: float) -> DataFra
     return placed.join(cells, "_cell").withColumn("km", km).filter(F.col("km") <= radius_km).drop("_cell")
 
 
-def italian_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("italian")
-
-
 def kept_words(rows: DataFrame, key: str, text: str, stop_words: list[str]) -> DataFrame:
     """One row ``key, word`` per word that counts: elisions cut, stop words dropped."""
     split = rows.select(key, F.explode(words(F.col(text))).alias("word"))

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as texts
@@ -120,16 +115,8 @@ def geo_near_points(spark, sf_dir):
     return found.select("s_suppkey", "n_nationkey", F.round("km", 3).alias("km"))
 
 
-def _stop_words() -> list[str]:
-    """Spark's own Italian list, read from its jar: SQL is built without a session."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        words = jar.read("org/apache/spark/ml/feature/stopwords/italian.txt").decode("utf-8")
-    return [w for w in words.split("\n") if w]
-
-
 def _terms_sql(table: str, key: str) -> str:
-    stop = ", ".join("'" + w.replace("'", "''") + "'" for w in _stop_words())
+    stop = ", ".join("'" + w.replace("'", "''") + "'" for w in texts.ITALIAN_STOP_WORDS)
     elided, suffix = texts.ELIDED.replace("'", "''"), texts.SUFFIX
     token = texts.TOKEN.replace("'", "''")
     return f"""(
@@ -159,10 +146,10 @@ select item_id as query_id, rank::int as rank, doc_id, score::double as score fr
 """
 
 
-@query("text_rank", _rank_sql())
+@query("text_rank", _rank_sql)
 def text_rank(spark, sf_dir):
     """The ten best documents for every benchmark text, whole texts on both sides."""
-    stop_words = search.italian_stop_words()
+    stop_words = list(texts.ITALIAN_STOP_WORDS)
     documents = standins.table(spark, sf_dir, "documents")
     path = scratch_dir(spark, "terms")
     search.term_index(documents, stop_words).write.parquet(path)

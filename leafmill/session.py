@@ -51,17 +51,19 @@ def streaming_session(spark: SparkSession, drain: bool = False) -> SparkSession:
     return session
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+def scratch_dir(spark: SparkSession, purpose: str, root: str | None = None) -> str:
+    """A fresh folder below ``root``, or ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the setting is absent (single-machine tests) is a local folder taken.
+    Only a session whose executors are threads of the driver may do without: it gets a local
+    folder. On a cluster such a folder would lose rows, so a missing setting is an error.
     """
-    root = None
     try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+        root = root or spark.conf.get("spark.checkpoint.dir", None)
     except PySparkException:
         pass
     root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="leafmill-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill.functions import text as texts
 from leafmill.functions.text import stem, without_elision
 from leafmill.operators import search
 from leafmill.plans import dashboards
@@ -65,7 +66,7 @@ def test_rank_finds_the_exact_text(spark):
     docs = spark.createDataFrame(
         [(1, "latte fresco intero"), (2, "biscotti al latte"), (3, "pane"), (4, "biscotti al latte")], "doc_id bigint, text string"
     )
-    stop = search.italian_stop_words()
+    stop = list(texts.ITALIAN_STOP_WORDS)
     asked = spark.createDataFrame([(1, "il biscotto con latte")], "query_id bigint, query string")
     best = search.text_rank(search.term_index(docs, stop), F.lit(4), asked, 3, stop)
     assert [r["doc_id"] for r in best.orderBy("rank").collect()] == [2, 4, 1]

