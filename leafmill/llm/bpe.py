@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -19,9 +20,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import texts_of
+from leafmill.llm.common import kept_in_worker, texts_of
 
-MEMORY_CHUNKS = 200_000
+MEMORY_CHUNKS = 600_000
 SHORT_WORD = 256
 NO_RANK = 1 << 60
 
@@ -37,6 +38,10 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+def pair_key(left: int, right: int) -> int:
+    return left << 32 | right
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizers JSON file: NFC, lower case, white space dropped, word ends marked."""
 
@@ -49,35 +54,40 @@ class WordBpe:
         self.tokens = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (left, right) in enumerate(model["merges"]):
-            self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
+        pairs = [(self.vocab[left], self.vocab[right]) for left, right in model["merges"]]
+        self.ranks = {pair_key(*pair): rank for rank, pair in enumerate(pairs)}
+        self.merged = [self.vocab[left + right] for left, right in model["merges"]]
         splitter = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(splitter["pattern"]["Regex"])
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.alphabet = byte_alphabet()
+        alphabet = byte_alphabet()
+        self.inner_ids = [self.vocab.get(c) for c in alphabet]
+        self.last_ids = [self.vocab.get(c + self.end) for c in alphabet]
+        self.known_words: dict[str, list[int]] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
-        symbols = [self.alphabet[b] for b in word.encode("utf-8")]
-        symbols[-1] += self.end
-        ids = [self.vocab[s] for s in symbols if s in self.vocab]
+        *inner, last = word.encode("utf-8")
+        ids = [self.inner_ids[b] for b in inner] + [self.last_ids[last]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
         return self._scan(ids) if len(ids) <= SHORT_WORD else self._heap(ids)
 
     def _rank(self, left: int, right: int) -> int:
-        return self.merges.get((left, right), (NO_RANK, 0))[0]
+        return self.ranks.get(pair_key(left, right), NO_RANK)
 
     def _scan(self, ids: list[int]) -> list[int]:
-        ranks = [self._rank(*pair) for pair in zip(ids, ids[1:])]
-        while ranks and (least := min(ranks)) < NO_RANK:
+        rank_of = self.ranks.get
+        ranks = [rank_of(left << 32 | right, NO_RANK) for left, right in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) != NO_RANK:
             i = ranks.index(least)
-            ids[i] = self.merges[ids[i], ids[i + 1]][1]
+            ids[i] = self.merged[least]
             del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = self._rank(ids[i - 1], ids[i])
+                ranks[i - 1] = rank_of(ids[i - 1] << 32 | ids[i], NO_RANK)
             if i < len(ranks):
-                ranks[i] = self._rank(ids[i], ids[i + 1])
+                ranks[i] = rank_of(ids[i] << 32 | ids[i + 1], NO_RANK)
         return ids
 
     def _heap(self, ids: list[int]) -> list[int]:
@@ -86,11 +96,11 @@ class WordBpe:
         queue = [x for x in queue if x[0] < NO_RANK]
         heapq.heapify(queue)
         while queue:
-            _, i, a, b = heapq.heappop(queue)
+            rank, i, a, b = heapq.heappop(queue)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue  # one of the two has been merged meanwhile
-            ids[i], ids[j] = self.merges[a, b][1], -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
@@ -100,8 +110,14 @@ class WordBpe:
         return [i for i in ids if i >= 0]
 
     def _plain(self, chunk: str) -> list[int]:
-        lowered = "".join(c.lower() for c in c_) if "Σ" in (c_ := unicodedata.normalize("NFC", chunk)) else c_.lower()
-        return [i for word in self.words.findall(lowered) for i in self.encode_word(word)]
+        # Letter by letter, so a final sigma gets no form of its own.
+        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        ids: list[int] = []
+        for word in self.words.findall(lowered):
+            if (found := self.known_words.get(word)) is None:
+                found = self.known_words[word] = self.encode_word(word)
+            ids += found
+        return ids
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space; the file's special strings are tokens of their own."""
@@ -119,12 +135,13 @@ class WordBpe:
         known = self.known
         if len(known) > MEMORY_CHUNKS:
             known.clear()
+            self.known_words.clear()
         chunks = WHITE.split(text) if SEPARATORS.search(text) else text.split()
         found = []
         for chunk in chunks:
             if (pair := known.get(chunk)) is None:
                 ids = self.encode_chunk(chunk)
-                pair = known[chunk] = np.asarray(ids, dtype="<u4").tobytes(), self.decode(ids)
+                pair = known[chunk] = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
             found.append(pair)
         return b"".join([p[0] for p in found]), " ".join([p[1] for p in found if p[0]])
 
@@ -146,7 +163,7 @@ def bpe_round_trip(
     names = [part.split()[0] for part in schema.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = WordBpe(tokenizer)
+        model = kept_in_worker(("bpe", tokenizer), lambda: WordBpe(tokenizer))
         for batch in batches:
             columns: list[list] = [[] for _ in names[1:]]
             for raw in texts_of(batch.column(1)):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from leafmill.llm import chat
+import public_tokenizers
+
+from leafmill.llm import bpe, chat, token_counts
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -30,3 +32,13 @@ from r group by conv_id
 def op4_chat_format(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.format_chats(chat.events_of_turns(turns.unionByName(chat.probe(spark)))))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_bpe_round_trip")
+def op8_bpe_round_trip(spark, sf_dir):
+    return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

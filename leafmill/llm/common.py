@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,6 +34,18 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
+def kept_in_worker(key: tuple, make):
+    """An object that outlives the task in its Python worker, made on first use.
+
+    Functions arrive in workers by value, so the globals of their modules don't outlive a task.
+    Only for what can be made again at any time: loaded vocabularies and bounded memories.
+    """
+    holder = sys.modules.setdefault("leafmill_worker_memory", types.ModuleType("leafmill_worker_memory"))
+    if key not in holder.__dict__:
+        holder.__dict__[key] = make()
+    return holder.__dict__[key]
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 texts of an Arrow column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

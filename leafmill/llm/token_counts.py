@@ -15,47 +15,77 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import by_bytes, texts_of
+from leafmill.llm.common import by_bytes, kept_in_worker, texts_of
 
 BATCH_BYTES = 1 << 20
-MEMORY_PIECES = 200_000
+MEMORY_PIECES = 1_000_000
 
-# Before a single space between two characters that are no white space: byte-level pre-tokenisation
-# starts a new word there whatever stands around it, so the counts of the pieces add up.
-SAFE_BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
+# Safe boundaries of byte-level pre-tokenisation: it starts a new word there whatever stands around, so
+# the counts of the pieces add up. One is before a single space between two characters that are no white
+# space, another between a letter and what follows the letters, if that is no white space.
+SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 
 class Lengths:
-    """Token counts by one tokenizer file, as its library gives them without special tokens added.
+    """Token counts by one byte-level tokenizer file, as its library gives them without special tokens added."""
 
-    ``boundary`` is where texts may be cut without changing the sum of the counts.
-    """
-
-    def __init__(self, path: str, boundary: re.Pattern = SAFE_BOUNDARY):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.boundary = boundary
-        self.known: dict[str, int] = {}
+        self.special = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        # Counts of whole texts, and of pieces that follow a single space, kept without it.
+        self.known: dict[str, int] = {"": 0}
+        self.spaced: dict[str, int] = {}
 
     def __call__(self, texts: list[bytes]) -> list[int]:
         out: list[int] = []
         for start, stop in by_bytes(texts, BATCH_BYTES):
-            cut = [self.boundary.split(t.decode("utf-8", "replace")) for t in texts[start:stop]]
-            self._learn(set(chain.from_iterable(cut)))
-            out += [sum(map(self.known.__getitem__, pieces)) for pieces in cut]
+            batch = [t.decode("utf-8", "replace") for t in texts[start:stop]]
+            cut = [text.split(" ") for text in batch]
+            if len(self.known) + len(self.spaced) > MEMORY_PIECES:
+                self.known, self.spaced = {"": 0}, {}
+            self._learn_spaced(set(chain.from_iterable(cut)) - self.spaced.keys())
+            self._learn([pieces[0] for pieces in cut])
+            out += [self._sum(text, pieces) for text, pieces in zip(batch, cut, strict=True)]
         return out
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > MEMORY_PIECES:
-            self.known.clear()
-        new = list(pieces - self.known.keys())
+    def _sum(self, text: str, pieces: list[str]) -> int:
+        rest = iter(pieces)
+        try:
+            return self.known[next(rest)] + sum(map(self.spaced.__getitem__, rest))
+        except KeyError:  # white space beside a space
+            careful = SINGLE_SPACE.split(text)
+            self._learn(careful)
+            return sum(map(self.known.__getitem__, careful))
+
+    def _learn_spaced(self, new: set[str]) -> None:
+        """Pieces after a single space; one with white space at an edge has no safe boundary there and is left out.
+
+        A word with marks behind it is cut once more, so that the word is encoded once whatever
+        marks follow; not where the marks could begin a special string.
+        """
+        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        cut = {p: m.groups() for p in plain if (m := WORD_AND_MARKS.fullmatch(p))}
+        cut = {p: parts for p, parts in cut.items() if not set(parts[1]) & set(self.special)}
+        words = [p for p in plain if p not in cut]
+        words += {word for word, _ in cut.values()} - self.spaced.keys() - set(words)
+        for start, stop in by_bytes(words, BATCH_BYTES):
+            self.spaced.update(zip(words[start:stop], self._encode([" " + p for p in words[start:stop]]), strict=True))
+        self._learn(list({marks for _, marks in cut.values()}))
+        self.spaced.update({p: self.spaced[word] + self.known[marks] for p, (word, marks) in cut.items()})
+
+    def _learn(self, pieces: list[str]) -> None:
+        new = list(set(pieces) - self.known.keys())
         for start, stop in by_bytes(new, BATCH_BYTES):
-            encoded = self.tokenizer.encode_batch_fast(new[start:stop], add_special_tokens=False)
-            self.known.update(zip(new[start:stop], map(len, encoded), strict=True))
+            self.known.update(zip(new[start:stop], self._encode(new[start:stop]), strict=True))
+
+    def _encode(self, pieces: list[str]) -> list[int]:
+        return list(map(len, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)))
 
 
 def count_tokens(
@@ -69,7 +99,7 @@ def count_tokens(
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = Lengths(tokenizer)
+        lengths = kept_in_worker(("lengths", tokenizer), lambda: Lengths(tokenizer))
         for batch in batches:
             texts = texts_of(batch.column(1))
             n_tokens = lengths(texts)
