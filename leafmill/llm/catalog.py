@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, token_counts
+from leafmill.llm import bpe, chat, near_dup, token_counts
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -42,3 +42,8 @@ def op6_token_counts(spark, sf_dir):
 @query("op8_bpe_round_trip")
 def op8_bpe_round_trip(spark, sf_dir):
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_minmax_near_dup")
+def op5_minmax_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=4)

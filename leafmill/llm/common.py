@@ -84,53 +84,78 @@ IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def _hash_block(data: np.ndarray) -> np.ndarray:
+def _hash_block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~IS_SPACE[data]
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.empty(0, dtype=np.uint64)
+        return np.empty(0, dtype=np.uint64), starts
     lengths = ends - starts
-    bytes_of_words = data[inside]
+    letters = data[inside]
     firsts = np.cumsum(lengths) - lengths
-    place = np.arange(len(bytes_of_words), dtype=np.int32) - np.repeat(firsts.astype(np.int32), lengths)
+    place = np.arange(len(letters), dtype=np.int32) - np.repeat(firsts.astype(np.int32), lengths)
     powers = np.ones(int(lengths.max()), dtype=np.uint64)
     powers[1:] = np.multiply.accumulate(np.full(len(powers) - 1, _STEP, dtype=np.uint64))
-    coded = _BYTE_CODES[bytes_of_words] * powers[place]
-    return mix64(np.add.reduceat(coded, firsts) + lengths.astype(np.uint64))
+    coded = _BYTE_CODES[letters] * powers[place]
+    return mix64(np.add.reduceat(coded, firsts) + lengths.astype(np.uint64)), starts
 
 
-def word_hashes(text: bytes, lower: bool, block: int = 1 << 22) -> np.ndarray:
-    """64-bit hashes of the words of a text, or of texts joined by white space.
+def _space_after(data: np.ndarray, start: int, stop: int) -> int:
+    """The last place in ``start..stop`` right after white space, else the first one behind ``stop``."""
+    if stop >= len(data):
+        return len(data)
+    gaps = np.flatnonzero(IS_SPACE[data[start:stop]])
+    if len(gaps):
+        return start + int(gaps[-1]) + 1
+    after = np.flatnonzero(IS_SPACE[data[stop:]])
+    return stop + int(after[0]) + 1 if len(after) else len(data)
 
-    Words are runs of bytes other than the six white-space ones. A word's hash is a sum over
-    its bytes of a code times a power by place, scrambled; it depends on the word alone. Long
-    texts are taken in blocks that end at white space, to bound memory.
+
+def word_hashes(texts: list[bytes], lower: bool, block: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, and where each text's words begin (one more: the end).
+
+    Words are runs of bytes other than the six white-space ones; with ``lower`` A-Z count as a-z. A
+    word's hash is a sum over its bytes of a code times a power by place, scrambled; it depends on
+    the word alone. Long texts are taken in blocks that end at white space, to bound memory.
     """
-    data = np.frombuffer(text, dtype=np.uint8)
+    data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
     if lower:
         data = LOWER[data]
-    out, start = [], 0
+    hashes, places, start = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)], 0
     while start < len(data):
-        stop = min(start + block, len(data))
-        if stop < len(data):
-            gaps = np.flatnonzero(IS_SPACE[data[start:stop]])
-            if len(gaps):
-                stop = start + int(gaps[-1]) + 1
-            else:
-                after = np.flatnonzero(IS_SPACE[data[stop:]])
-                stop = stop + int(after[0]) + 1 if len(after) else len(data)
-        out.append(_hash_block(data[start:stop]))
+        stop = _space_after(data, start, start + block)
+        found, at = _hash_block(data[start:stop])
+        hashes.append(found)
+        places.append(at + start)
         start = stop
-    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
-
-
-def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes of the ``n``-word shingles of one text, with repeats; of all words if there are fewer."""
-    if not len(words):
-        return words
-    width = min(n, len(words))
-    total = np.full(len(words) - width + 1, np.uint64(width), dtype=np.uint64)
-    for i in range(width):
-        total = mix64(total * _STEP + words[i : len(words) - width + 1 + i])
-    return total
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), begins)
+
+
+def shingle_sets(words: np.ndarray, begins: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``n``-word shingles of many texts as sorted 64-bit hashes, and where each text's begin.
+
+    A text of fewer words has its whole sequence as one shingle, one without words none.
+    """
+    sizes = np.diff(begins)
+    hashes, owners = [], []
+    for width in range(1, n + 1):
+        chosen = np.flatnonzero(sizes == width if width < n else sizes >= n)
+        if not len(chosen):
+            continue
+        counts = sizes[chosen] - width + 1
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1]) - np.repeat(ends - counts, counts) + np.repeat(begins[chosen], counts)
+        total = np.full(len(at), np.uint64(width))
+        for i in range(width):
+            total = mix64(total * _STEP + words[at + i])
+        hashes.append(total)
+        owners.append(np.repeat(chosen, counts))
+    if not hashes:
+        return np.empty(0, dtype=np.uint64), np.zeros(len(begins), dtype=np.int64)
+    shingles, owner = np.concatenate(hashes), np.concatenate(owners)
+    order = np.lexsort((shingles, owner))
+    shingles, owner = shingles[order], owner[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+    return shingles[new], np.searchsorted(owner[new], np.arange(len(begins)))
