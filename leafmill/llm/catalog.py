@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, near_dup, token_counts
+from leafmill.llm import bpe, chat, near_dup, quality, token_counts
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -47,3 +47,11 @@ def op8_bpe_round_trip(spark, sf_dir):
 @query("op5_minmax_near_dup")
 def op5_minmax_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=4)
+
+
+@query("op3_weak_quality")
+def op3_weak_quality(spark, sf_dir):
+    judged = quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )

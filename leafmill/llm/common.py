@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from leafmill.session import scratch_dir
 
-# The white space that separates words, as a byte pattern.
-SPACES = r"[\x20\x09-\x0D]+"
+# Texts that are worked on together in a task hold so many bytes, or are one text.
+GROUP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,30 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
+def annotate(
+    documents: DataFrame, text: str, carry: list[str], schema: str, make: Callable[[], Callable[[list[bytes]], list]]
+) -> DataFrame:
+    """``row`` (a struct of the carried columns) and the columns of ``schema``, computed from each whole text.
+
+    ``make`` is called once per task and gives a function from texts to one list or array per
+    column. Texts come in groups of bounded bytes; a null text counts as empty. Carried columns
+    sit in a struct, so their names clash with nothing.
+    """
+    kinds = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for batch in batches:
+            texts = texts_of(batch.column(1))
+            for start, stop in by_bytes(texts, GROUP_BYTES):
+                columns = compute(texts[start:stop])
+                arrays = [c if isinstance(c, pa.Array) else pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=["row", *kinds.names])
+
+    asked = documents.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(text).alias("text"))
+    return asked.mapInArrow(run, f"row {asked.schema['row'].dataType.simpleString()}, {schema}")
+
+
 def kept_in_worker(key: tuple, make):
     """An object that outlives the task in its Python worker, made on first use.
 
