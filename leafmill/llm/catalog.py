@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, near_dup, quality, token_counts
+from leafmill.llm import bpe, chat, langid, near_dup, quality, token_counts
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -55,3 +55,8 @@ def op3_weak_quality(spark, sf_dir):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
     )
+
+
+@query("op9_byte_gru_language")
+def op9_byte_gru_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
