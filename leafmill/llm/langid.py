@@ -20,90 +20,97 @@ LETTER = re.compile(r"[^\W\d_]")
 # Bounds of the training sample: so many documents, so many windows of each, of so many characters.
 SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_CHARS = 4_000, 4, 96
 
-HIDDEN, WINDOW, LANES = 12, 128, 1024
+HIDDEN, WINDOW, LANES = 8, 128, 1024
 STEPS, BATCH, RATE = 400, 192, 0.02
 SPACE = 32
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _squash(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|): saturates like tanh at a fraction of its cost; its slope is (1 - |result|) ** 2."""
+    return x / (np.abs(x) + np.float32(1))
+
+
+def _slope(squashed: np.ndarray) -> np.ndarray:
+    return np.square(np.float32(1) - np.abs(squashed))
 
 
 class ByteGru:
-    """Weights of both directions, stacked on the first axis, and of the output layer."""
+    """Weights of both directions, stacked on the first axis, and of the output layer.
+
+    Arrays are laid out by feature, then by lane (a window of text that is read along with others).
+    """
 
     def __init__(self, languages: list[str], hidden: int = HIDDEN, seed: int = 0):
         rng = np.random.default_rng(seed)
         self.languages = languages
         draw = lambda *shape, scale: rng.normal(0, scale, shape).astype(np.float32)
         self.weights = {
-            "x": draw(2, 256, 3 * hidden, scale=0.3),
-            "h": draw(2, hidden, 3 * hidden, scale=hidden**-0.5),
+            "x": draw(2, 256, 3 * hidden, scale=0.5),
+            "h": draw(2, 3 * hidden, hidden, scale=hidden**-0.5),
             "b": np.zeros((2, 1, 3 * hidden), dtype=np.float32),
-            "o": draw(2 * hidden, len(languages), scale=hidden**-0.5),
-            "c": np.zeros(len(languages), dtype=np.float32),
+            "o": draw(len(languages), 2 * hidden, scale=2 * hidden**-0.5),
+            "c": np.zeros((len(languages), 1), dtype=np.float32),
         }
 
     def states(self, codes: np.ndarray, trace: list | None = None) -> np.ndarray:
-        """Hidden states ``(2, places, lanes, hidden)`` of ``codes`` (places, lanes); the second direction runs backwards."""
+        """Hidden states ``(places, 2 * hidden, lanes)`` of ``codes`` (places, lanes); the second half read backwards."""
         w = self.weights
-        k = w["h"].shape[1]
-        places, lanes = codes.shape
-        h = np.zeros((2, lanes, k), dtype=np.float32)
-        out = np.empty((2, places, lanes, k), dtype=np.float32)
-        table = w["x"] + w["b"]
+        k, (places, lanes) = w["h"].shape[2], codes.shape
+        rows = (w["x"] + w["b"]).reshape(512, 3 * k)
+        both = np.stack([codes.astype(np.int64), codes[::-1].astype(np.int64) + 256], axis=1)
+        h = np.zeros((2, k, lanes), dtype=np.float32)
+        out = np.empty((places, 2 * k, lanes), dtype=np.float32)
         for t in range(places):
-            x = np.stack([table[0][codes[t]], table[1][codes[places - 1 - t]]])
-            u = h @ w["h"]
-            gates = _sigmoid(x[..., : 2 * k] + u[..., : 2 * k])
-            z, r = gates[..., :k], gates[..., k:]
-            n = np.tanh(x[..., 2 * k :] + r * u[..., 2 * k :])
+            x = np.ascontiguousarray(rows.take(both[t], axis=0).transpose(0, 2, 1))
+            u = w["h"] @ h
+            gates = _squash(x[:, : 2 * k] + u[:, : 2 * k])
+            gates += np.float32(1)
+            gates *= np.float32(0.5)
+            z, r = gates[:, :k], gates[:, k:]
+            n = _squash(x[:, 2 * k :] + r * u[:, 2 * k :])
             if trace is not None:
-                trace.append((h, u[..., 2 * k :], z, r, n))
+                trace.append((h, u[:, 2 * k :], z, r, n))
             h = n + z * (h - n)
-            out[0, t], out[1, places - 1 - t] = h
+            out[t, :k], out[places - 1 - t, k:] = h
         return out
 
     def probabilities(self, states: np.ndarray) -> np.ndarray:
-        """Of every language at every place, ``(places, lanes, languages)``."""
-        k = states.shape[-1]
-        logits = states[0] @ self.weights["o"][:k] + states[1] @ self.weights["o"][k:] + self.weights["c"]
-        logits -= logits.max(axis=-1, keepdims=True)
+        """Of every language at every place, ``(places, languages, lanes)``."""
+        logits = self.weights["o"] @ states + self.weights["c"]
+        logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        return logits / logits.sum(axis=-1, keepdims=True)
+        logits /= logits.sum(axis=1, keepdims=True)
+        return logits
 
     def gradients(self, codes: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross entropy over all places, and its gradients by backpropagation through time."""
         w = self.weights
-        k, (places, lanes) = w["h"].shape[1], codes.shape
+        k, (places, lanes) = w["h"].shape[2], codes.shape
         trace: list = []
         states = self.states(codes, trace)
-        p = self.probabilities(states)
+        d = self.probabilities(states)
         total = max(1.0, float(mask.sum()))
-        own = np.broadcast_to(labels, codes.shape)[..., None]
-        loss = -float((mask * np.log(np.take_along_axis(p, own, -1)[..., 0] + 1e-9)).sum()) / total
-        d = p.copy()
-        np.put_along_axis(d, own, np.take_along_axis(d, own, -1) - 1, -1)
-        d *= (mask / total)[..., None]
-        both = np.concatenate([states[0], states[1]], axis=-1).reshape(-1, 2 * k)
-        flat = d.reshape(-1, d.shape[-1])
+        own = np.arange(lanes)
+        loss = -float((mask * np.log(d[:, labels, own] + 1e-9)).sum()) / total
+        d[:, labels, own] -= 1
+        d *= (mask / np.float32(total))[:, None, :]
         grad = {name: np.zeros_like(v) for name, v in w.items()}
-        grad["o"], grad["c"] = both.T @ flat, flat.sum(axis=0)
-        back = np.stack([d @ w["o"][:k].T, d @ w["o"][k:].T])
-        dh = np.zeros((2, lanes, k), dtype=np.float32)
+        grad["o"], grad["c"] = np.einsum("tln,tkn->lk", d, states), d.sum(axis=(0, 2))[:, None]
+        back = w["o"].T @ d
+        dh = np.zeros((2, k, lanes), dtype=np.float32)
         for t in reversed(range(places)):
             h, un, z, r, n = trace[t]
-            dh = dh + np.stack([back[0, t], back[1, places - 1 - t]])
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=-1)
-            du = np.concatenate([dz, dr, dn * r], axis=-1)
-            grad["h"] += h.transpose(0, 2, 1) @ du
+            dh = dh + np.stack([back[t, :k], back[places - 1 - t, k:]])
+            dn = dh * (1 - z) * _slope(n)
+            dz = dh * (h - n) * (0.5 * _slope(2 * z - 1))
+            dr = dn * un * (0.5 * _slope(2 * r - 1))
+            dx = np.concatenate([dz, dr, dn], axis=1).transpose(0, 2, 1)
+            du = np.concatenate([dz, dr, dn * r], axis=1)
+            grad["h"] += du @ h.transpose(0, 2, 1)
             grad["b"] += dx.sum(axis=1, keepdims=True)
             for side, place in ((0, t), (1, places - 1 - t)):
                 np.add.at(grad["x"][side], codes[place], dx[side])
-            dh = dh * z + du @ w["h"].transpose(0, 2, 1)
+            dh = dh * z + w["h"].transpose(0, 2, 1) @ du
         return loss, grad
 
     def train(self, codes: np.ndarray, mask: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 1) -> ByteGru:
@@ -115,7 +122,11 @@ class ByteGru:
         square = {n: np.zeros_like(v) for n, v in self.weights.items()}
         for step in range(1, steps + 1):
             chosen = rng.choice(len(labels), BATCH, p=share)
-            _, grad = self.gradients(codes[chosen].T, mask[chosen].T, labels[chosen])
+            # Half of the windows are cut short, as short texts are.
+            length = np.where(rng.random(BATCH) < 0.5, codes.shape[1], rng.integers(4, 4 + codes.shape[1], BATCH))
+            real = np.arange(codes.shape[1]) < length[:, None]
+            cut = np.where(real, codes[chosen], np.uint8(SPACE))
+            _, grad = self.gradients(cut.T, (mask[chosen] * real).T, labels[chosen])
             rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
             for name, g in grad.items():
                 mean[name] += 0.1 * (g - mean[name])
@@ -135,7 +146,7 @@ class ByteGru:
             parts = [texts[i][b : b + WINDOW] for i, b in zip(whose, places, strict=True)]
             codes, mask = window_codes(parts, max(map(len, parts)))
             p = self.probabilities(self.states(codes.T))
-            np.add.at(total, whose, np.einsum("tnl,nt->nl", p, mask))
+            np.add.at(total, whose, np.einsum("tln,nt->nl", p, mask))
         return total / np.maximum(1, [[len(t)] for t in texts]) if len(texts) else total
 
 
