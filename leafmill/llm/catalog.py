@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, langid, near_dup, quality, token_counts
+from leafmill.llm import bpe, chat, embed_dedup, langid, near_dup, quality, token_counts
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -60,3 +60,8 @@ def op3_weak_quality(spark, sf_dir):
 @query("op9_byte_gru_language")
 def op9_byte_gru_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query("op2_cell_vector_dedup")
+def op2_cell_vector_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
