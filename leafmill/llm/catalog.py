@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, embed_dedup, langid, near_dup, quality, token_counts
+from leafmill.llm import bpe, chat, embed_dedup, langid, near_dup, quality, token_counts, toxicity
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -65,3 +65,9 @@ def op9_byte_gru_language(spark, sf_dir):
 @query("op2_cell_vector_dedup")
 def op2_cell_vector_dedup(spark, sf_dir):
     return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_counterfactual_toxicity")
+def op1_counterfactual_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge_toxicity(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
