@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, embed_dedup, langid, near_dup, quality, token_counts, toxicity
+from leafmill.llm import bpe, chat, embed_dedup, html_text, langid, near_dup, quality, token_counts, toxicity
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -71,3 +71,8 @@ def op2_cell_vector_dedup(spark, sf_dir):
 def op1_counterfactual_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.judge_toxicity(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+@query("op10_host_consensus_text")
+def op10_host_consensus_text(spark, sf_dir):
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
