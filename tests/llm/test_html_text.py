@@ -39,7 +39,7 @@ def test_very_long_pages_are_read_whole():
 
 def test_hosts_agree_on_a_path(spark):
     good = "<body><div class='story-1'><p>{}</p></div><div class='tail'><p>{}</p></div>"
-    rows = [(i, "https://User@A.example:80/x?y", good.format("The story of the day. " * 5, "Short tail."), "x") for i in range(5)]
+    rows = [(i, "https://User@A.example:80/x?y", good.format("The story of the day. " * 40, "Short tail."), "x") for i in range(5)]
     rows += [(9, "http://a.example/odd", good.format("Brief story.", "A tail that is longer than the story on this page. " * 3), "x")]
     rows += [(10, None, "<p>alone</p>", "x"), (None, "http://b.example", None, "x"), (11, "nonsense", "", "x"), (10, None, "<p>alone</p>", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string").repartition(3)
