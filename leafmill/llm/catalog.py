@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from leafmill.llm import bpe, chat, embed_dedup, html_text, langid, near_dup, quality, token_counts, toxicity
+from leafmill.llm import bpe, chat, embed_dedup, html_text, langid, mixing, near_dup, quality, token_counts, toxicity
 from leafmill.llm.common import table
 from leafmill.plans.registry import query
 
@@ -76,3 +77,13 @@ def op1_counterfactual_toxicity(spark, sf_dir):
 @query("op10_host_consensus_text")
 def op10_host_consensus_text(spark, sf_dir):
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op7_soft_mixing")
+def op7_soft_mixing(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    labelled = mixing.labelled_sample(documents, table(spark, sf_dir, "labels"), "lang")
+    return mixing.mix(documents.select("doc_id", "text"), labelled)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
