@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import annotate, crc_mod
+from leafmill.llm.common import annotate, crc_mod, stored
 
 # Words that name groups of people, by language; the first of each line is neutral.
 IDENTITY_TERMS = (
@@ -30,8 +29,8 @@ IDENTITY_TERMS = (
 GROUPS = tuple(tuple(line.split()) for line in IDENTITY_TERMS)
 
 # Bounds of what is learned from: labelled rows, variants of one text, features of the model.
-SAMPLE_ROWS, VARIANTS, MAX_FEATURES = 8_000, 4, 2_000
-SCREEN_Z, STEPS, RATE, DECAY, COUNTERFACTUAL = 4.0, 400, 0.05, 1e-4, 1.0
+SAMPLE_ROWS, VARIANTS, MAX_FEATURES = 8_000, 4, 1_000
+SCREEN_Z, STEPS, RATE, DECAY, COUNTERFACTUAL = 4.0, 700, 0.05, 1e-4, 1.0
 THRESHOLD = 0.3
 MEMORY_WORDS = 500_000
 
@@ -83,26 +82,17 @@ class Toxicity:
         return [1 / (1 + np.exp(-np.clip(np.array(total, dtype=float), -50, 50)))]
 
 
-def fit(labels: np.ndarray, texts: list[list[int]], pairs: list[tuple[list[int], list[int]]]) -> Toxicity:
-    """Logistic weights from the features of texts, with a penalty on score changes within ``pairs``.
+def fit(labels: np.ndarray, texts: list[list[int]], pairs: list[tuple[list[int], list[int]]], chosen: list[int]) -> Toxicity:
+    """Logistic weights of the chosen features, with a penalty on score changes within ``pairs``.
 
-    Features are screened first: kept are those that occur in toxic texts more often than chance
-    allows. Without both labels the model is the share of toxic texts.
+    ``texts`` and ``pairs`` hold features, each as often as distinct words have it. Without both
+    labels, or without a feature, the model is the share of toxic texts.
     """
-    n, positive = len(labels), int(labels.sum())
-    share = (positive + 0.5) / (n + 1)
+    n = len(labels)
+    share = (labels.sum() + 0.5) / (n + 1) if n else 0.05
     base = float(np.log(share / (1 - share)))
-    if not 0 < positive < n:
-        return Toxicity(base if n else float(np.log(0.05)))
-    seen, toxic = Counter(), Counter()
-    for label, counts in zip(labels, texts, strict=True):
-        own = set(counts)
-        seen.update(own)
-        if label:
-            toxic.update(own)
-    rate = positive / n
-    z = {f: (c - seen[f] * rate) / np.sqrt(seen[f] * rate * (1 - rate)) for f, c in toxic.items() if c >= 2}
-    chosen = sorted((f for f in z if z[f] >= SCREEN_Z), key=lambda f: (-z[f], f))[:MAX_FEATURES]
+    if not chosen or not 0 < labels.sum() < n:
+        return Toxicity(base)
     column = {f: i for i, f in enumerate(chosen)}
 
     def rows(many: list[list[int]]) -> np.ndarray:
@@ -113,41 +103,63 @@ def fit(labels: np.ndarray, texts: list[list[int]], pairs: list[tuple[list[int],
                     x[i, j] += 1
         return x
 
-    x, change = rows(texts), rows([a for a, _ in pairs]) - rows([b for _, b in pairs])
-    weights, bias = np.zeros(len(chosen), dtype=np.float64), base
+    x = rows(texts)
+    change = rows([a for a, _ in pairs])
+    change -= rows([b for _, b in pairs])
+    weights, bias = np.zeros(len(chosen), dtype=np.float32), base
     mean, square = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
-        error = 1 / (1 + np.exp(-np.clip(x @ weights + bias, -50, 50))) - labels
-        gradient = x.T @ error / n + DECAY * weights
+        error = (1 / (1 + np.exp(-np.clip(x @ weights + np.float32(bias), -50, 50))) - labels).astype(np.float32)
+        gradient = error @ x / n + DECAY * weights
         if len(change):
-            gradient += COUNTERFACTUAL * 2 * (change.T @ (change @ weights)) / len(change)
+            gradient += COUNTERFACTUAL * 2 * ((change @ weights) @ change) / len(change)
         gradient = np.append(gradient, error.mean())
         mean += 0.1 * (gradient - mean)
         square += 0.01 * (gradient**2 - square)
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
-        weights -= move[:-1]
-        bias -= move[-1]
+        weights -= move[:-1].astype(np.float32)
+        bias -= float(move[-1])
     return Toxicity(float(bias), {f: float(w) for f, w in zip(chosen, weights, strict=True)})
 
 
+def screened(sample: DataFrame, n: int, positive: int) -> list[int]:
+    """The features that occur in toxic texts of ``sample`` more often than chance allows, ``MAX_FEATURES`` at most."""
+    if not 0 < positive < n:
+        return []
+    distinct = lambda texts: [[sorted(set(word_counts(words_of(t.decode("utf-8", "replace"))))) for t in texts]]
+    found = annotate(sample, "text", ["toxic"], "features array<int>", lambda: distinct)
+    counts = found.select("row.toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("seen"), F.sum("toxic").alias("toxic")
+    )
+    rate = positive / n
+    z = (F.col("toxic") - F.col("seen") * rate) / F.sqrt(F.col("seen") * (rate * (1 - rate)))
+    best = counts.filter("toxic >= 2").select("feature", z.alias("z")).filter(F.col("z") >= SCREEN_Z)
+    return [r["feature"] for r in best.orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()]
+
+
 def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Toxicity:
     """A model from the labelled documents: the ``SAMPLE_ROWS`` ids that come first by a hash, whole texts.
 
     ``labels``: ``doc_id, toxic``; rows with a null in either are left out, and an id that is
-    labelled both ways counts as toxic. Tasks turn texts into features; the driver sees those only.
+    labelled both ways counts as toxic. Features are counted and screened by Spark; the driver
+    sees which of the chosen ones a text and its variants have.
     """
     known = labels.select(F.col("doc_id").alias("id"), "toxic").filter("id is not null and toxic is not null")
-    chosen = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
-    read = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    chosen_ids = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+    read = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    sample = stored(read.join(F.broadcast(chosen_ids), "id"), "labelled")  # SAMPLE_ROWS rows in the broadcast
+    size = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("positive")).first()
+    chosen = screened(sample, size["n"], size["positive"] or 0)
+    wanted = frozenset(chosen)
 
     def variants(texts: list[bytes]) -> list:
         words = [words_of(t.decode("utf-8", "replace")) for t in texts]
-        return [[[word_counts(v) for v in (w, *counterfactuals(w))] for w in words]]
+        return [[[[f for f in word_counts(v) if f in wanted] for v in (w, *counterfactuals(w))] for w in words]]
 
-    rows = annotate(read, "text", ["id", "toxic"], "variants array<array<int>>", lambda: variants).collect()
+    rows = annotate(sample, "text", ["id", "toxic"], "variants array<array<int>>", lambda: variants).collect()
     rows.sort(key=lambda r: (r["row"]["id"], r["variants"][0]))
     pairs = [(r["variants"][0], other) for r in rows for other in r["variants"][1:]]
-    return fit(np.array([r["row"]["toxic"] for r in rows], dtype=float), [r["variants"][0] for r in rows], pairs)
+    return fit(np.array([r["row"]["toxic"] for r in rows], dtype=np.float32), [r["variants"][0] for r in rows], pairs, chosen)
 
 
 def score(documents: DataFrame, model: Toxicity, carry: list[str], text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Toxicity: held-out accuracy, the effect of counterfactuals, odd rows."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -33,7 +34,11 @@ def test_naming_a_group_says_nothing_by_itself():
     counts = [toxicity.word_counts(w) for w in words]
     pairs = [(toxicity.word_counts(w), toxicity.word_counts(v)) for w in words for v in toxicity.counterfactuals(w)]
     assert pairs
-    plain, fair = toxicity.fit(labels, counts, []), toxicity.fit(labels, counts, pairs)
+    toxic, clean = Counter(), Counter()
+    for label, own in zip(labels, counts, strict=True):
+        (toxic if label else clean).update(set(own))
+    chosen = sorted(f for f in toxic if toxic[f] > 2 * clean[f])
+    plain, fair = toxicity.fit(labels, counts, [], chosen), toxicity.fit(labels, counts, pairs, chosen)
     mention, swapped, insult = b"muslims spoke about music and weather", b"christians spoke about music and weather", b"you zorkle blathead"
     assert plain([mention])[0][0] > 0.3 > fair([mention])[0][0]
     assert abs(fair([mention])[0][0] - fair([swapped])[0][0]) < 0.05
