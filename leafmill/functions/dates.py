@@ -81,7 +81,10 @@ def normalize_date(text: Column, day_of_month: str = "first", as_of: Column | No
             lambda m: m.withField("month", month_number(m["month"])),
         )
         parts = F.when(t.rlike(r"\p{L}"), named).otherwise(F.coalesce(numeric, partial))
-        return F.when(t.rlike(_STAMP), F.try_to_timestamp(t)).otherwise(bind(parts, stamp))
+        # The fields of a stamp are those of UTC, whatever the session's zone.
+        moment = F.try_to_timestamp(t)
+        moment = F.when(t.rlike(r"(?:[Zz]|[+-]\d{2}:?\d{2})$"), F.to_utc_timestamp(moment, F.current_timezone())).otherwise(moment)
+        return F.when(t.rlike(_STAMP), moment).otherwise(bind(parts, stamp))
 
     return bind(F.trim(text), parse)
 

@@ -20,9 +20,12 @@ from leafmill.schemas import OFFER
 # Patterns of the offer language, for lower-case text.
 NUMBER = r"(\d+(?:[.,]\d+)?)"
 UNIT = r"(kg|gr?|mg|lt?|cl|ml)\b"
-PRICE = r"(?:€|euro)\s*\d+(?:[.,]\d{1,2})?|\d+(?:[.,]\d{1,2})?\s*(?:€|euro)"
-EACH = NUMBER + r"\s*cad\b"
-USUAL_PRICE = r"prezzo normale\s*(?:(?:€|euro)\s*" + NUMBER + r"|" + NUMBER + r"\s*(?:€|euro)?)"
+AMOUNT = r"(?:\d{1,3}(?:\.\d{3})+(?:,\d{1,2})?|\d+(?:[.,]\d{1,2})?)"
+PRICE = r"(?:€|euro)\s*" + AMOUNT + "|" + AMOUNT + r"\s*(?:€|euro)"
+EACH = "(" + AMOUNT + r")\s*(?:€|euro)?\s*cad\b"
+USUAL_PRICE = r"prezzo normale\s*(?:(?:€|euro)\s*" + AMOUNT + r"|" + AMOUNT + r"\s*(?:€|euro)?)"
+THOUSANDS = r"^\d{1,3}(?:\.\d{3})+(?:,\d+)?$"
+DISCOUNT = r"\bscont[oi]\b|\d\s*%"
 PER_KG = r"/\s*kg\b|\bal\s+kg\b"
 LOYALTY = r"\bcarta\s+(?:fidelity|fedelt)"
 MULTI_PACK = r"\b(\d+)\s*x\s*" + NUMBER + r"\s*" + UNIT
@@ -32,12 +35,13 @@ PIECES = r"\b(\d+)\s*(?:pz|pezzi)\b"
 SINGLE = r"\b" + NUMBER + r"\s*" + UNIT
 PORTION = r"(?:€\s*\d+(?:[.,]\d+)?|\d+(?:[.,]\d+)?\s*€)\s+a\s+(\p{L}+)"
 ABOUT = r"\((circa\s+[^)]+)\)"
-SERVICES = r"(?i)\b(?:abbonament[oi]|viaggio?|vacanz[ae]|crocier[ae]|polizz[ae]|assicurazion[ei])\b"
+SERVICES = r"(?i)\b(?:abbonament[oi]|(?<!\bda )viaggio?|vacanz[ae]|crocier[ae]|polizz[ae]|assicurazion[ei])\b"
 
 # Words without which a pattern above cannot match.
 EURO_WORDS, PIECE_WORDS, X_WORDS, KG_WORDS = ("€", "euro"), ("pz", "pezzi"), ("x",), ("kg",)
 UNIT_LETTERS = ("g", "l")
 
+# Texts of notes.
 NOTE_LOYALTY = "Valido solo con carta fedeltà"
 
 
@@ -50,6 +54,12 @@ def number(text: Column) -> Column:
     return F.regexp_replace(text, ",", ".").try_cast("double")
 
 
+def amount(text: Column) -> Column:
+    """A sum of money: as ``number``, and a point before each three digits is no decimal point."""
+    plain = F.when(text.rlike(THOUSANDS), F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
+    return number(plain)
+
+
 def in_scope(text: Column, services: str = SERVICES) -> Column:
     """Physical products only: texts that sell a service are out."""
     return ~F.coalesce(text.rlike(services), F.lit(False))
@@ -59,13 +69,13 @@ def _last_price(text: Column) -> Column:
     """The last price in a lower-case text that is not named as the usual one."""
     usual = F.when(text.contains("prezzo normale"), F.regexp_replace(text, USUAL_PRICE, "")).otherwise(text)
     last = F.try_element_at(F.regexp_extract_all(usual, F.lit(PRICE), F.lit(0)), F.lit(-1))
-    return F.when(mentions(text, EURO_WORDS), number(F.regexp_replace(last, r"[^\d.,]", "")))
+    return F.when(mentions(text, EURO_WORDS), amount(F.regexp_replace(last, r"[^\d.,]", "")))
 
 
 def final_price(text: Column) -> Column:
     """The price to pay: the one per piece if named, else the last that is not the usual one."""
     return bind(
-        F.lower(text), lambda t: F.coalesce(number(groups(t, EACH, ("cad",), q=1)["q"]), _last_price(t))
+        F.lower(text), lambda t: F.coalesce(amount(groups(t, EACH, ("cad",), q=1)["q"]), _last_price(t))
     )
 
 
@@ -89,7 +99,7 @@ def _matches_lower(text: Column) -> Column:
         "about": first_match(text, ABOUT, ("(circa",), 1),
     }
     numbers = {
-        "price": lambda m: F.coalesce(number(m["each"]["q"]), m["price"]),
+        "price": lambda m: F.coalesce(amount(m["each"]["q"]), m["price"]),
         "per_kg": lambda m: m["per_kg"] & m["each"].isNull(),
         "buy": lambda m: m["promo"]["buy"].try_cast("int"),
         "pay": lambda m: m["promo"]["pay"].try_cast("int"),
@@ -211,11 +221,16 @@ def base_name(text: Column) -> Column:
 
 
 def read_offers(text: Column, as_of: Column, category: Column) -> Column:
-    """All offers named by one line, as ``array<offer>``; none without a price or out of scope."""
+    """All offers named by one line, as ``array<offer>``; none out of scope.
+
+    A line is an offer when it has a price or a discount; the price of a mere discount is null.
+    """
+    discount = F.coalesce(F.lower(text).rlike(DISCOUNT), F.lit(False))
     start, end = validity_span(text, as_of)
     line = F.struct(
         pack_and_notes(text).alias("pack"), base_name(text).alias("name"),
         F.date_format(start, ISO_MILLIS).alias("start"), F.date_format(end, ISO_MILLIS).alias("end"),
+        discount.alias("discount"),
     )
 
     def offer(r: Column) -> Callable[[Column], Column]:
@@ -233,8 +248,8 @@ def read_offers(text: Column, as_of: Column, category: Column) -> Column:
 
     def offers(r: Column) -> Column:
         found = F.transform(product_names(r["name"]), offer(r)).cast(offers_type())
-        keep = r["pack"]["price"].isNotNull() & (F.length(r["name"]) > 0)
+        keep = (r["pack"]["price"].isNotNull() | r["discount"]) & (F.length(r["name"]) > 0)
         return F.when(keep, found).otherwise(F.array().cast(offers_type()))
 
-    priced = mentions(F.lower(text), EURO_WORDS)
-    return F.when(priced & in_scope(text), bind(line, offers)).otherwise(F.array().cast(offers_type()))
+    priced = mentions(F.lower(text), (*EURO_WORDS, "cad"))
+    return F.when((priced | discount) & in_scope(text), bind(line, offers)).otherwise(F.array().cast(offers_type()))

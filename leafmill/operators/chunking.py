@@ -15,6 +15,10 @@ def acquire(messages: DataFrame, content: DataFrame, on: str | list[str] = "url"
     ``content`` has one row per key. Where the content table is partitioned, say by arrival
     day, name that column in ``on`` as well: the join then prunes partitions.
     """
+    if not messages.isStreaming:
+        # The big table on the probe side: only content that is asked for can be shuffled.
+        keys = [on] if isinstance(on, str) else list(on)
+        content = content.join(messages.select(*keys).distinct(), keys, "left_semi")
     joined = messages.join(content, on, "left")
     status = (
         F.when(F.col("content").isNull(), MISSING)

@@ -20,22 +20,24 @@ NEW, MERGE, DROP = "new", "merge", "drop"
 def lookup_stored(messages: DataFrame, stored: DataFrame) -> DataFrame:
     """Each message with the stored flyer of its checksum, ``hits`` 0 or 1.
 
-    ``stored`` has one row per checksum. A hot checksum can only be on the message side,
-    which an adaptive skew join may split.
+    ``stored`` has one row per checksum and is first cut to those of the messages, with the big
+    table on the probe side. A hot checksum can only be on the message side, which an
+    adaptive skew join may split.
     """
-    found = stored.select("checksum", "sources", F.lit(1).alias("_hit"))
+    wanted = messages.select("checksum").distinct()
+    found = stored.select("checksum", "sources", F.lit(1).alias("_hit")).join(wanted, "checksum", "left_semi")
     joined = messages.join(found, "checksum", "left")
     return joined.withColumn("hits", F.coalesce("_hit", F.lit(0))).drop("_hit")
 
 
 def unseen(messages: DataFrame, stored: DataFrame) -> DataFrame:
     """Messages whose checksum is not stored."""
-    return messages.join(stored.select("checksum"), "checksum", "left_anti")
+    return messages.join(known_among(stored, messages, "checksum"), "checksum", "left_anti")
 
 
 def known(messages: DataFrame, stored: DataFrame) -> DataFrame:
     """Messages whose checksum is stored."""
-    return messages.join(stored.select("checksum"), "checksum", "left_semi")
+    return messages.join(known_among(stored, messages, "checksum"), "checksum", "left_semi")
 
 
 def known_among(stored: DataFrame, messages: DataFrame, *keys: str) -> DataFrame:
@@ -76,7 +78,7 @@ def route(
         flyers = unseen(flyers, stored)
     if stored_places is not None:
         places = places.join(
-            stored_places.select("checksum", "place_id"), ["checksum", "place_id"], "left_anti"
+            known_among(stored_places, places, "checksum", "place_id"), ["checksum", "place_id"], "left_anti"
         )
     first_of_flyer = flyers.select("arrival", F.lit(True).alias("_new"))
     first_of_place = places.select("arrival", F.lit(True).alias("_place"))

@@ -30,24 +30,25 @@ def build_session(app: str = "leafmill", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def streaming_session(spark: SparkSession, drain: bool = False) -> SparkSession:
+def streaming_session(
+    spark: SparkSession, drain: bool = False, state_partitions: int | None = None
+) -> SparkSession:
     """A sibling session with streaming settings, so that the caller's stay as they are.
 
     ``drain`` is for runs that stop once the input is used up. State with a time-to-live
     asks for one more empty batch for ever; without empty batches such a run ends. A
     standing query keeps them, as they are what fires its timers.
+
+    ``state_partitions`` is how many state stores a stateful query has. Its checkpoint freezes
+    the number, so it is a choice for the life of the query and is never taken from the machine;
+    left out, it is the number of shuffle partitions.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not drain).lower())
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
-    # Stateful operators keep their partition count for life, and each partition is a state
-    # store and a Python worker in every batch: as many as the caller shuffles with, but no
-    # more than there are cores.
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set(
-        "spark.sql.shuffle.partitions", str(min(shuffles, spark.sparkContext.defaultParallelism))
-    )
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return session
 
 

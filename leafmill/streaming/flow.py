@@ -126,11 +126,11 @@ def extraction_plan(
 
 def start_extraction(
     messages: DataFrame, content: DataFrame, extract: Extract, store: Store,
-    partitions: int | None = None, once: bool = False,
+    partitions: int | None = None, once: bool = False, on: str | list[str] = "url",
 ) -> StreamingQuery:
-    """Fetch, chunk and extract queued flyers into the staging table."""
+    """Fetch, chunk and extract queued flyers into the staging table; ``on`` as in ``acquire``."""
     return (
-        _start(extraction_plan(messages, content, extract, partitions), "extraction", store, once)
+        _start(extraction_plan(messages, content, extract, partitions, on), "extraction", store, once)
         .queryName("extraction")
         .format("parquet")
         .partitionBy("staged_on")
@@ -151,8 +151,8 @@ def staged_chunks(spark: SparkSession, store: Store, files_per_batch: int | None
 def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
     """Write the flyers a batch completed, with their offers, and those it gave up on.
 
-    The offers wait in staging. The fold tells on which days a flyer's chunks were staged,
-    so only those folders are read.
+    The offers wait in staging. The fold tells between which days a flyer's chunks were staged,
+    so of each flyer those folders are read, and a late one widens the span of no other.
     """
     spark = batch.sparkSession
     folded = batch.persist()
@@ -161,14 +161,13 @@ def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
         flyers = flyer_rows(complete)
         tables.write_batch(flyers, store.path("flyers"), batch_id)
 
-        first, last = complete.agg(F.min("staged_from"), F.max("staged_to")).first()
-        staged = store.staging(spark).filter(
-            F.col("staged_on").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-            & F.col("chunk_n").isNotNull() & F.col("error").isNull()
-        )
-        wanted = staged.select("checksum", "chunk_n", "processed_at", "offers_data").join(
-            complete.select("checksum"), "checksum", "left_semi"
+        days = complete.filter("staged_from <= staged_to").select(
+            "checksum", F.explode(F.sequence("staged_from", "staged_to")).alias("staged_on")
         )
+        staged = store.staging(spark).filter(F.col("chunk_n").isNotNull() & F.col("error").isNull())
+        wanted = staged.select("staged_on", "checksum", "chunk_n", "processed_at", "offers_data").join(
+            days, ["staged_on", "checksum"], "left_semi"
+        ).drop("staged_on")
         offers = explode_offers(first_arrivals(wanted, "processed_at"))
         tables.write_batch(offer_rows(offers, flyers), store.path("offers"), batch_id)
 

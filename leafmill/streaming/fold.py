@@ -77,6 +77,7 @@ class FlyerFold(StatefulProcessor):
         if self.open.exists():
             state = dict(zip(_FIELDS, self.open.get()))
             yield self._row(key[0], state, INCOMPLETE)
+            self.open.clear()  # a later chunk opens the flyer anew
 
     def close(self) -> None:
         pass
