@@ -45,7 +45,30 @@ def op8_bpe_round_trip(spark, sf_dir):
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op5_minmax_near_dup")
+_NEAR_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s
+  from words
+),
+shingles as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach as (select doc_id as a, doc_id as b from sets union select r.a, l.b from reach r join links l on r.b = l.a),
+least_id as (select a, min(b) as component_id from reach group by a)
+select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from sets join least_id on a = doc_id
+"""
+
+
+@query("op5_minmax_near_dup", _NEAR_SQL)
 def op5_minmax_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), n=4)
 
@@ -63,7 +86,25 @@ def op9_byte_gru_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
-@query("op2_cell_vector_dedup")
+_VECTOR_SQL = """
+with recursive sound as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+  select a.vec_id as a, b.vec_id as b from sound a join sound b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on r.b = l.a),
+least_id as (select a, min(b) as component_id from reach group by a),
+counted as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings join least_id on least_id.a = vec_id left join counted on counted.a = vec_id
+"""
+
+
+@query("op2_cell_vector_dedup", _VECTOR_SQL)
 def op2_cell_vector_dedup(spark, sf_dir):
     return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
