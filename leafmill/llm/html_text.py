@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import texts_of
+from leafmill.llm.common import stored, texts_of
 
 # Elements of HTML by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -251,7 +251,8 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     joined by a newline. Null and empty html give an empty text. Repeated rows are read and vote
     each; no rows: no rows.
     """
-    paths = host_paths(pages, url, page)
+    # Written first, so that its true size is known: pages are shuffled only where there are very many hosts.
+    paths = stored(host_paths(pages, url, page), "host-paths")
     asked = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"), host_of(F.col(url)).alias("host"))
     read = asked.join(paths, "host", "left").select("page_id", "url", "html", "path")
 
