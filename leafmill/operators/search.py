@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -197,25 +197,19 @@ def nearest(
 
     No row is paired with a query in the plan. The query vectors are a request, read in
     blocks of bounded size; each task scores its rows against a block by one matrix product
-    and keeps ``k`` per query, so only tasks x queries x k rows are shuffled. A request of
-    more than one block costs a pass over the rows per block; each block's answer is then
-    written to the shared scratch folder before the next is read, so the driver never holds
-    more than one.
+    and keeps ``k`` per query, so only tasks x queries x k rows are shuffled. A request costs
+    a pass over the rows per block; each block's answer is written to the shared scratch
+    folder before the next is read, so the driver never holds more than one.
     """
     base = rows.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(vector).alias("v"))
     base = base.filter("v is not null")
     asked = queries.select(F.col(query_id).cast("bigint"), query_vector)
-    blocks = _blocks(asked.toLocalIterator(), QUERY_BLOCK)
-    first = next(blocks, None)
-    if first is None:
-        return base.sparkSession.createDataFrame([], "query_id bigint, rank int, row_id bigint, similarity double")
-    second = next(blocks, None)
-    if second is None:
-        return _block_neighbours(base, *first, k, digits)
+    kind = "query_id bigint, rank int, row_id bigint, similarity double"
     path = scratch_dir(base.sparkSession, "neighbours")
-    for block in chain((first, second), blocks):
+    base.sparkSession.createDataFrame([], kind).write.parquet(path)
+    for block in _blocks(asked.toLocalIterator(), QUERY_BLOCK):
         _block_neighbours(base, *block, k, digits).write.mode("append").parquet(path)
-    return base.sparkSession.read.parquet(path)
+    return base.sparkSession.read.schema(kind).parquet(path)
 
 
 def _blocks(rows: Iterator, size: int) -> Iterator[tuple[list, np.ndarray]]:

@@ -14,7 +14,7 @@ from leafmill.sources import tables
 from leafmill.sources.messages import message_json, parse_messages, read_message_stream
 from leafmill.streaming import flow
 from leafmill.streaming.fold import COMPLETE, fold_stream
-from leafmill.streaming.progress import count_chunks, counters
+from leafmill.streaming.progress import counters, write_counters
 
 
 def _run_fold(spark, chunks, copies=1, per_batch=1):
@@ -126,18 +126,17 @@ def append_idempotent(spark, sf_dir):
 from conversations""",
 )
 def progress(spark, sf_dir):
-    """Counters observed on a stream in passing, per micro-batch, here added up."""
+    """Counters of a stream, one stored row per micro-batch, here added up."""
     root = scratch_dir(spark, "progress")
     standins.conversation_chunks(spark, sf_dir).repartition(2, "chunk_n").write.parquet(f"{root}/chunks")
     session = streaming_session(spark, drain=True)
     chunks = session.readStream.schema(FOLD_INPUT).option("maxFilesPerTrigger", 1).parquet(f"{root}/chunks")
     running = (
-        count_chunks(chunks).writeStream.format("noop").option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True).start()
+        chunks.writeStream.foreachBatch(lambda batch, batch_id: write_counters(batch, batch_id, f"{root}/counters"))
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     )
     flow.finish(running)
-    rows = [tuple(c[k] for k in ("chunks", "offers", "tokens_in", "tokens_out", "seconds")) for c in counters(running)]
-    seen = spark.createDataFrame(rows, "chunks bigint, offers bigint, tokens_in bigint, tokens_out bigint, seconds double")
+    seen = counters(spark, f"{root}/counters").drop("batch_id")
     return seen.agg(*[F.sum(c).alias(c) for c in seen.columns])
 
 

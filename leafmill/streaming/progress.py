@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import _parse_datatype_string
+
+from leafmill.sources.tables import read_batches, write_batch
 
 CHUNKS = "chunks"
 
 
-def count_chunks(chunks: DataFrame, name: str = CHUNKS) -> DataFrame:
-    """The same stream, observed: chunks, offers, tokens and seconds per micro-batch."""
-    return chunks.observe(
-        name,
+COUNTERS = "chunks bigint, offers bigint, tokens_in bigint, tokens_out bigint, seconds double"
+
+
+def _counted() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("chunks"),
         F.sum("offers_count").alias("offers"),
         F.sum("ai_input_tokens").alias("tokens_in"),
         F.sum("ai_output_tokens").alias("tokens_out"),
         F.sum("processing_time_seconds").alias("seconds"),
-    )
+    ]
+
+
+def count_chunks(chunks: DataFrame, name: str = CHUNKS) -> DataFrame:
+    """The same stream, observed: chunks, offers, tokens and seconds per micro-batch, for listeners."""
+    return chunks.observe(name, *_counted())
+
+
+def write_counters(batch: DataFrame, batch_id: int, path: str) -> None:
+    """For ``foreachBatch``: one row of counters per micro-batch. A replay overwrites its own row.
+
+    Unlike a query's recent progress, of which Spark keeps the last batches only, the table is whole.
+    """
+    write_batch(batch.agg(*_counted()), path, batch_id)
 
 
-def counters(query: StreamingQuery, name: str = CHUNKS) -> list[dict]:
-    """Observed counters of the recent micro-batches, with their batch ids."""
-    found = []
-    for progress in query.recentProgress:
-        metrics = progress.observedMetrics.get(name)
-        if metrics is not None:
-            found.append({"batch_id": progress.batchId, **metrics.asDict()})
-    return found
+def counters(spark: SparkSession, path: str) -> DataFrame:
+    """Counters of all micro-batches, with their ``batch_id``."""
+    return read_batches(spark, path, _parse_datatype_string(COUNTERS))
 
 
 class ProgressLog(StreamingQueryListener):
