@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -73,6 +74,19 @@ def kept_in_worker(key: tuple, make):
     return holder.__dict__[key]
 
 
+def hashed_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """The ``limit`` rows that come first by a hash of a column, or all if there are fewer.
+
+    A filter on the hash leaves about twice as many rows before they are sorted, so that what all
+    tasks together hand over is bounded, however many tasks there are.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    n = rows.count()
+    if n > 4 * limit:
+        rows = rows.filter(place < math.ceil((1 << 30) * 2 * limit / n))
+    return rows.orderBy(place, key).limit(limit)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 texts of an Arrow column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import stored
+from leafmill.llm.common import hashed_sample, stored
 from leafmill.llm.components import components
 
 # The centroids are fitted on so many vectors at most, which come first by a hash of the id.
@@ -134,7 +134,7 @@ def near_duplicate_vectors(
 def _links(classes: DataFrame, threshold: float) -> DataFrame:
     """``rep, links, other``: counts of links to add up (``other`` null), and edges (0 links)."""
     n = classes.count()
-    sample = classes.select(F.xxhash64("rep").alias("place"), "rep", "embedding").orderBy("place", "rep").limit(SAMPLE_VECTORS)
+    sample = hashed_sample(classes, "rep", SAMPLE_VECTORS)
     fitted = unit(np.array([r["embedding"] for r in sample.select("embedding").collect()]))
     centroids = spherical_kmeans(fitted, max(1, min(MAX_CELLS, n // CELL_ROWS, len(fitted) // 4)))
     home, takes_part = cells_of(fitted, centroids, threshold)

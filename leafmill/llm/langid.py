@@ -12,7 +12,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import LOWER, annotate, crc_mod
+from leafmill.llm.common import LOWER, annotate, crc_mod, hashed_sample
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -166,13 +166,12 @@ def train(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
     body = F.col(text)
     step = F.greatest(F.lit(1), F.floor((F.length(body) - SAMPLE_CHARS) / (SAMPLE_WINDOWS - 1)))
     windows = [F.substr(body, (F.lit(i) * step + 1).cast("int"), F.lit(SAMPLE_CHARS)) for i in range(SAMPLE_WINDOWS)]
-    labelled = documents.filter(F.col(lang).isNotNull() & body.rlike(r"\p{L}"))
-    sample = (
-        labelled.select(F.xxhash64(doc_id).alias("place"), F.col(lang).alias("lang"), F.array(*windows).alias("windows"))
-        .orderBy("place", "lang", "windows").limit(SAMPLE_DOCS).collect()
-    )
+    labelled = documents.filter(F.col(lang).isNotNull() & body.isNotNull())
+    labelled = labelled.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.array(*windows).alias("windows"))
+    sample = [r for r in hashed_sample(labelled, "id", SAMPLE_DOCS).collect() if any(part and LETTER.search(part) for part in r["windows"])]
     if not sample:
         return None
+    sample.sort(key=lambda r: (r["id"] is None, r["id"], r["lang"], r["windows"]))
     languages = sorted({r["lang"] for r in sample})
     pairs = [(part.encode(), languages.index(r["lang"])) for r in sample for part in dict.fromkeys(r["windows"]) if part]
     codes, mask = window_codes([p[:SAMPLE_CHARS] for p, _ in pairs], SAMPLE_CHARS)

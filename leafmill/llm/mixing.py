@@ -16,7 +16,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafmill.llm.common import stored
+from leafmill.llm.common import hashed_sample, stored
 
 # Words are hashed into so many buckets; the table of weights, buckets x domains, has this size at any input.
 BUCKETS = 1 << 12
@@ -37,7 +37,7 @@ def words_of(documents: DataFrame, key: list[str]) -> DataFrame:
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, domain: str) -> DataFrame:
     """``text, domain`` of labelled documents: the ``SAMPLE_ROWS`` ids of ``labels`` that come first by a hash."""
-    ids = labels.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    ids = hashed_sample(labels.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", SAMPLE_ROWS)
     # SAMPLE_ROWS rows.
     return documents.join(F.broadcast(ids), "doc_id", "left_semi").select("text", F.col(domain).cast("string").alias("domain"))
 

@@ -13,7 +13,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import annotate, crc_mod, stored
+from leafmill.llm.common import annotate, crc_mod, hashed_sample, stored
 
 # Words that name groups of people, by language; the first of each line is neutral.
 IDENTITY_TERMS = (
@@ -145,7 +145,7 @@ def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     sees which of the chosen ones a text and its variants have.
     """
     known = labels.select(F.col("doc_id").alias("id"), "toxic").filter("id is not null and toxic is not null")
-    chosen_ids = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
+    chosen_ids = hashed_sample(known.groupBy("id").agg(F.max("toxic").alias("toxic")), "id", SAMPLE_ROWS)
     read = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     sample = stored(read.join(F.broadcast(chosen_ids), "id"), "labelled")  # SAMPLE_ROWS rows in the broadcast
     size = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("positive")).first()
