@@ -129,8 +129,8 @@ def fit_votes(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, np.nd
 
     ``patterns``: a vote of every rule, and how many documents voted so. A rule is taken to be
     better than chance: a bad vote is at least ``LEAST_BAD`` times as frequent among bad
-    documents, a good one ``LEAST_GOOD`` times among good ones, and
-    abstaining is never evidence against a document. That also fixes which class is which. Frequencies are smoothed by one document.
+    documents, a good one ``LEAST_GOOD`` times among good ones, and abstaining is never evidence
+    against a document. That also fixes which class is which. Frequencies are smoothed by one document.
     """
     if not patterns:
         return 0.0, np.zeros((len(rules()), 3))
@@ -181,7 +181,9 @@ def judge_quality(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     no words and fail the base rules. Repeated rows count and come out each; no rows: no rows.
     """
     measures = stored(measured(documents, [doc_id], text), "measures")
-    return verdicts(measures, fit(measures)).select(F.col(f"row.{doc_id}").alias("doc_id"), *[c for c in measures.columns if c != "row"], "base_failed", "quality", "kept")
+    names = [c for c in measures.columns if c != "row"]
+    judged = verdicts(measures, fit(measures))
+    return judged.select(F.col(f"row.{doc_id}").alias("doc_id"), *names, "base_failed", "quality", "kept")
 
 
 def keep_good(documents: DataFrame, text: str = "text") -> DataFrame:
