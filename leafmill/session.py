@@ -64,7 +64,7 @@ def scratch_dir(spark: SparkSession, purpose: str, root: str | None = None) -> s
         pass
     root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="leafmill-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
