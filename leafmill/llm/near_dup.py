@@ -139,13 +139,11 @@ def near_duplicates(
     prints = ["n_shingles", "f1", "f2"]
     sets = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = sets.groupBy(*prints).agg(F.min("doc_id").alias("rep"))
-    members = stored(sets.select("doc_id", *prints).join(classes, prints).select("doc_id", "rep", "n_shingles").distinct(), "classes")
+    members = stored(sets.select("doc_id", *prints).join(classes, prints).select("doc_id", "rep").distinct(), "classes")
     standing = members.filter("doc_id = rep").select("doc_id")
-    rows = signed.join(standing, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("key")
-    )
+    rows = signed.join(standing, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
     leaders = rows.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).filter("leader < last")
-    buckets = stored(rows.join(leaders.select("key", "leader"), "key").select("key", "rep", "leader", "n_shingles"), "buckets")
+    buckets = stored(rows.join(leaders.select("key", "leader"), "key").select("key", "rep", "leader"), "buckets")
 
     star = stored(buckets.filter("rep > leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), "star")
     links = stored(confirmed(star, known, n, percent), "links")
@@ -179,9 +177,9 @@ def keep_representatives(documents: DataFrame, n: int = 5, percent: int = 80) ->
 
 
 def _open_rows(buckets: DataFrame, linked: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component: ``key, rep, n_shingles, component``."""
+    """The rows of buckets that hold more than one component: ``key, rep, component``."""
     named = buckets.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = named.select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
     open_keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return named.join(open_keys.filter("low < high").select("key"), "key", "left_semi")
 
