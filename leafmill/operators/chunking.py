@@ -13,13 +13,20 @@ def acquire(messages: DataFrame, content: DataFrame, on: str | list[str] = "url"
     """Messages with their ``content`` and a ``fetch_status``; failures are kept, not lost.
 
     ``content`` has one row per key. Where the content table is partitioned, say by arrival
-    day, name that column in ``on`` as well: the join then prunes partitions.
+    day, name that column in ``on`` as well: the join then reads the days of the messages only.
+
+    For a batch the content table is on the probe side: messages that are small at run time are
+    broadcast by Spark, and no content is shuffled. Messages without content are found by a second
+    look at the keys alone. A stream, which cannot prune, is joined as it is.
     """
-    if not messages.isStreaming:
-        # The big table on the probe side: only content that is asked for can be shuffled.
-        keys = [on] if isinstance(on, str) else list(on)
-        content = content.join(messages.select(*keys).distinct(), keys, "left_semi")
-    joined = messages.join(content, on, "left")
+    keys = [on] if isinstance(on, str) else list(on)
+    if messages.isStreaming:
+        joined = messages.join(content, keys, "left")
+    else:
+        asked = messages.filter(F.length(F.col(keys[0]).cast("string")) > 0)
+        found = asked.select(*keys).distinct()
+        there = content.select(*keys).join(found, keys, "left_semi")
+        joined = content.join(asked, keys).unionByName(messages.join(there, keys, "left_anti"), allowMissingColumns=True)
     status = (
         F.when(F.col("content").isNull(), MISSING)
         .when(content_matches(F.col("content"), F.col("checksum")), OK)

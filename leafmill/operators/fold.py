@@ -71,8 +71,7 @@ def fold_totals(chunks: DataFrame) -> DataFrame:
         F.max(F.when(head, F.col("validity_to"))).alias("validity_to"),
         *sums,
         F.sum(F.coalesce("processing_time_seconds", F.lit(0.0))).alias("processing_time_seconds"),
-        F.min("staged_on").alias("staged_from"),
-        F.max("staged_on").alias("staged_to"),
+        F.array_sort(F.collect_list(F.struct("chunk_n", "staged_batch"))).alias("copies"),
     )
     spread = folded.select("*", "_spot.place_id", "_spot.lat", "_spot.lon")
     return spread.select(*[f.name for f in FOLD_OUTPUT.fields])

@@ -44,13 +44,13 @@ def cached_with_nulls():
 
 @query("fold_batch", CONVERSATION_FLYERS.format(cached="len(string_split(text, chr(10)))"))
 def conversations(spark, sf_dir):
-    return fold_batch(standins.conversation_chunks(spark, sf_dir)).drop("staged_from", "staged_to")
+    return fold_batch(standins.conversation_chunks(spark, sf_dir)).drop("copies")
 
 
 @query("fold_null_counters", CONVERSATION_FLYERS.format(cached=CACHED_NULLS))
 def null_counters(spark, sf_dir):
     chunks = standins.conversation_chunks(spark, sf_dir, cached_with_nulls())
-    return fold_batch(chunks).drop("staged_from", "staged_to")
+    return fold_batch(chunks).drop("copies")
 
 
 @query(

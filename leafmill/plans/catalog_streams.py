@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from leafmill.operators.extraction import extract_by_rule
 from leafmill.plans import standins
 from leafmill.plans.catalog_fold import CACHED_NULLS, CONVERSATION_FLYERS, cached_with_nulls
 from leafmill.plans.registry import query
-from leafmill.schemas import FLYERS, FOLD_INPUT, FOLD_OUTPUT, MESSAGE, OFFER
+from leafmill.schemas import FLYERS, FOLD_INPUT, FOLD_OUTPUT, MESSAGE, OFFER, REJECTS
 from leafmill.session import scratch_dir, streaming_session
 from leafmill.sources import tables
-from leafmill.sources.messages import message_json, parse_messages, read_message_stream
+from leafmill.sources.messages import message_json, parse_messages, read_message_stream, write_queue
 from leafmill.streaming import flow
 from leafmill.streaming.fold import COMPLETE, fold_stream
 from leafmill.streaming.progress import counters, write_counters
@@ -32,7 +32,7 @@ def _run_fold(spark, chunks, copies=1, per_batch=1):
     )
     flow.finish(running)
     rows = spark.read.parquet(f"{root}/flyers").filter(F.col("status") == COMPLETE)
-    return rows.select(*[f.name for f in FOLD_OUTPUT.fields]).drop("staged_from", "staged_to")
+    return rows.select(*[f.name for f in FOLD_OUTPUT.fields]).drop("copies")
 
 
 @query("fold_stream", CONVERSATION_FLYERS.format(cached="len(string_split(text, chr(10)))"))
@@ -81,16 +81,13 @@ from orders full join (select l_orderkey, count(*) as n, sum(l_quantity) as q fr
   on o_orderkey = l_orderkey""",
 )
 def upsert(spark, sf_dir):
-    """Two versions of the flyer table, the second written twice: the last write per key is read."""
+    """Two batches of the flyer table, each put in twice: every hash partition is read as its last batch left it."""
     path = scratch_dir(spark, "flyers")
     tables.create_if_absent(spark, path, FLYERS)
-    first, second = standins.flyer_versions(spark, sf_dir)
-    tables.write_batch(first, path, 0)
-    tables.create_if_absent(spark, path, FLYERS)
-    for _ in range(2):
-        tables.write_batch(second, path, 1)
-    latest = tables.read_latest(spark, path, FLYERS, "checksum")
-    return latest.select("checksum", "offers_count", "processing_time_seconds")
+    for batch_id, rows in enumerate(standins.flyer_versions(spark, sf_dir)):
+        for _ in range(2):
+            tables.upsert_batch(rows, path, FLYERS, "checksum", batch_id, parts=8)
+    return tables.read_current(spark, path, FLYERS).select("checksum", "offers_count", "processing_time_seconds")
 
 
 @query(
@@ -99,7 +96,7 @@ def upsert(spark, sf_dir):
 from lineitem group by 1""",
 )
 def append_idempotent(spark, sf_dir):
-    """Three batches of offers, each delivered twice."""
+    """Three batches of offers, each delivered twice; the second delivery finds its batch there."""
     path = scratch_dir(spark, "offers")
     lines = standins.table(spark, sf_dir, "lineitem")
     offers = lines.select(
@@ -109,7 +106,7 @@ def append_idempotent(spark, sf_dir):
     for batch_id in range(3):
         batch = offers.filter(F.pmod(F.xxhash64("flyer_checksum"), F.lit(3)) == batch_id)
         for _ in range(2):
-            tables.write_batch(batch, path, batch_id)
+            tables.commit_batch(batch, path, batch_id)
     stored = tables.read_batches(spark, path, offers.schema)
     return stored.groupBy("category").agg(
         F.count("*").alias("n"), F.sum("quantity").alias("quantity"),
@@ -155,20 +152,34 @@ def _line_offers(chunks):
     return results
 
 
-def run_flow(spark, sf_dir):
-    """Documents announced in two waves, through intake, extraction and fold."""
-    store = flow.Store(scratch_dir(spark, "flow"))
-    session = streaming_session(spark, drain=True)
-    store.create(session)
-    # One file per wave: a document goes out with its own source's half of the sources.
+def _announce(spark, sf_dir, store):
+    """Documents announced in two files, so that a document goes out with its own source's half of the sources."""
     standins.messages(spark, sf_dir).repartition(2, "source.placeId").select(
         message_json(*MESSAGE.fieldNames()).alias("value")
     ).write.text(store.path("inbox"))
+
+
+def _start_flow(spark, name):
+    store = flow.Store(scratch_dir(spark, name))
+    session = streaming_session(spark, drain=True)
+    store.create(session)
+    return session, store
+
+
+def run_flow(spark, sf_dir, extract=_line_offers, deliveries=1):
+    """Documents announced in two waves, through intake, extraction and fold.
+
+    With more ``deliveries`` the staged chunks reach the fold as often, from batches of their own.
+    """
+    session, store = _start_flow(spark, "flow")
+    _announce(spark, sf_dir, store)
     flow.finish(flow.start_intake(read_message_stream(session, store.path("inbox"), 1), store, once=True))
     content = standins.content(session, sf_dir)
-    flow.finish(
-        flow.start_extraction(flow.queue_stream(session, store), content, _line_offers, store, once=True)
-    )
+    flow.finish(flow.start_extraction(flow.queue_stream(session, store), content, extract, store, once=True))
+    for copy in range(1, deliveries):
+        again = spark.read.parquet(store.path("staging/batch_id=0"))
+        changed = again.withColumn("offers_data", F.slice("offers_data", 1, 1)).withColumn("offers_count", F.size("offers_data"))
+        tables.commit_batch(changed, store.path("staging"), 1_000 + copy)
     flow.finish(flow.start_fold(flow.staged_chunks(session, store), store, once=True))
     return store
 
@@ -213,3 +224,159 @@ def offers_end_to_end(spark, sf_dir):
         F.count("*").alias("n"), F.sum(F.col("price").cast("double")).alias("price"),
         F.date_format(F.max("validity_from"), "yyyy-MM-dd").alias("validity_from"),
     )
+
+
+def _queue(spark, sf_dir, store):
+    """One message per text in the queue, that of the least id, with a day of arrival; its documents' content by day."""
+    documents = standins.table(spark, sf_dir, "documents")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int"))
+    first = documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    url = F.format_string("flyer://documents/%d", "doc_id")
+    queued = first.select(
+        F.format_string("doc-%d.txt", "doc_id").alias("filename"), url.alias("url"), F.sha2("text", 256).alias("checksum"),
+        F.lit(None).cast(MESSAGE["source"].dataType).alias("source"), day.alias("arrived_on"),
+    )
+    write_queue(queued, store.path("queue"), 0)
+    there = documents.filter("doc_id % 10 <> 3")
+    altered = F.when(F.col("doc_id") % 10 == 4, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    kept = there.select(url.alias("url"), altered.cast("binary").alias("content"), day.alias("arrived_on"))
+    kept.repartition("arrived_on").write.partitionBy("arrived_on").parquet(store.path("content"))
+
+
+@query(
+    "acquire_stream",
+    """with d as (select text, min(doc_id) as doc_id from documents group by 1)
+select 'flyer://documents/' || doc_id as url, sha256(text) as checksum,
+  case doc_id % 10 when 3 then 'missing' when 4 then 'checksum mismatch' else 'ok' end as fetch_status,
+  case when doc_id % 10 not in (3, 4) then len(string_split(text, chr(10))) end::bigint as pages
+from d""",
+)
+def acquire_stream(spark, sf_dir):
+    """Content by day of arrival, fetched batch by batch; some is missing, some has changed."""
+    session, store = _start_flow(spark, "acquire")
+    _queue(spark, sf_dir, store)
+
+    def content(session):
+        return session.read.parquet(store.path("content"))
+
+    def count_pages(chunks):
+        return extract_by_rule(
+            chunks, F.array().cast(T.ArrayType(OFFER)), F.lit("2025-06-28"), F.lit("2025-06-30"), F.size("chunk"), F.lit(0)
+        )
+
+    queued = flow.queue_stream(session, store)
+    flow.finish(flow.start_extraction(queued, content, count_pages, store, once=True, on=["url", "arrived_on"]))
+    staged = store.staging(spark)
+    return staged.groupBy("url", "checksum", "fetch_status").agg(
+        F.sum(F.when(F.col("chunk_n").isNotNull(), F.col("ai_input_tokens"))).alias("pages")
+    )
+
+
+@query(
+    "queue_replay",
+    """with d as (select distinct sha256(text) as checksum, len(string_split(text, chr(10))) as pages from documents)
+select checksum, unnest(range(0, (pages + 4) // 5))::int as chunk_n, 1::bigint as copies from d""",
+)
+def queue_replay(spark, sf_dir):
+    """An intake batch is run again after its flyers were extracted: nothing is extracted twice."""
+    session, store = _start_flow(spark, "replay")
+    _announce(spark, sf_dir, store)
+    lines = spark.read.text(store.path("inbox"))
+    batch = parse_messages(lines.select("value", F.current_timestamp().alias("at"), F.lit("f").alias("part")))
+    content = standins.content(session, sf_dir)
+    for _ in range(2):
+        flow.ingest_batch(batch, 0, store)
+        flow.finish(flow.start_extraction(flow.queue_stream(session, store), content, _line_offers, store, once=True))
+    return store.staging(spark).groupBy("checksum", "chunk_n").agg(F.count("*").alias("copies"))
+
+
+def _contract_breaking(chunks):
+    """Line offers of which some have an unknown category and some no name; chunks with a very long line have no dates."""
+    results = _line_offers(chunks)
+
+    def spoiled(offer):
+        kind = F.length(offer["name"]) % 5
+        category = F.when(kind == 0, "Altro").when(kind != 1, offer["category"])
+        return offer.withField("category", category).withField("name", F.when(kind != 2, offer["name"]))
+
+    dated = F.forall("offers_data", lambda o: o["price"] < 2_000)
+    return results.withColumn("validity_from", F.when(dated, F.col("validity_from"))).withColumn(
+        "offers_data", F.transform("offers_data", spoiled)
+    )
+
+
+_REJECTS_SQL = _FLOW_SQL + """, l as (
+  select checksum, unnest(pages) as line, (generate_subscripts(pages, 1) - 1) // 5 as chunk_n from f
+),
+o as (select checksum, chunk_n, length(line) as n from l where length(trim(line, ' ')) > 0),
+broken as (select checksum, chunk_n from o group by 1, 2 having max(n) >= 2000)
+"""
+
+
+@query(
+    "rejects_end_to_end",
+    _REJECTS_SQL + """
+select checksum, chunk_n::int as chunk_n, case n % 5 when 0 then 'category unknown' when 1 then 'category missing' else 'name missing' end as reason,
+  count(*) as n from o where n % 5 < 3 group by all
+union all
+select checksum, chunk_n::int, 'validity_from missing', 1 from broken""",
+)
+def rejects_end_to_end(spark, sf_dir):
+    """Offers and chunks that break the contract end in the reject table, with the reason."""
+    store = run_flow(spark, sf_dir, _contract_breaking)
+    rows = tables.read_batches(spark, store.path("rejects"), REJECTS)
+    return rows.groupBy("checksum", "chunk_n", "reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "offers_kept_end_to_end",
+    _REJECTS_SQL + """
+select checksum as flyer_checksum, count(*) as n, 'Giochi' as category from o
+where n % 5 >= 3 and checksum not in (select checksum from broken) group by 1""",
+)
+def offers_kept_end_to_end(spark, sf_dir):
+    """No offer of an unknown category reaches the offer table, nor one of a flyer with a broken chunk."""
+    rows = flow.offers_view(spark, run_flow(spark, sf_dir, _contract_breaking), with_places=False)
+    return rows.groupBy("flyer_checksum").agg(
+        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("category")), "|").alias("category")
+    )
+
+
+@query(
+    "fold_counts_offers",
+    _FLOW_SQL + """
+select checksum, len(list_filter(pages, lambda x: length(trim(x, ' ')) > 0))::bigint as offers_count,
+  len(list_filter(pages, lambda x: length(trim(x, ' ')) > 0))::bigint as offers from f""",
+)
+def fold_counts_offers(spark, sf_dir):
+    """Every chunk staged three times, with different offers: a flyer's count and its offers are of the same copies."""
+    store = run_flow(spark, sf_dir, deliveries=3)
+    flyers = flow.flyers_view(spark, store).select("checksum", "offers_count")
+    offers = flow.offers_view(spark, store, with_places=False).groupBy(F.col("flyer_checksum").alias("checksum")).agg(F.count("*").alias("offers"))
+    return flyers.join(offers, "checksum", "left").select("checksum", "offers_count", F.coalesce("offers", F.lit(0)).cast("bigint").alias("offers"))
+
+
+@query(
+    "flow_counters",
+    _FLOW_SQL + """, o as (
+  select checksum, len(pages) as lines, len(list_filter(pages, lambda x: length(trim(x, ' ')) > 0)) as offers, (len(pages) + 4) // 5 as chunks,
+    list_sum(list_transform(pages, lambda x: length(x))) as chars from f
+)
+select (select count(*) from documents)::bigint as messages, count(*)::bigint as queued, sum(chunks)::bigint as chunks,
+  sum(offers)::bigint as offers, sum(chars + lines - chunks)::bigint as tokens_in, sum(offers)::bigint as tokens_out,
+  count(*)::bigint as flyers, sum(offers)::bigint as published, 0::bigint as incomplete
+from o""",
+)
+def flow_counters(spark, sf_dir):
+    """What the three queries counted, added up over their micro-batches."""
+    store = run_flow(spark, sf_dir)
+    intake, extraction, fold = (store.counters(spark, name) for name in ("intake", "extraction", "fold"))
+    parts = [
+        intake.agg(F.sum("messages").alias("messages"), F.sum("queued").alias("queued")),
+        extraction.agg(*[F.sum(c).alias(c) for c in ("chunks", "offers", "tokens_in", "tokens_out")]),
+        fold.agg(F.sum("flyers").alias("flyers"), F.sum("offers").alias("published"), F.sum("incomplete").alias("incomplete")),
+    ]
+    one = spark.range(1)
+    for part in parts:
+        one = one.join(part.withColumn("id", F.lit(0).cast("bigint")), "id")
+    return one.drop("id")

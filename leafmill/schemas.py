@@ -25,6 +25,9 @@ PLACE = struct(placeId="string", location=LOCATION, name="string", address="stri
 
 MESSAGE = struct(filename="string", url="string", checksum="string", source=PLACE)
 
+# A message in the queue, with the day of its arrival, under which its content is stored.
+QUEUED = T.StructType([*MESSAGE.fields, T.StructField("arrived_on", T.DateType())])
+
 OFFER = struct(
     name="string",
     price="float",
@@ -77,9 +80,12 @@ FOLD_INPUT = struct(
     validity_from="string",
     validity_to="string",
     **_COUNTERS,
-    staged_on="date",
+    staged_batch="long",
 )
 
+# Which delivery of a chunk was folded: the batch that staged it.
+COPY = struct(chunk_n="integer", staged_batch="long")
+
 FOLD_OUTPUT = struct(
     checksum="string",
     url="string",
@@ -90,8 +96,7 @@ FOLD_OUTPUT = struct(
     validity_from="string",
     validity_to="string",
     **_COUNTERS,
-    staged_from="date",
-    staged_to="date",
+    copies=T.ArrayType(COPY),
 )
 
 FLYERS = struct(
@@ -130,21 +135,26 @@ OFFERS = struct(
 # its position there. Structs compare field by field, so this is the arrival order.
 ARRIVAL = struct(at="timestamp", part="string", pos="long")
 
-# One row per flyer ever queued.
-REGISTRY = struct(checksum="string", url="string", filename="string")
+# One row per flyer ever queued; ``prefix``, the first characters of the checksum, names its folder.
+REGISTRY = struct(checksum="string", url="string", filename="string", prefix="string")
 
 # One row per (flyer, shop), written once, when the shop is first seen with that flyer.
-PLACES = struct(checksum="string", place_id="string", entry=PLACE, arrival=ARRIVAL)
+PLACES = struct(checksum="string", place_id="string", entry=PLACE, arrival=ARRIVAL, prefix="string")
 
 # Chunk results on their way from extraction to the fold. A document that could not be
-# fetched has one row without a chunk number; a chunk that could not be read has ``error``.
+# fetched has one row without a chunk number; a chunk that could not be read, or whose result
+# breaks the contract, has ``error``. ``offers_data`` holds valid offers only.
 STAGING = T.StructType(
     [
         *MESSAGE.fields,
         *struct(fetch_status="string", chunk_total="integer", chunk_n="integer").fields,
         *CHUNK_RESULT.fields,
-        *struct(attempts="integer", error="string", staged_on="date").fields,
+        *struct(attempts="integer", error="string").fields,
+        T.StructField("rejected_offers", T.ArrayType(struct(offer=OFFER, reason="string"))),
     ]
 )
 
+# What was refused on the way: an offer that breaks the contract, a chunk or a document that failed.
+REJECTS = struct(checksum="string", chunk_n="integer", reason="string", offer=OFFER)
+
 INCOMPLETE = struct(checksum="string", chunks_seen="integer", chunk_total="integer")

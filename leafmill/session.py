@@ -45,6 +45,8 @@ def streaming_session(
     """
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not drain).lower())
+    # A micro-batch too large to be broadcast sends a bloom filter of its keys ahead to the stored table's scan.
+    session.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "64MB")
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
     partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leafmill.schemas import MESSAGE
+from pyspark.sql.types import StructType
 
+from leafmill.schemas import MESSAGE, QUEUED
+from leafmill.sources.tables import commit_batch
 
-def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
+
+def parse_messages(raw: DataFrame, value: str = "value", schema: StructType = MESSAGE) -> DataFrame:
     """JSON bytes or text to message columns; malformed input gives nulls, not a failure."""
     keep = [c for c in raw.columns if c != value]
-    parsed = raw.select(*keep, F.from_json(F.col(value).cast("string"), MESSAGE).alias("_m"))
+    parsed = raw.select(*keep, F.from_json(F.col(value).cast("string"), schema).alias("_m"))
     return parsed.select(*keep, "_m.*")
 
 
@@ -74,10 +77,10 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "l
     )
 
 
-def write_queue(messages: DataFrame, path: str, batch_id: int) -> None:
-    """One folder per batch; a replayed batch replaces its own."""
-    json = messages.select(message_json(*MESSAGE.fieldNames()).alias("value"))
-    json.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+def write_queue(messages: DataFrame, path: str, batch_id: int) -> bool:
+    """One folder of JSON lines per batch, which appears whole; a replayed batch leaves it as it is."""
+    json = messages.select(message_json(*QUEUED.fieldNames()).alias("value"))
+    return commit_batch(json, path, batch_id, text=True)
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:

@@ -3,13 +3,20 @@
 ::
 
     messages -> [intake]     -> queue (JSON), registry, places
-    queue    -> [extraction] -> staging (chunk results, offers nested per chunk)
+    queue    -> [extraction] -> staging (chunk results, offers nested per chunk), rejects
     staging  -> [fold]       -> flyers, offers, incomplete
 
-Each arrow ends in files that every executor can read, so a lost executor costs a task
-and a lost driver a micro-batch. Extraction writes through the file sink, whose log makes
-it exactly-once; the other two overwrite one folder per batch, so a replay changes
-nothing. No error is caught on the way to a sink: a batch that fails is run again.
+and what is refused on the way goes to ``rejects``, with a reason.
+
+Each arrow ends in files that every executor can read, so a lost executor costs a task and a
+lost driver a micro-batch. Every batch of every table appears whole and is never written again
+(``tables.commit_batch``), so a replayed batch neither changes a table nor shows the next query a
+row twice, and an extractor is not called again for a batch that is staged. No error is caught on
+the way to a sink: a batch that fails is run again.
+
+Micro-batches read what they may hit: the registry in the folders of their checksums' prefixes, the
+content table in the folders of their days, the flyer table in the hash partitions of their flyers,
+staging in the batches of the copies that were folded.
 """
 
 from __future__ import annotations
@@ -17,18 +24,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from leafmill import schemas
 from leafmill.functions.chunks import text_pages
 from leafmill.operators.chunking import OK, acquire, split_chunks, spread
-from leafmill.operators.fold import first_arrivals, fold_input
+from leafmill.operators.extraction import split_valid
+from leafmill.operators.fold import fold_input
 from leafmill.operators.ingest import known_among, new_flyers, new_places, place_lists
 from leafmill.operators.offers import explode_offers, flyer_rows, offer_rows
 from leafmill.sources import tables
 from leafmill.sources.messages import parse_messages, with_arrival, write_queue
 from leafmill.streaming.fold import COMPLETE, INCOMPLETE, fold_stream
+from leafmill.streaming.progress import commit_counters, count_chunks, count_messages
 
 Extract = Callable[[DataFrame], DataFrame]
 
@@ -38,6 +48,10 @@ class Store:
     """Where the tables and checkpoints of one flow live, below a shared folder."""
 
     root: str
+    # Hash partitions of the flyer table, and how many first characters of a checksum name a folder of the
+    # registry and the places (16 folders a character); chosen once, for the life of the tables.
+    flyer_parts: int = 16
+    prefix_chars: int = 1
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -50,6 +64,8 @@ class Store:
         for name, schema in (
             ("registry", schemas.REGISTRY),
             ("places", schemas.PLACES),
+            ("staging", schemas.STAGING),
+            ("rejects", schemas.REJECTS),
             ("flyers", schemas.FLYERS),
             ("offers", schemas.OFFERS),
             ("incomplete", schemas.INCOMPLETE),
@@ -57,7 +73,12 @@ class Store:
             tables.create_if_absent(spark, self.path(name), schema)
 
     def staging(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(schemas.STAGING).parquet(self.path("staging"))
+        """All staged chunks, with the ``batch_id`` that staged them."""
+        return tables.read_batches(spark, self.path("staging"), schemas.STAGING)
+
+    def counters(self, spark: SparkSession, name: str) -> DataFrame:
+        """Counters of one of the three queries, a row per micro-batch."""
+        return spark.read.option("basePath", self.path(f"counters/{name}")).parquet(self.path(f"counters/{name}"))
 
 
 def _start(rows: DataFrame, name: str, store: Store, once: bool):
@@ -65,6 +86,26 @@ def _start(rows: DataFrame, name: str, store: Store, once: bool):
     return writer.trigger(availableNow=True) if once else writer
 
 
+def _prefix(store: Store) -> Column:
+    return F.substring("checksum", 1, store.prefix_chars)
+
+
+def _by_prefix(rows: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of a table, a file for each folder rather than one from every task."""
+    return rows.select(*schema.fieldNames()).repartition("prefix")
+
+
+def registered(spark: SparkSession, store: Store, messages: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """The checksums of ``messages`` that earlier batches queued: a read of their prefixes' folders only.
+
+    ``messages``, with ``prefix``, are what prunes: small ones are broadcast, and their prefixes
+    choose folders before any file is opened; large ones go through a shuffle with a bloom filter of their
+    checksums in front of it (see ``streaming_session``).
+    """
+    registry = tables.read_batches(spark, store.path("registry"), schemas.REGISTRY, batch_id)
+    return known_among(registry, messages.filter(F.length("checksum") > 0), "checksum", "prefix")
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
     """Queue the unseen flyers of a batch and record every new (flyer, shop) pair.
 
@@ -72,19 +113,20 @@ def ingest_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
     before it is processed keeps both.
     """
     spark = batch.sparkSession
-    messages = with_arrival(batch).filter("checksum is not null").persist()
+    arrived = with_arrival(batch).filter("checksum is not null").withColumn("prefix", _prefix(store))
+    messages = arrived.persist()
     try:
-        registry = tables.read_batches(spark, store.path("registry"), schemas.REGISTRY, batch_id)
+        n = messages.count()  # from here on Spark knows its size
         places = tables.read_batches(spark, store.path("places"), schemas.PLACES, batch_id)
-        keyed = messages.select("checksum", F.col("source.placeId").alias("place_id"))
-        flyers = new_flyers(messages, known_among(registry, keyed, "checksum")).persist()
-        found = new_places(messages, known_among(places, keyed, "checksum", "place_id"))
+        keyed = messages.select("checksum", "prefix", F.col("source.placeId").alias("place_id")).filter(F.length("checksum") > 0)
+        flyers = new_flyers(messages, registered(spark, store, messages, batch_id)).withColumn("arrived_on", F.to_date("arrival.at")).persist()
+        found = new_places(messages, known_among(places, keyed, "checksum", "place_id", "prefix")).withColumn("prefix", _prefix(store))
         try:
-            tables.write_batch(found.select(*schemas.PLACES.fieldNames()), store.path("places"), batch_id)
+            tables.commit_batch(_by_prefix(found, schemas.PLACES), store.path("places"), batch_id, "prefix")
             write_queue(flyers, store.path("queue"), batch_id)
-            tables.write_batch(
-                flyers.select(*schemas.REGISTRY.fieldNames()), store.path("registry"), batch_id
-            )
+            tables.commit_batch(_by_prefix(flyers, schemas.REGISTRY), store.path("registry"), batch_id, "prefix")
+            counted = [F.lit(n).cast("bigint").alias("messages"), F.count("*").alias("queued")]
+            commit_counters(flyers, store.path("counters/intake"), batch_id, *counted)
         finally:
             flyers.unpersist()
     finally:
@@ -94,7 +136,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
 def start_intake(messages: DataFrame, store: Store, once: bool = False) -> StreamingQuery:
     """Route a message stream (see ``sources.messages``)."""
     return (
-        _start(messages, "intake", store, once)
+        _start(count_messages(messages), "intake", store, once)
         .queryName("intake")
         .foreachBatch(lambda batch, batch_id: ingest_batch(batch, batch_id, store))
         .start()
@@ -105,7 +147,7 @@ def queue_stream(spark: SparkSession, store: Store, files_per_batch: int | None
     reader = spark.readStream.format("text").schema("value string")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return parse_messages(reader.load(store.path("queue") + "/*"))
+    return parse_messages(reader.load(store.path("queue") + "/batch_id=*"), schema=schemas.QUEUED)
 
 
 def extraction_plan(
@@ -120,61 +162,93 @@ def extraction_plan(
     for name, kind in (("attempts", "int"), ("error", "string")):
         if name not in results.columns:
             results = results.withColumn(name, F.lit(None).cast(kind))
-    results = results.withColumn("staged_on", F.to_date(F.current_timestamp()))
+    results = split_valid(results)
+    broken = F.when(F.col("chunk_n").isNotNull(), F.col("reject_reason"))
+    results = results.withColumns(
+        {"error": F.coalesce("error", broken), "offers_count": F.coalesce(F.size("offers_data"), F.lit(0))}
+    )
     return results.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.STAGING.fields])
 
 
+def rejected(staged: DataFrame) -> DataFrame:
+    """``REJECTS`` of staged chunks: refused offers, failed chunks, documents that could not be fetched."""
+    offers = staged.select("checksum", "chunk_n", F.explode("rejected_offers").alias("r")).select(
+        "checksum", "chunk_n", "r.reason", "r.offer"
+    )
+    reason = F.coalesce("error", F.when(F.col("fetch_status") != OK, F.col("fetch_status")))
+    failed = staged.filter(reason.isNotNull()).select("checksum", "chunk_n", reason.alias("reason"))
+    wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.REJECTS.fields]
+    return offers.unionByName(failed, allowMissingColumns=True).select(*wanted)
+
+
+def extract_batch(
+    batch: DataFrame, batch_id: int, content: DataFrame | Callable[[SparkSession], DataFrame], extract: Extract,
+    store: Store, partitions: int | None = None, on: str | list[str] = "url",
+) -> None:
+    """Fetch, chunk and extract the queued flyers of a batch; each step runs once, whatever is replayed."""
+    spark = batch.sparkSession
+    if not tables.is_committed(spark, store.path("staging"), batch_id):
+        messages = batch.filter("checksum is not null").dropDuplicates(["checksum"]).persist()
+        try:
+            messages.count()  # from here on Spark knows its size
+            known = content(spark) if callable(content) else content
+            tables.commit_batch(extraction_plan(messages, known, extract, partitions, on), store.path("staging"), batch_id)
+        finally:
+            messages.unpersist()
+    staged = store.staging(spark).filter(F.col("batch_id") == batch_id)
+    tables.commit_batch(rejected(staged), store.path("rejects"), batch_id)
+    commit_counters(staged.filter("chunk_n is not null and error is null"), store.path("counters/extraction"), batch_id)
+
+
 def start_extraction(
-    messages: DataFrame, content: DataFrame, extract: Extract, store: Store,
+    messages: DataFrame, content: DataFrame | Callable[[SparkSession], DataFrame], extract: Extract, store: Store,
     partitions: int | None = None, once: bool = False, on: str | list[str] = "url",
 ) -> StreamingQuery:
-    """Fetch, chunk and extract queued flyers into the staging table; ``on`` as in ``acquire``."""
+    """Fetch, chunk and extract queued flyers into the staging table; ``on`` as in ``acquire``.
+
+    A content table that grows is given as a function, so that each batch sees its new days.
+    """
     return (
-        _start(extraction_plan(messages, content, extract, partitions, on), "extraction", store, once)
+        _start(messages, "extraction", store, once)
         .queryName("extraction")
-        .format("parquet")
-        .partitionBy("staged_on")
-        .option("path", store.path("staging"))
+        .foreachBatch(lambda batch, batch_id: extract_batch(batch, batch_id, content, extract, store, partitions, on))
         .start()
     )
 
 
 def staged_chunks(spark: SparkSession, store: Store, files_per_batch: int | None = None) -> DataFrame:
-    """The fold's input: good chunks, narrow columns only."""
-    reader = spark.readStream.schema(schemas.STAGING)
+    """The fold's input: good chunks, narrow columns only, counted for listeners."""
+    reader = spark.readStream.schema(StructType([*schemas.STAGING.fields, StructField("batch_id", LongType())]))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     good = reader.parquet(store.path("staging")).filter("chunk_n is not null and error is null")
-    return fold_input(good)
+    return count_chunks(fold_input(good.withColumnRenamed("batch_id", "staged_batch")))
 
 
 def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
     """Write the flyers a batch completed, with their offers, and those it gave up on.
 
-    The offers wait in staging. The fold tells between which days a flyer's chunks were staged,
-    so of each flyer those folders are read, and a late one widens the span of no other.
+    The offers wait in staging. The fold tells which copy of each chunk it counted, so just those
+    copies' offers are read, from the folders of the batches that staged them.
     """
     spark = batch.sparkSession
     folded = batch.persist()
     try:
         complete = folded.filter(F.col("status") == COMPLETE)
         flyers = flyer_rows(complete)
-        tables.write_batch(flyers, store.path("flyers"), batch_id)
-
-        days = complete.filter("staged_from <= staged_to").select(
-            "checksum", F.explode(F.sequence("staged_from", "staged_to")).alias("staged_on")
+        copies = complete.select("checksum", F.explode("copies").alias("c")).select(
+            "checksum", "c.chunk_n", F.col("c.staged_batch").alias("batch_id")
         )
-        staged = store.staging(spark).filter(F.col("chunk_n").isNotNull() & F.col("error").isNull())
-        wanted = staged.select("staged_on", "checksum", "chunk_n", "processed_at", "offers_data").join(
-            days, ["staged_on", "checksum"], "left_semi"
-        ).drop("staged_on")
-        offers = explode_offers(first_arrivals(wanted, "processed_at"))
-        tables.write_batch(offer_rows(offers, flyers), store.path("offers"), batch_id)
-
+        folded.count()  # from here on Spark knows its size
+        staged = store.staging(spark).select("batch_id", "checksum", "chunk_n", "offers_data")
+        wanted = staged.join(copies, ["batch_id", "checksum", "chunk_n"], "left_semi").drop("batch_id")
+        tables.commit_batch(offer_rows(explode_offers(wanted), flyers), store.path("offers"), batch_id)
         gone = folded.filter(F.col("status") == INCOMPLETE)
-        tables.write_batch(
-            gone.select(*schemas.INCOMPLETE.fieldNames()), store.path("incomplete"), batch_id
-        )
+        tables.commit_batch(gone.select(*schemas.INCOMPLETE.fieldNames()), store.path("incomplete"), batch_id)
+        tables.upsert_batch(flyers, store.path("flyers"), schemas.FLYERS, "checksum", batch_id, store.flyer_parts)
+        counted = [F.count_if(F.col("status") == COMPLETE).alias("flyers"), F.count_if(F.col("status") == INCOMPLETE).alias("incomplete"),
+                   F.coalesce(F.sum(F.when(F.col("status") == COMPLETE, F.col("offers_count"))), F.lit(0)).alias("offers")]
+        commit_counters(folded, store.path("counters/fold"), batch_id, *counted)
     finally:
         folded.unpersist()
 
@@ -197,7 +271,7 @@ def stored_places(spark: SparkSession, store: Store) -> DataFrame:
 
 def flyers_view(spark: SparkSession, store: Store) -> DataFrame:
     """The flyer table, one row per checksum, with all its shops."""
-    latest = tables.read_latest(spark, store.path("flyers"), schemas.FLYERS, "checksum").drop("sources")
+    latest = tables.read_current(spark, store.path("flyers"), schemas.FLYERS).drop("sources")
     joined = latest.join(stored_places(spark, store), "checksum", "left")
     return joined.select(*schemas.FLYERS.fieldNames())
 

@@ -5,6 +5,10 @@ each carried field the lowest chunk that had it. That keeps the result independe
 arrival order and equal to the batch form. A complete flyer leaves only a tombstone,
 which stops redelivered chunks and expires; by then the stored-flyer test rejects the
 checksum at intake. A flyer has few chunks, so rows come one by one rather than as frames.
+
+A chunk may be delivered many times. Of the copies that one task reads, one goes on to the state
+operator; of those that reach a flyer together, the one of the earliest staging batch counts, and
+none after it. The state says which copy that was, and publication takes the offers of just that copy.
 """
 
 from __future__ import annotations
@@ -12,7 +16,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from leafmill.operators.fold import COUNTERS
@@ -25,21 +31,21 @@ OUTPUT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FOLD_OUT
 # Fields taken from the lowest chunk that has them, each with that chunk's number.
 _LOWEST = (("spot_n", ("place_id", "lat", "lon")), ("name_n", ("place_name",)), ("address_n", ("address",)))
 _STATE = (
-    "seen array<int>, chunk_total int, last_n int, url string, filename string,"
+    "seen array<int>, copies array<bigint>, chunk_total int, last_n int, url string, filename string,"
     " spot_n int, place_id string, lat double, lon double, name_n int, place_name string,"
     " address_n int, address string, validity_from string, validity_to string,"
     " offers_count bigint, ai_input_tokens bigint, ai_cached_tokens bigint,"
-    " ai_output_tokens bigint, processing_time_seconds double, staged_from date, staged_to date"
+    " ai_output_tokens bigint, processing_time_seconds double"
 )
-_FIELDS = [part.split()[0] for part in _STATE.replace("array<int>", "ints").split(",")]
+_FIELDS = [part.split()[0] for part in _STATE.split(", ")]
 
 _DAY_MS = 24 * 60 * 60 * 1000
 
 
 class FlyerFold(StatefulProcessor):
-    """See the module text. ``give_up_ms`` reports a flyer still open after that time."""
+    """See the module text. ``give_up_ms`` reports a flyer still open after that time; None waits for ever."""
 
-    def __init__(self, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = None):
+    def __init__(self, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS):
         self.tombstone_ms = tombstone_ms
         self.give_up_ms = give_up_ms
 
@@ -53,21 +59,25 @@ class FlyerFold(StatefulProcessor):
             return
         stored = self.open.get() if self.open.exists() else None
         state = dict(zip(_FIELDS, stored or [None] * len(_FIELDS)))
-        seen = set(state["seen"] or ())
+        seen = dict(zip(state["seen"] or (), state["copies"] or (), strict=True))
+        new: dict[int, Row] = {}
         for row in rows:
-            if row.chunk_n not in seen:
-                seen.add(row.chunk_n)
-                self._add(state, row)
+            if row.chunk_n not in seen and (row.chunk_n not in new or _staged(row) < _staged(new[row.chunk_n])):
+                new[row.chunk_n] = row
+        for n in sorted(new):
+            seen[n] = new[n].staged_batch
+            self._add(state, new[n])
         if not seen:
             return
         state["seen"] = sorted(seen)
+        state["copies"] = [seen[n] for n in state["seen"]]
         if len(seen) == state["chunk_total"]:
             yield self._row(key[0], state, COMPLETE)
+            self.done.update((datetime.now(timezone.utc).replace(tzinfo=None),))
             if stored is not None:
                 self.open.clear()
-            self.done.update((datetime.now(timezone.utc).replace(tzinfo=None),))
-            for timer in list(self.handle.listTimers()) if self.give_up_ms else []:
-                self.handle.deleteTimer(timer)
+                for timer in list(self.handle.listTimers()) if self.give_up_ms else []:
+                    self.handle.deleteTimer(timer)
             return
         self.open.update(tuple(state[name] for name in _FIELDS))
         if stored is None and self.give_up_ms:
@@ -91,9 +101,6 @@ class FlyerFold(StatefulProcessor):
         seconds = "processing_time_seconds"
         state[seconds] = (state[seconds] or 0.0) + (row[seconds] or 0.0)
         state["chunk_total"] = max(state["chunk_total"] or 0, row.chunk_total or 0)
-        if row.staged_on is not None:
-            state["staged_from"] = min(state["staged_from"] or row.staged_on, row.staged_on)
-            state["staged_to"] = max(state["staged_to"] or row.staged_on, row.staged_on)
         if n == 0:
             state.update(validity_from=row.validity_from, validity_to=row.validity_to)
         if state["last_n"] is None or n > state["last_n"]:
@@ -106,16 +113,49 @@ class FlyerFold(StatefulProcessor):
 
     @staticmethod
     def _row(checksum: str, state: dict, status: str) -> Row:
-        values = {**state, "checksum": checksum, "chunks_seen": len(state["seen"]), "status": status}
+        copies = [Row(chunk_n=n, staged_batch=b) for n, b in zip(state["seen"], state["copies"], strict=True)]
+        values = {**state, "checksum": checksum, "chunks_seen": len(copies), "copies": copies, "status": status}
         return Row(**{name: values[name] for name in (*FOLD_OUTPUT.fieldNames(), "status")})
 
 
-def fold_stream(chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = None) -> DataFrame:
+def _staged(row: Row) -> tuple:
+    return row.staged_batch is None, row.staged_batch or 0
+
+
+def first_per_task(chunks: DataFrame) -> DataFrame:
+    """Of the copies of a chunk that one task reads, the first of the earliest staging batch; rows without a number go.
+
+    A million copies of a chunk leave a row a task for the shuffle. A task holds one narrow row for
+    each chunk of its part of a micro-batch until it ends.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        best: dict[tuple, tuple] = {}
+        for batch in batches:
+            names, numbers, staged = (batch.column(c).to_pylist() for c in ("checksum", "chunk_n", "staged_batch"))
+            mine = {}
+            for i, (key, at) in enumerate(zip(zip(names, numbers, strict=True), staged, strict=True)):
+                rank = (at is None, at or 0)
+                if key not in best or rank < best[key][0]:
+                    best[key] = rank, len(held)
+                    mine[key] = i
+            if mine:
+                held.append(batch.take(pa.array(list(mine.values()))))
+        for number, batch in enumerate(held):
+            keys = zip(batch.column("checksum").to_pylist(), batch.column("chunk_n").to_pylist(), strict=True)
+            won = np.array([best[key][1] == number for key in keys])
+            yield batch.filter(pa.array(won))
+
+    return chunks.filter(F.col("chunk_n").isNotNull()).mapInArrow(run, chunks.schema)
+
+
+def fold_stream(chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS) -> DataFrame:
     """Folded flyers (``FOLD_OUTPUT`` and ``status``) of a stream of ``FOLD_INPUT`` rows.
 
     Needs the RocksDB state store provider, see ``leafmill.session``.
     """
-    return chunks.groupBy("checksum").transformWithState(
+    return first_per_task(chunks).groupBy("checksum").transformWithState(
         statefulProcessor=FlyerFold(tombstone_ms, give_up_ms),
         outputStructType=OUTPUT_DDL,
         outputMode="Append",

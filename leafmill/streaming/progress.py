@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import _parse_datatype_string
 
-from leafmill.sources.tables import read_batches, write_batch
-
-CHUNKS = "chunks"
+from leafmill.sources.tables import commit_batch, read_batches, write_batch
 
+MESSAGES, CHUNKS = "messages", "chunks"
 
 COUNTERS = "chunks bigint, offers bigint, tokens_in bigint, tokens_out bigint, seconds double"
 
@@ -29,6 +28,16 @@ def count_chunks(chunks: DataFrame, name: str = CHUNKS) -> DataFrame:
     return chunks.observe(name, *_counted())
 
 
+def count_messages(messages: DataFrame, name: str = MESSAGES) -> DataFrame:
+    """The same stream, observed: messages per micro-batch, and those that could not be read."""
+    return messages.observe(name, F.count(F.lit(1)).alias("messages"), F.count_if(F.col("checksum").isNull()).alias("unreadable"))
+
+
+def commit_counters(rows: DataFrame, path: str, batch_id: int, *counted: Column) -> None:
+    """One row of counters for a micro-batch, once."""
+    commit_batch(rows.agg(*(counted or _counted())), path, batch_id)
+
+
 def write_counters(batch: DataFrame, batch_id: int, path: str) -> None:
     """For ``foreachBatch``: one row of counters per micro-batch. A replay overwrites its own row.
 

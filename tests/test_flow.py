@@ -135,6 +135,90 @@ def test_a_reader_can_leave_out_its_own_batch(spark):
     assert tables.read_latest(spark, path, rows.schema.add("v", "string"), "checksum").count() == 3
 
 
+def test_a_batch_is_committed_once(spark):
+    path = scratch_dir(spark, "test-commit")
+    rows = spark.range(3).selectExpr("cast(id as string) as checksum", "cast(id % 2 as string) as prefix")
+    assert tables.commit_batch(rows, path, 0, "prefix")
+    assert not tables.commit_batch(rows.union(rows), path, 0, "prefix")
+    broken = rows.withColumn("checksum", F.raise_error(F.lit("no space")).cast("string"))
+    with pytest.raises(Exception, match="no space"):
+        tables.commit_batch(broken, path, 1)
+    assert not tables.is_committed(spark, path, 1)
+    assert tables.read_batches(spark, path, rows.schema).count() == spark.read.parquet(path).count() == 3
+    assert tables.commit_batch(rows, path, 1, "prefix") and tables.read_batches(spark, path, rows.schema).count() == 6
+
+
+def test_upserts_rewrite_what_they_touch(spark):
+    path = scratch_dir(spark, "test-upsert")
+    schema = spark.createDataFrame([], "checksum string, n long").schema
+
+    def rows(keys, n):
+        return spark.createDataFrame([(str(k), n) for k in keys], schema)
+
+    tables.create_if_absent(spark, path, schema)
+    assert tables.read_current(spark, path, schema).count() == 0
+    for batch_id, keys in enumerate((range(40), [3], [3, 50], [])):
+        assert tables.upsert_batch(rows(keys, batch_id), path, schema, "checksum", batch_id, 8)
+        assert not tables.upsert_batch(rows(range(99), -1), path, schema, "checksum", batch_id, 8)
+    current = tables.read_current(spark, path, schema)
+    assert {int(r["checksum"]): r["n"] for r in current.collect()} == dict.fromkeys(range(40), 0) | {3: 2, 50: 2}
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    assert len(spark.read.parquet(f"{path}/batch_id=1").select("part").distinct().collect()) == 1
+    old = tables.superseded(spark, path)
+    assert 1 <= len(old) <= 3 and all("part=" in folder for folder in old)
+
+
+def test_replayed_intake_and_extraction_change_nothing(spark):
+    session = streaming_session(spark, drain=True)
+    store = flow.Store(scratch_dir(spark, "test-replayed"))
+    store.create(session)
+    from leafmill.sources.messages import parse_messages
+
+    rows = spark.createDataFrame([(message(c * 64, f"u/{c}", "p"),) for c in "ab"], "value string")
+    batch = parse_messages(rows).withColumns({"at": F.current_timestamp(), "part": F.lit("f")})
+    content = spark.createDataFrame([], "url string, content binary")
+    calls = []
+
+    def counted(chunks):
+        calls.append(1)
+        return extract(chunks)
+
+    queued = spark.createDataFrame([], "checksum string")
+    for _ in range(2):
+        flow.ingest_batch(batch, 0, store)
+        queued = flow.parse_messages(spark.read.text(store.path("queue/batch_id=0")), schema=flow.schemas.QUEUED)
+        flow.extract_batch(queued, 0, content, counted, store)
+    assert len(calls) == 1 and queued.count() == 2 and {str(r["arrived_on"]) for r in queued.collect()} != {"None"}
+    flow.ingest_batch(batch, 1, store)
+    assert spark.read.text(store.path("queue/batch_id=1")).count() == 0
+    registry = tables.read_batches(spark, store.path("registry"), flow.schemas.REGISTRY)
+    assert sorted((r["checksum"][0], r["prefix"]) for r in registry.collect()) == [("a", "a"), ("b", "b")]
+    reasons = [r["reason"] for r in tables.read_batches(spark, store.path("rejects"), flow.schemas.REJECTS).collect()]
+    assert reasons == ["missing", "missing"]
+
+
+def test_a_standing_query_gives_up_on_a_flyer(spark):
+    import time
+
+    session = streaming_session(spark)
+    store = flow.Store(scratch_dir(spark, "test-give-up"))
+    store.create(session)
+    staging = flow.schemas.STAGING
+    row = dict.fromkeys(staging.fieldNames()) | {"checksum": "a", "chunk_n": 0, "chunk_total": 2, "fetch_status": "ok"}
+    tables.commit_batch(spark.createDataFrame([tuple(row.values())], staging), store.path("staging"), 0)
+    running = flow.start_fold(flow.staged_chunks(session, store), store, give_up_ms=2_000)
+    try:
+        gone, until = [], time.time() + 90
+        while not gone and time.time() < until:
+            time.sleep(1)
+            assert running.isActive, running.exception()
+            gone = tables.read_batches(spark, store.path("incomplete"), flow.schemas.INCOMPLETE).collect()
+    finally:
+        running.stop()
+    assert [(r["checksum"], r["chunks_seen"], r["chunk_total"]) for r in gone] == [("a", 1, 2)]
+
+
 def test_retry_waits_and_gives_up():
     calls = []
 
