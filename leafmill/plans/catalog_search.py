@@ -151,13 +151,12 @@ def text_rank(spark, sf_dir):
     """The ten best documents for every benchmark text, whole texts on both sides."""
     stop_words = list(texts.ITALIAN_STOP_WORDS)
     documents = standins.table(spark, sf_dir, "documents")
-    path = scratch_dir(spark, "terms")
-    search.term_index(documents, stop_words).write.parquet(path)
+    index = search.store_index(documents, stop_words, scratch_dir(spark, "terms"))
     queries = standins.table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
     n_docs = documents.agg(F.count("*").alias("n")).scalar()
-    return search.text_rank(spark.read.parquet(path), n_docs, queries, 10, stop_words)
+    return search.text_rank(index, n_docs, queries, 10, stop_words)
 
 
 @query(
@@ -174,10 +173,20 @@ from s qualify rank <= 5""",
 )
 def knn_exact(spark, sf_dir):
     """The five vectors nearest to the mean of every label."""
+    return search.nearest(standins.table(spark, sf_dir, "embeddings"), _label_means(spark, sf_dir), 5, row_id="vec_id")
+
+
+@query("knn_cells")
+def knn_cells(spark, sf_dir):
+    """As ``knn_exact``, but of 16 cells the 6 nearest are searched."""
+    index = search.store_cells(standins.table(spark, sf_dir, "embeddings"), scratch_dir(spark, "cells"), 16, row_id="vec_id")
+    return search.nearest_in_cells(index, _label_means(spark, sf_dir), 5, probes=6)
+
+
+def _label_means(spark, sf_dir):
     rows = standins.table(spark, sf_dir, "embeddings")
     spread = rows.select("label", F.posexplode("embedding").alias("i", "x"))
     mean = spread.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    queries = mean.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
+    return mean.groupBy(F.col("label").cast("bigint").alias("query_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("query_vector")
     )
-    return search.nearest(rows, queries, 5, row_id="vec_id")

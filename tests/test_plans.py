@@ -37,6 +37,14 @@ def test_ranking_is_limited_before_the_shuffle(spark):
         assert "WindowGroupLimit" in text and "Partial" in text, name
 
 
+def test_scores_are_added_up_in_their_buckets(spark):
+    ranked = plan(spark, "text_rank").split("WindowGroupLimit", 2)[2]
+    below = ranked.split("HashAggregate", 2)[2]
+    assert "Exchange hashpartitioning" not in ranked and "Bucketed: true" in below and "BroadcastHashJoin" in below
+    lazy = plan(spark, "knn_exact")
+    assert "FlatMapCoGroupsInArrow" in lazy and "embedding" in lazy
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "numeric_range")
     assert "GreaterThanOrEqual(p_retailprice,910.5)" in text

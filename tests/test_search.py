@@ -10,6 +10,7 @@ from leafmill.functions import text as texts
 from leafmill.functions.text import stem, without_elision
 from leafmill.operators import search
 from leafmill.plans import dashboards
+from leafmill.session import scratch_dir
 
 
 def test_neighbours_with_blocks_of_queries(spark, monkeypatch):
@@ -19,6 +20,8 @@ def test_neighbours_with_blocks_of_queries(spark, monkeypatch):
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "row_id bigint, embedding array<float>").repartition(5)
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id bigint, query_vector array<double>")
     monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "TILE_ROWS", 40)
+    monkeypatch.setattr(search, "STRIP", 2)
     got = {(r["query_id"], r["rank"]): r["row_id"] for r in search.nearest(rows, queries, 4).collect()}
     unit = base.astype(float) / np.linalg.norm(base.astype(float), axis=1, keepdims=True)
     for q, v in enumerate(asked):
@@ -27,6 +30,24 @@ def test_neighbours_with_blocks_of_queries(spark, monkeypatch):
         assert [got[(q, n + 1)] for n in range(4)] == best
 
 
+def test_cells_recall_and_folders(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(20, 16))
+    data = centers[rng.integers(20, size=3_000)] + rng.normal(size=(3_000, 16)) * 0.5
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "row_id bigint, embedding array<float>").repartition(4)
+    queries = spark.createDataFrame([(i, (data[i * 29] + 0.1).tolist()) for i in range(100)], "query_id bigint, query_vector array<double>")
+    exact = {(r["query_id"], r["row_id"]) for r in search.nearest(rows, queries, 10).collect()}
+    index = search.store_cells(rows, scratch_dir(spark, "test-cells"), 20)
+    assert index.rows(spark).count() == 3_000
+    found = {(r["query_id"], r["row_id"]) for r in search.nearest_in_cells(index, queries, 10, probes=5).collect()}
+    assert len(exact) == 1_000 and len(exact & found) >= 0.9 * len(exact)
+    whole = {(r["query_id"], r["row_id"]) for r in search.nearest_in_cells(index, queries, 10, probes=20).collect()}
+    assert whole == exact
+    one = search.nearest_in_cells(index, queries.filter("query_id = 3"), 10, probes=2)
+    scan = next(line for line in one._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters" in line)
+    assert "cell" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_no_queries_give_no_rows(spark):
     rows = spark.createDataFrame([(1, [1.0])], "row_id bigint, embedding array<float>")
     none = spark.createDataFrame([], "query_id bigint, query_vector array<double>")
