@@ -8,11 +8,11 @@ in the same order from a heap.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import heapq
 import json
 import struct
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +20,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from leafmill.llm.common import kept_in_worker, texts_of
+from tokenizers import Regex, normalizers
+from tokenizers.pre_tokenizers import Split
+
+from leafmill.llm.common import GROUP_BYTES, Memory, by_bytes, kept_in_worker, release, texts_of
 
-MEMORY_CHUNKS = 600_000
 SHORT_WORD = 256
 NO_RANK = 1 << 60
 
-# Unicode white space. str.split() also cuts at the four separators \x1c to \x1f, which are none.
+# Texts are worked on in pieces of so many characters, which end at white space.
+PIECE_CHARS = 1 << 18
+
+# Unicode white space; the four separators \x1c to \x1f are none.
 WHITE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
-SEPARATORS = regex.compile(r"[\x1c-\x1f]")
+BEYOND_LATIN = regex.compile(r"[^\x00-\u024f]")
 
 
 def byte_alphabet() -> list[str]:
@@ -42,6 +47,19 @@ def pair_key(left: int, right: int) -> int:
     return left << 32 | right
 
 
+def pieces_of(text: str) -> Iterator[str]:
+    """A text cut at white space into pieces of bounded size; a longer word is a piece of its own."""
+    start = 0
+    while len(text) - start > PIECE_CHARS:
+        end = next((i for i in range(start + PIECE_CHARS, start, -1) if WHITE.match(text[i])), None)
+        if end is None:
+            gap = WHITE.search(text, start + PIECE_CHARS)
+            end = gap.start() if gap else len(text)
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizers JSON file: NFC, lower case, white space dropped, word ends marked."""
 
@@ -59,12 +77,23 @@ class WordBpe:
         self.merged = [self.vocab[left + right] for left, right in model["merges"]]
         splitter = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(splitter["pattern"]["Regex"])
+        # Beyond the first Latin blocks, letters and their lower case are a matter of the library's Unicode tables.
+        self.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.splitter = Split(Regex(splitter["pattern"]["Regex"]), "removed", invert=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         alphabet = byte_alphabet()
         self.inner_ids = [self.vocab.get(c) for c in alphabet]
         self.last_ids = [self.vocab.get(c + self.end) for c in alphabet]
-        self.known_words: dict[str, list[int]] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Memory()
+
+    def for_task(self) -> WordBpe:
+        """The same vocabulary with a memory of its own."""
+        own = copy.copy(self)
+        own.forget()
+        return own
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-token."""
@@ -109,40 +138,40 @@ class WordBpe:
                     heapq.heappush(queue, (rank, k, ids[k], ids[after[k]]))
         return [i for i in ids if i >= 0]
 
-    def _plain(self, chunk: str) -> list[int]:
-        # Letter by letter, so a final sigma gets no form of its own.
-        lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids: list[int] = []
-        for word in self.words.findall(lowered):
-            if (found := self.known_words.get(word)) is None:
-                found = self.known_words[word] = self.encode_word(word)
-            ids += found
-        return ids
-
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """Ids of a text without white space; the file's special strings are tokens of their own."""
-        if self.specials is None or not self.specials.search(chunk):
-            return self._plain(chunk)
-        parts = self.specials.split(chunk)
-        return [i for p in parts if p for i in ([self.special[p]] if p in self.special else self._plain(p))]
+    def _words(self, text: str) -> list[str]:
+        """The pre-tokens of a text without special strings."""
+        if BEYOND_LATIN.search(text):
+            return [word for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
+        return self.words.findall(text.lower())
+
+    def _coded(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Per pre-token its ids and its decoded text; what is remembered is not encoded again."""
+        found = list(map(self.known.young.get, words))
+        for i, pair in enumerate(found):
+            if pair is None:
+                word = words[i]
+                if (pair := self.known.young.get(word)) is None:
+                    if (pair := self.known.old.get(word)) is None:
+                        ids = self.encode_word(word)
+                        pair = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+                    self.known.keep(word, pair, len(word) + len(pair[0]) + len(pair[1]))
+                found[i] = pair
+        return found
 
     def decode(self, ids: list[int]) -> str:
         """Tokens with a space between them, as the library does for a file without decoder."""
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and the decoded text; equal chunks are encoded once."""
-        known = self.known
-        if len(known) > MEMORY_CHUNKS:
-            known.clear()
-            self.known_words.clear()
-        chunks = WHITE.split(text) if SEPARATORS.search(text) else text.split()
+        """Ids as little-endian 32-bit integers, and the decoded text; the file's special strings are tokens of their own."""
+        parts = self.specials.split(text) if self.specials is not None and self.specials.search(text) else [text]
         found = []
-        for chunk in chunks:
-            if (pair := known.get(chunk)) is None:
-                ids = self.encode_chunk(chunk)
-                pair = known[chunk] = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
-            found.append(pair)
+        for part in parts:
+            if part in self.special:
+                found.append((struct.pack("<I", self.special[part]), self.decode([self.special[part]])))
+            else:
+                for piece in pieces_of(part):
+                    found += self._coded(self._words(piece))
         return b"".join([p[0] for p in found]), " ".join([p[1] for p in found if p[0]])
 
     def encode(self, text: str) -> list[int]:
@@ -163,19 +192,21 @@ def bpe_round_trip(
     names = [part.split()[0] for part in schema.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = kept_in_worker(("bpe", tokenizer), lambda: WordBpe(tokenizer))
+        model = kept_in_worker(("bpe", tokenizer), lambda: WordBpe(tokenizer)).for_task()
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
         for batch in batches:
-            columns: list[list] = [[] for _ in names[1:]]
-            for raw in texts_of(batch.column(1)):
-                ids, decoded = model.encode_decode(raw.decode("utf-8", "replace"))
-                row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
-                row += [np.frombuffer(ids, dtype="<u4").astype(np.int32), decoded] if payload else []
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))], names=names
-            )
+            texts = texts_of(batch.column(1))
+            for start, stop in by_bytes(texts, GROUP_BYTES):
+                columns: list[list] = [[] for _ in names[1:]]
+                for raw in texts[start:stop]:
+                    ids, decoded = model.encode_decode(raw.decode("utf-8", "replace"))
+                    row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
+                    row += [np.frombuffer(ids, dtype="<u4").astype(np.int32), decoded] if payload else []
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=names)
+        release()
 
     asked = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return asked.mapInArrow(encode, schema)

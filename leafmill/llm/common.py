@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import sys
 import types
@@ -18,6 +20,9 @@ from leafmill.session import scratch_dir
 # Texts that are worked on together in a task hold so many bytes, or are one text.
 GROUP_BYTES = 1 << 20
 
+# What a task remembers of equal pieces takes about twice so many bytes.
+MEMORY_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,7 +44,8 @@ def crc_mod(key: Column, n: int) -> Column:
 
 
 def annotate(
-    documents: DataFrame, text: str, carry: list[str], schema: str, make: Callable[[], Callable[[list[bytes]], list]]
+    documents: DataFrame, text: str, carry: list[str], schema: str, make: Callable[[], Callable[[list[bytes]], list]],
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """``row`` (a struct of the carried columns) and the columns of ``schema``, computed from each whole text.
 
@@ -53,20 +59,31 @@ def annotate(
         compute = make()
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for start, stop in by_bytes(texts, GROUP_BYTES):
+            for start, stop in by_bytes(texts, group_bytes):
                 columns = compute(texts[start:stop])
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *arrays], names=["row", *kinds.names])
+        release()
 
     asked = documents.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(text).alias("text"))
     return asked.mapInArrow(run, f"row {asked.schema['row'].dataType.simpleString()}, {schema}")
 
 
+def release() -> None:
+    """Freed memory back to the system, at the end of a task: workers outlive it and would hold on to it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def kept_in_worker(key: tuple, make):
     """An object that outlives the task in its Python worker, made on first use.
 
     Functions arrive in workers by value, so the globals of their modules don't outlive a task.
-    Only for what can be made again at any time: loaded vocabularies and bounded memories.
+    Workers serve later stages too, so this is for loaded vocabularies only; what a task remembers of
+    its texts goes with the task (see ``Memory``).
     """
     holder = sys.modules.setdefault("leafmill_worker_memory", types.ModuleType("leafmill_worker_memory"))
     if key not in holder.__dict__:
@@ -74,6 +91,31 @@ def kept_in_worker(key: tuple, make):
     return holder.__dict__[key]
 
 
+class Memory:
+    """Results for inputs seen before, in two generations of ``limit`` bytes each.
+
+    ``young`` takes what is new; when it is full it becomes the older one, whose entries come back
+    when they are asked for. So what recurs stays, and what doesn't is dropped.
+    """
+
+    # Of a key, a pair of values and a place in the dictionary, about.
+    ENTRY = 300
+
+    def __init__(self, limit: int | None = None):
+        self.limit = MEMORY_BYTES if limit is None else limit
+        self.young: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def keep(self, key, value, size: int):
+        """``value``, remembered; ``size``: the bytes of key and value."""
+        self.size += size + self.ENTRY
+        if self.size > self.limit:
+            self.old, self.young, self.size = self.young, {}, size + self.ENTRY
+        self.young[key] = value
+        return value
+
+
 def hashed_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
     """The ``limit`` rows that come first by a hash of a column, or all if there are fewer.
 

@@ -32,7 +32,7 @@ def test_counts_equal_the_library(texts):
 def test_counts_do_not_depend_on_batches_or_memory(texts, monkeypatch):
     once = token_counts.Lengths(BYTES)([t.encode() for t in texts])
     monkeypatch.setattr(token_counts, "BATCH_BYTES", 200)
-    monkeypatch.setattr(token_counts, "MEMORY_PIECES", 50)
+    monkeypatch.setattr(token_counts, "MEMORY_BYTES", 5_000)
     assert token_counts.Lengths(BYTES)([t.encode() for t in texts]) == once
 
 
@@ -45,6 +45,28 @@ def test_ids_and_decoded_text_equal_the_library(texts):
         assert decoded == library.decode(want, skip_special_tokens=False), repr(text)
 
 
+def test_every_code_point_equals_the_library():
+    library, own = Tokenizer.from_file(WORDS), bpe.WordBpe(WORDS)
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 8):
+        text = "".join(f"a{c}B {c}" for c in points[start : start + 8])
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode_decode(text)[0], "<u4").tolist() == want, repr(text)
+
+
+def test_memory_is_bounded_in_bytes(texts, monkeypatch):
+    own = bpe.WordBpe(WORDS)
+    once = [own.encode_decode(t) for t in texts]
+    task = own.for_task()
+    assert not task.known.young and task.vocab is own.vocab
+    task.known.limit = 3_000
+    assert [task.encode_decode(t) for t in texts] == once
+    for memory in (task.known.young, task.known.old):
+        assert len(memory) * task.known.ENTRY <= 3_000
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 7)
+    assert [own.encode_decode(t) for t in texts] == once
+
+
 def test_long_words_merge_in_the_same_order():
     own = bpe.WordBpe(WORDS)
     rng = random.Random(1)
