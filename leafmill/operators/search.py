@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from leafmill.functions.geo import haversine_km, space_cell, touching_cells
+from leafmill.functions.geo import FINENESS, covering_cells, haversine_km, space_cell
 from leafmill.functions.text import stem, without_elision, words
 from leafmill.session import scratch_dir
 
@@ -87,17 +87,21 @@ def within_km(rows: DataFrame, lat: float, lon: float, radius_km: float) -> Data
     return near.withColumn("km", km).filter(F.col("km") <= radius_km)
 
 
+def candidate_pairs(rows: DataFrame, points: DataFrame, radius_km: float) -> DataFrame:
+    """Rows joined to the points whose cover holds their cell: an equi-join on cells finer than the radius."""
+    cells = covering_cells(points, "point_lat", "point_lon", radius_km, "_cell")
+    placed = rows.withColumn("_cell", space_cell(F.col("lat"), F.col("lon"), radius_km / FINENESS))
+    return placed.join(cells, "_cell").drop("_cell")
+
+
 def near_points(rows: DataFrame, points: DataFrame, radius_km: float) -> DataFrame:
     """Rows joined to the points within the radius, with ``km``.
 
-    An equi-join on grid cells: each point is put into its own cell and all touching ones,
-    which covers every row in reach. ``points``: point_id, point_lat, point_lon.
+    Each point stands in every cell that its circle reaches, so candidates are few more than the
+    answer. ``points``: point_id, point_lat, point_lon.
     """
-    own = space_cell(F.col("point_lat"), F.col("point_lon"), radius_km)
-    cells = points.withColumn("_cell", own).withColumn("_cell", F.explode(touching_cells(F.col("_cell"))))
-    placed = rows.withColumn("_cell", space_cell(F.col("lat"), F.col("lon"), radius_km))
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("point_lat"), F.col("point_lon"))
-    return placed.join(cells, "_cell").withColumn("km", km).filter(F.col("km") <= radius_km).drop("_cell")
+    return candidate_pairs(rows, points, radius_km).withColumn("km", km).filter(F.col("km") <= radius_km)
 
 
 def kept_words(rows: DataFrame, key: str, text: str, stop_words: list[str]) -> DataFrame:

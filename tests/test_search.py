@@ -61,7 +61,16 @@ def km(a, b):
     return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h)))
 
 
-@pytest.mark.parametrize("radius", [50.0, 900.0])
+def test_candidates_follow_the_answer(spark):
+    rng = np.random.default_rng(5)
+    shops = [(float(a), float(o)) for a, o in zip(rng.normal(45.5, 0.3, 4_000), rng.normal(9.2, 0.3, 4_000))]
+    rows = spark.createDataFrame(shops, "lat double, lon double")
+    points = spark.createDataFrame([(j, 45.3 + 0.1 * j, 9.0 + 0.1 * j) for j in range(5)], "point_id int, point_lat double, point_lon double")
+    answer = search.near_points(rows, points, 10.0).count()
+    assert answer > 500 and search.candidate_pairs(rows, points, 10.0).count() <= 3 * answer
+
+
+@pytest.mark.parametrize("radius", [50.0, 900.0, 9_000.0, 25_000.0])
 def test_near_points_at_poles_and_date_line(spark, radius):
     rng = np.random.default_rng(2)
     shops = [(float(a), float(o)) for a, o in zip(rng.uniform(-90, 90, 150), rng.uniform(-180, 180, 150))]
