@@ -248,7 +248,7 @@ def _queue(spark, sf_dir, store):
     """with d as (select text, min(doc_id) as doc_id from documents group by 1)
 select 'flyer://documents/' || doc_id as url, sha256(text) as checksum,
   case doc_id % 10 when 3 then 'missing' when 4 then 'checksum mismatch' else 'ok' end as fetch_status,
-  case when doc_id % 10 not in (3, 4) then len(string_split(text, chr(10))) end::bigint as pages
+  case when doc_id % 10 in (3, 4) then 0 else len(string_split(text, chr(10))) end::bigint as pages
 from d""",
 )
 def acquire_stream(spark, sf_dir):
@@ -268,7 +268,7 @@ def acquire_stream(spark, sf_dir):
     flow.finish(flow.start_extraction(queued, content, count_pages, store, once=True, on=["url", "arrived_on"]))
     staged = store.staging(spark)
     return staged.groupBy("url", "checksum", "fetch_status").agg(
-        F.sum(F.when(F.col("chunk_n").isNotNull(), F.col("ai_input_tokens"))).alias("pages")
+        F.sum(F.when(F.col("chunk_n").isNotNull(), F.col("ai_input_tokens")).otherwise(0)).alias("pages")
     )
 
 
