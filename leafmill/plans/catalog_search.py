@@ -159,9 +159,7 @@ def text_rank(spark, sf_dir):
     return search.text_rank(index, n_docs, queries, 10, stop_words)
 
 
-@query(
-    "knn_exact",
-    """with e as (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i from embeddings),
+_KNN_SQL = """with e as (select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i from embeddings),
 c as (select label, i, avg(x) as x from e group by 1, 2),
 q as (select label, list(x order by i) as v from c group by 1),
 s as (
@@ -169,18 +167,20 @@ s as (
 )
 select label::bigint as query_id, row_number() over (partition by label order by similarity desc, vec_id)::int as rank,
   vec_id as row_id, similarity
-from s qualify rank <= 5""",
-)
+from s qualify rank <= 5"""
+
+
+@query("knn_exact", _KNN_SQL)
 def knn_exact(spark, sf_dir):
     """The five vectors nearest to the mean of every label."""
     return search.nearest(standins.table(spark, sf_dir, "embeddings"), _label_means(spark, sf_dir), 5, row_id="vec_id")
 
 
-@query("knn_cells")
+@query("knn_cells", _KNN_SQL)
 def knn_cells(spark, sf_dir):
-    """As ``knn_exact``, but of 16 cells the 6 nearest are searched."""
+    """As ``knn_exact``, from vectors stored by cell; with every cell probed the answer is exact."""
     index = search.store_cells(standins.table(spark, sf_dir, "embeddings"), scratch_dir(spark, "cells"), 16, row_id="vec_id")
-    return search.nearest_in_cells(index, _label_means(spark, sf_dir), 5, probes=6)
+    return search.nearest_in_cells(index, _label_means(spark, sf_dir), 5, probes=16)
 
 
 def _label_means(spark, sf_dir):
