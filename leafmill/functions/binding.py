@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Named values of a row, and a step that computes more of them from those known so far.
+Known = dict[str, Column]
+Stage = Callable[[Known], Known]
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,3 +48,24 @@ def first_match(text: Column, pattern: str, needs: tuple[str, ...] = (), group:
     """The first match, or the empty string."""
     found = F.regexp_extract(text, pattern, group)
     return F.when(mentions(text, needs), found).otherwise("") if needs else found
+
+
+def in_stages(known: Known, stages: tuple[Stage, ...], result: Callable[[Known], Column]) -> Column:
+    """``result`` of what the stages compute, as one expression that also works inside arrays."""
+    if not stages:
+        return result(known)
+    made = stages[0](known)
+    values = F.struct(*[column.alias(name) for name, column in made.items()])
+    return bind(values, lambda s: in_stages(known | {n: s[n] for n in made}, stages[1:], result))
+
+
+def add_stages(rows: DataFrame, known: Known, stages: tuple[Stage, ...], mark: str) -> tuple[DataFrame, Known]:
+    """The same as columns, one projection per stage: whole-stage code without lambdas.
+
+    The new columns are called ``mark`` and the name of the value; the caller drops them.
+    """
+    for stage in stages:
+        made = stage(known)
+        rows = rows.withColumns({mark + name: column for name, column in made.items()})
+        known = known | {name: F.col(mark + name) for name in made}
+    return rows, known

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from leafmill.functions.binding import bind, groups
+from leafmill.functions.binding import Known, bind, first_match, groups, in_stages
 
 # Italian month names, January to December.
 ITALIAN_MONTHS = (
@@ -26,10 +26,12 @@ _MONTH_YEAR = r"^(\d{1,2})[/.\-](\d{4})$"
 _MONTH_NAME = r"^(?:(\d{1,2})\s+)?(\p{L}+)\s+(\d{4})$"
 _NO_YEAR = r"^(\d{1,2})(?:[/.\-](\d{1,2})|\s+(\p{L}+))$"
 _STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d"
-_SPAN = (
-    r"dal\s+(\d{1,2})(?:/(\d{1,2})|\s+(\p{L}{3,}))?(?:[/\s](\d{4}))?"
-    r"\s+al\s+(\d{1,2})(?:/(\d{1,2})|\s+(\p{L}{3,}))(?:[/\s](\d{4}))?"
+# Fixed values: "dal 24 al 27 giugno", "dall'8 all'11 luglio", "fino al 30/06".
+_TO_DAY = r"al(?:\s+|l['’]\s*)(\d{1,2})°?(?:/(\d{1,2})|\s+(\p{L}{3,}))(?:[/\s](\d{4})\b)?"
+SPAN = (
+    r"\bdal(?:\s+|l['’]\s*)(\d{1,2})°?(?:/(\d{1,2})|\s+(\p{L}{3,}))?(?:[/\s](\d{4})\b)?\s+" + _TO_DAY
 )
+UNTIL = r"\bfino\s+" + _TO_DAY
 
 
 def month_number(word: Column) -> Column:
@@ -111,34 +113,74 @@ def resolve_day(text: Column, as_of: Column) -> Column:
     return F.coalesce(normalize_date(text), without_year)
 
 
+def _span_found(m: Known) -> Known:
+    return {"low": F.lower(m["line"])}
+
+
+def _span_matched(m: Known) -> Known:
+    return {"span": first_match(m["low"], SPAN, ("dal",)), "until": first_match(m["low"], UNTIL, ("fino",))}
+
+
+def _span_parts(m: Known) -> Known:
+    def part(of_span: int, of_until: int) -> Column:
+        own = F.when(m["span"] != "", F.regexp_extract(m["span"], SPAN, of_span))
+        return own.when(m["until"] != "", F.regexp_extract(m["until"], UNTIL, of_until))
+
+    start = {
+        name: F.when(m["span"] != "", F.regexp_extract(m["span"], SPAN, n))
+        for n, name in enumerate(("from_day", "from_month", "from_name", "from_year"), start=1)
+    }
+    end = {
+        name: part(n + 4, n) for n, name in enumerate(("to_day", "to_month", "to_name", "to_year"), start=1)
+    }
+    return start | end
+
+
+def _span_months(m: Known) -> Known:
+    return {
+        side + "_m": F.when(m[side + "_month"] != "", m[side + "_month"]).otherwise(month_number(m[side + "_name"]))
+        for side in ("from", "to")
+    }
+
+
+def _span_this_year(m: Known) -> Known:
+    return {"this_year": _build(F.year(m["as_of"]).cast("string"), m["to_m"], m["to_day"])}
+
+
+def _span_end(m: Known) -> Known:
+    next_year = _build((F.year(m["as_of"]) + 1).cast("string"), m["to_m"], m["to_day"])
+    leaning = F.when(m["this_year"] >= m["as_of"].cast("timestamp"), m["this_year"]).otherwise(next_year)
+    stated = _build(m["to_year"], m["to_m"], m["to_day"])
+    return {"end": F.when(m["to_day"] != "", F.when(m["to_year"] != "", stated).otherwise(leaning))}
+
+
+def _span_same_year(m: Known) -> Known:
+    year = F.when(m["from_year"] != "", m["from_year"]).otherwise(F.year(m["end"]).cast("string"))
+    month = F.coalesce(m["from_m"], m["to_m"])
+    return {"month": month, "same_year": F.when(m["from_day"] != "", _build(year, month, m["from_day"]))}
+
+
+def _span_start(m: Known) -> Known:
+    year_before = _build((F.year(m["end"]) - 1).cast("string"), m["month"], m["from_day"])
+    return {"start": F.when(m["same_year"] <= m["end"], m["same_year"]).when(m["from_day"] != "", year_before)}
+
+
+# From ``line`` and ``as_of`` to ``start`` and ``end``.
+SPAN_STAGES = (
+    _span_found, _span_matched, _span_parts, _span_months, _span_this_year, _span_end, _span_same_year, _span_start,
+)
+
+
 def validity_span(text: Column, as_of: Column) -> tuple[Column, Column]:
     """First and last day of a "dal 24 al 27 giugno" remark, nulls when there is none.
 
-    The end leans to the future of ``as_of``; the start is the last such day not after it.
+    The end leans to the future of ``as_of``; the start is the last such day not after it. "Fino al
+    30/06" has an end only.
     """
-    found = bind(
-        groups(
-            F.lower(text), _SPAN, from_day=1, from_month=2, from_name=3, from_year=4,
-            to_day=5, to_month=6, to_name=7, to_year=8,
-        ),
-        lambda m: m.withField("from_month", F.coalesce(m["from_month"], month_number(m["from_name"])))
-        .withField("to_month", F.coalesce(m["to_month"], month_number(m["to_name"])))
-        .withField("as_of", as_of),
+    span = in_stages(
+        {"line": text, "as_of": as_of}, SPAN_STAGES,
+        lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")),
     )
-
-    def both(m: Column) -> Column:
-        end = F.when(m["to_year"].isNotNull(), _build(m["to_year"], m["to_month"], m["to_day"])).otherwise(
-            _next_occurrence(m["to_month"], m["to_day"], m["as_of"])
-        )
-        return bind(end, lambda to: F.struct(start(m, to).alias("start"), to.alias("end")))
-
-    def start(m: Column, to: Column) -> Column:
-        month = F.coalesce(m["from_month"], m["to_month"])
-        same_year = _build(F.coalesce(m["from_year"], F.year(to).cast("string")), month, m["from_day"])
-        year_before = _build((F.year(to) - 1).cast("string"), month, m["from_day"])
-        return F.when(same_year <= to, same_year).otherwise(year_before)
-
-    span = bind(found, lambda m: F.when(m["to_day"].isNotNull(), both(m)))
     return span["start"], span["end"]
 
 

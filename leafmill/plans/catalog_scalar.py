@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafmill.functions import dates, packs, text as texts
+from leafmill.functions.binding import add_stages
 from leafmill.operators.chunking import split_chunks, spread
 from leafmill.operators.extraction import Retry, extract_json, extract_with, split_valid
 from leafmill.operators.embedding import HashingEmbedder, attach_vectors, embed_offers, embed_texts
@@ -171,11 +172,11 @@ def offer_dates(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_shipdate", written.alias("written")
     )
     rows = spread(rows, keys=("l_orderkey", "l_linenumber"))
-    found = dates.validity_span(F.col("written"), F.col("l_shipdate"))
-    return rows.select(
+    read, m = add_stages(rows, {"line": F.col("written"), "as_of": F.col("l_shipdate")}, dates.SPAN_STAGES, "_span_")
+    return read.select(
         "l_orderkey", "l_linenumber",
-        F.date_format(found[0], "yyyy-MM-dd").alias("validity_from"),
-        F.date_format(found[1], "yyyy-MM-dd").alias("validity_to"),
+        F.date_format(m["start"], "yyyy-MM-dd").alias("validity_from"),
+        F.date_format(m["end"], "yyyy-MM-dd").alias("validity_to"),
     )
 
 
@@ -358,9 +359,7 @@ def pack_arithmetic(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
     rows = spread(rows, keys=("l_orderkey", "l_linenumber", "written"))
-    return rows.select("l_orderkey", "l_linenumber", packs.pack(F.col("written")).alias("p")).select(
-        "l_orderkey", "l_linenumber", "p.*"
-    )
+    return packs.add_pack(rows, F.col("written")).drop("written", "notes")
 
 
 @query(
@@ -380,10 +379,7 @@ def promo_price(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
     rows = spread(rows, keys=("l_orderkey", "l_linenumber", "written"))
-    w = F.col("written")
-    return rows.select("l_orderkey", "l_linenumber", packs.pack_and_notes(w).alias("p")).select(
-        "l_orderkey", "l_linenumber", "p.*"
-    )
+    return packs.add_pack(rows, F.col("written")).drop("written")
 
 
 @query(
@@ -401,9 +397,7 @@ def per_kg_price(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
     w = F.col("written")
-    return rows.select("p_partkey", packs.pack_and_notes(w).alias("p"), packs.base_name(w).alias("name")).select(
-        "p_partkey", "p.*", "name"
-    )
+    return packs.add_pack(rows, w).withColumn("name", packs.base_name(w)).drop("written")
 
 
 @query(
@@ -456,8 +450,8 @@ def rule_offers(spark, sf_dir):
     )
     rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
     as_of = F.lit("2025-06-20").cast("date")
-    read = packs.read_offers(F.col("written"), as_of, F.lit("Dispensa secca"))
-    return rows.select("p_partkey", F.explode(read).alias("o")).select(
+    read = packs.read_lines(rows, F.col("written"), as_of, F.lit("Dispensa secca"))
+    return read.select("p_partkey", F.explode("offers").alias("o")).select(
         "p_partkey", "o.name", F.col("o.price").cast("double").alias("price"),
         F.col("o.quantity").cast("double").alias("quantity"), "o.validity_from",
     )

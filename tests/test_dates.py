@@ -60,6 +60,11 @@ def test_missing_year_leans_to_the_future(spark, text, expected):
         ("Valida dal 24 al 27 giugno", "2025-06-24", "2025-06-27"),
         ("dal 28 dicembre al 3 gennaio", "2025-12-28", "2026-01-03"),
         ("dal 1/2/2026 al 5/3/2026", "2026-02-01", "2026-03-05"),
+        ("dall'8 all'11 luglio", "2025-07-08", "2025-07-11"),
+        ("dal 25 luglio all’1 agosto 2026", "2026-07-25", "2026-08-01"),
+        ("fino al 30/06", None, "2025-06-30"),
+        ("Fino all'8 luglio 2026", None, "2026-07-08"),
+        ("fino al 20 percento", None, None),
         ("fino ad esaurimento scorte", None, None),
     ],
 )
