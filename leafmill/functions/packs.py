@@ -315,6 +315,11 @@ def read_offers(text: Column, as_of: Column, category: Column) -> Column:
 
 
 def read_lines(rows: DataFrame, text: Column, as_of: Column, category: Column) -> DataFrame:
-    """``rows`` with ``offers``, what ``read_offers`` gives, computed stage by stage over a table of lines."""
+    """One row per offer: the columns of ``rows``, ``offer_n`` and ``offer``, what ``read_offers`` gives.
+
+    The explosion is an outer one, filtered after it: for an inner one Spark would push the test
+    for offers below the stages, with all of them written into it.
+    """
     read, m = add_stages(rows, {"line": text, "as_of": as_of}, OFFER_STAGES, "_line_")
-    return read.select(*[rows[c] for c in rows.columns], _offers_of(category)(m).alias("offers"))
+    offers = F.posexplode_outer(_offers_of(category)(m)).alias("offer_n", "offer")
+    return read.select(*[rows[c] for c in rows.columns], offers).filter("offer is not null")

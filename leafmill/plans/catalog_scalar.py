@@ -451,9 +451,9 @@ def rule_offers(spark, sf_dir):
     rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
     as_of = F.lit("2025-06-20").cast("date")
     read = packs.read_lines(rows, F.col("written"), as_of, F.lit("Dispensa secca"))
-    return read.select("p_partkey", F.explode("offers").alias("o")).select(
-        "p_partkey", "o.name", F.col("o.price").cast("double").alias("price"),
-        F.col("o.quantity").cast("double").alias("quantity"), "o.validity_from",
+    return read.select(
+        "p_partkey", "offer.name", F.col("offer.price").cast("double").alias("price"),
+        F.col("offer.quantity").cast("double").alias("quantity"), "offer.validity_from",
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from leafmill.operators.extraction import extract_by_rule
+from leafmill.operators.types import words
 from leafmill.plans import standins
 from leafmill.plans.catalog_fold import CACHED_NULLS, CONVERSATION_FLYERS, cached_with_nulls
 from leafmill.plans.registry import query
@@ -166,7 +167,7 @@ def _start_flow(spark, name):
     return session, store
 
 
-def run_flow(spark, sf_dir, extract=_line_offers, deliveries=1):
+def run_flow(spark, sf_dir, extract=_line_offers, deliveries=1, terms=None):
     """Documents announced in two waves, through intake, extraction and fold.
 
     With more ``deliveries`` the staged chunks reach the fold as often, from batches of their own.
@@ -180,7 +181,7 @@ def run_flow(spark, sf_dir, extract=_line_offers, deliveries=1):
         again = spark.read.parquet(store.path("staging/batch_id=0"))
         changed = again.withColumn("offers_data", F.slice("offers_data", 1, 1)).withColumn("offers_count", F.size("offers_data"))
         tables.commit_batch(changed, store.path("staging"), 1_000 + copy)
-    flow.finish(flow.start_fold(flow.staged_chunks(session, store), store, once=True))
+    flow.finish(flow.start_fold(flow.staged_chunks(session, store), store, once=True, terms=terms))
     return store
 
 
@@ -226,6 +227,33 @@ def offers_end_to_end(spark, sf_dir):
     )
 
 
+_WORDS = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+@query(
+    "offer_types_end_to_end",
+    _FLOW_SQL + f""", w as (select {_WORDS.format("text")} as ws from documents),
+terms as (select distinct ws[1] as term from w where len(ws) > 0 union select distinct ws[1] || ' ' || ws[2] from w where len(ws) > 1),
+o as (select checksum, unnest(pages) as line from f),
+l as (select line, {_WORDS.format("line")} as ws from (select distinct line from o where length(trim(line, ' ')) > 0)),
+g as (select line, ws, unnest(range(1, len(ws) + 1)) as i from l),
+r as (select line, i, 1 as n, ws[i] as term from g union all select line, i, 2, ws[i] || ' ' || ws[i + 1] from g where i < len(ws)),
+best as (
+  select line, term from r join terms using (term)
+  qualify row_number() over (partition by line order by n desc, length(term) desc, i) = 1
+)
+select checksum as flyer_checksum, 'type of ' || term as type, count(*) as n
+from o left join best using (line) where length(trim(line, ' ')) > 0 group by all""",
+)
+def offer_types_end_to_end(spark, sf_dir):
+    """Types of published offers: the longest of the terms, one or two words that open some document."""
+    opening = standins.table(spark, sf_dir, "documents").select(words(F.col("text")).alias("w"))
+    term = F.explode(F.array(F.get("w", F.lit(0)), F.array_join(F.slice("w", 1, 2), " "))).alias("term")
+    terms = opening.select(term).distinct().select("term", F.concat(F.lit("type of "), "term").alias("type"))
+    rows = flow.offers_view(spark, run_flow(spark, sf_dir, terms=terms), with_places=False)
+    return rows.groupBy("flyer_checksum", "type").agg(F.count("*").alias("n"))
+
+
 def _queue(spark, sf_dir, store):
     """One message per text in the queue, that of the least id, with a day of arrival; its documents' content by day."""
     documents = standins.table(spark, sf_dir, "documents")

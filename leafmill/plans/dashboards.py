@@ -14,6 +14,9 @@ PRICE_MIN_COUNT = 5
 TOP = 10
 MAX_DATE_BUCKETS = 100
 
+# Buckets of a date axis that one row is unfolded to.
+AXIS_BLOCK = 1_000
+
 # Candidate units of the date axis, with their seconds.
 DATE_UNITS = (
     ("second", 1),
@@ -108,9 +111,9 @@ def _unit_for(seconds: Column) -> Column:
     return choice.otherwise(F.lit(longest))
 
 
-def _step(unit: Column) -> Column:
+def _step(unit: Column, times: int = 1) -> Column:
     def n(name: str) -> Column:
-        return F.when(unit == name, 1).otherwise(0)
+        return F.when(unit == name, times).otherwise(0)
 
     return F.make_interval(n("year"), n("month"), n("week"), n("day"), n("hour"), n("minute"), n("second"))
 
@@ -119,7 +122,8 @@ def date_histogram(offers: DataFrame, column: str = "validity_from", unit: str |
     """Offers per start date, every bucket of the range present, ``n`` null where empty.
 
     Without a unit the shortest one with at most a hundred buckets over the range is taken.
-    The range is one row; the empty buckets are made from it, not from the offers.
+    The range is one row; the empty buckets are made from it, not from the offers, in blocks that are
+    spread over the tasks, as seconds over years are hundreds of millions of buckets.
     """
     dated = offers.select(F.col(column).cast("timestamp").alias("at")).filter("at is not null")
     span = dated.agg(F.min("at").alias("low"), F.max("at").alias("high"))
@@ -134,5 +138,7 @@ def date_histogram(offers: DataFrame, column: str = "validity_from", unit: str |
     ends = span.filter("low is not null").select(
         F.call_function("date_trunc", unit_of, F.col("low")).alias("low"), "high"
     )
-    spine = ends.select(F.explode(F.sequence("low", "high", _step(unit_of))).alias("bucket"))
+    blocks = ends.select(F.explode(F.sequence("low", "high", _step(unit_of, AXIS_BLOCK))).alias("first"), "high").repartition("first")
+    last = F.least("high", F.col("first") + _step(unit_of, AXIS_BLOCK - 1))
+    spine = blocks.select(F.explode(F.sequence("first", last, _step(unit_of))).alias("bucket"))
     return spine.join(counts, "bucket", "left").orderBy("bucket")

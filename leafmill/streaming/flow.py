@@ -35,12 +35,14 @@ from leafmill.operators.extraction import split_valid
 from leafmill.operators.fold import fold_input
 from leafmill.operators.ingest import known_among, new_flyers, new_places, place_lists
 from leafmill.operators.offers import explode_offers, flyer_rows, offer_rows
+from leafmill.operators.types import with_types
 from leafmill.sources import tables
 from leafmill.sources.messages import parse_messages, with_arrival, write_queue
 from leafmill.streaming.fold import COMPLETE, INCOMPLETE, fold_stream
 from leafmill.streaming.progress import commit_counters, count_chunks, count_messages
 
 Extract = Callable[[DataFrame], DataFrame]
+Terms = DataFrame | Callable[[SparkSession], DataFrame] | None
 
 
 @dataclass(frozen=True)
@@ -225,11 +227,12 @@ def staged_chunks(spark: SparkSession, store: Store, files_per_batch: int | None
     return count_chunks(fold_input(good.withColumnRenamed("batch_id", "staged_batch")))
 
 
-def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
+def publish_batch(batch: DataFrame, batch_id: int, store: Store, terms: Terms = None) -> None:
     """Write the flyers a batch completed, with their offers, and those it gave up on.
 
     The offers wait in staging. The fold tells which copy of each chunk it counted, so just those
-    copies' offers are read, from the folders of the batches that staged them.
+    copies' offers are read, from the folders of the batches that staged them. With ``terms``, an
+    offer without a type gets that of the longest term in its name.
     """
     spark = batch.sparkSession
     folded = batch.persist()
@@ -242,7 +245,10 @@ def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
         folded.count()  # from here on Spark knows its size
         staged = store.staging(spark).select("batch_id", "checksum", "chunk_n", "offers_data")
         wanted = staged.join(copies, ["batch_id", "checksum", "chunk_n"], "left_semi").drop("batch_id")
-        tables.commit_batch(offer_rows(explode_offers(wanted), flyers), store.path("offers"), batch_id)
+        offers = explode_offers(wanted)
+        if terms is not None:
+            offers = with_types(offers, terms(spark) if callable(terms) else terms)
+        tables.commit_batch(offer_rows(offers, flyers), store.path("offers"), batch_id)
         gone = folded.filter(F.col("status") == INCOMPLETE)
         tables.commit_batch(gone.select(*schemas.INCOMPLETE.fieldNames()), store.path("incomplete"), batch_id)
         tables.upsert_batch(flyers, store.path("flyers"), schemas.FLYERS, "checksum", batch_id, store.flyer_parts)
@@ -253,12 +259,15 @@ def publish_batch(batch: DataFrame, batch_id: int, store: Store) -> None:
         folded.unpersist()
 
 
-def start_fold(chunks: DataFrame, store: Store, once: bool = False, **fold_options) -> StreamingQuery:
-    """Fold staged chunks (see ``staged_chunks``) and publish what is complete."""
+def start_fold(chunks: DataFrame, store: Store, once: bool = False, terms: Terms = None, **fold_options) -> StreamingQuery:
+    """Fold staged chunks (see ``staged_chunks``) and publish what is complete.
+
+    ``terms``: a table of product types (see ``operators.types``), or a function that reads it per batch.
+    """
     return (
         _start(fold_stream(chunks, **fold_options), "fold", store, once)
         .queryName("fold")
-        .foreachBatch(lambda batch, batch_id: publish_batch(batch, batch_id, store))
+        .foreachBatch(lambda batch, batch_id: publish_batch(batch, batch_id, store, terms))
         .start()
     )
 

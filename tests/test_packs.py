@@ -59,7 +59,10 @@ def read(spark):
     rows = spark.createDataFrame([(text,) for text, _ in CASES], "line string")
     as_of, category = F.lit(AS_OF).cast("date"), F.lit("Bevande")
     one = packs.read_offers(F.col("line"), as_of, category)
-    return {r["line"]: (r["offers"], r["o"]) for r in packs.read_lines(rows, F.col("line"), as_of, category).withColumn("o", one).collect()}
+    found = {r["line"]: ([], r["o"]) for r in rows.select("line", one.alias("o")).collect()}
+    for r in packs.read_lines(rows, F.col("line"), as_of, category).orderBy("offer_n").collect():
+        found[r["line"]][0].append(r["offer"])
+    return found
 
 
 @pytest.mark.parametrize(("text", "expected"), CASES)

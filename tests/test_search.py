@@ -119,6 +119,11 @@ def test_date_axis_units_and_empty_buckets(spark):
     assert got == [("2025-06-01", 2), ("2025-06-02", None), ("2025-06-03", None), ("2025-06-04", 1)]
     hours = dashboards.date_histogram(rows).collect()
     assert len(hours) == 73 and hours[1]["n"] is None
+    seconds = dashboards.date_histogram(rows, unit="second")
+    assert seconds.count() == 3 * 86_400 + 1 == seconds.select("bucket").distinct().count()
+    long = spark.sql("select explode(array(timestamp'1900-01-31', timestamp'2025-06-04')) as validity_from")
+    months = [str(r["bucket"])[:10] for r in dashboards.date_histogram(long, unit="month").collect()]
+    assert months == [f"{y}-{m:02}-01" for y in range(1900, 2026) for m in range(1, 13)][: 125 * 12 + 6]
     none = rows.filter("validity_from > timestamp'2030-01-01'")
     assert dashboards.date_histogram(none).count() == 0
 
