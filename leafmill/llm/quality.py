@@ -101,25 +101,29 @@ def base_failed() -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """1 good, -1 bad, 0 no opinion, from the measures."""
+    """1 good, -1 bad, 0 no opinion, from the measures. Every rule can vote either way, so that good votes can outweigh a bad one."""
     c = {name: F.col(name) for name in (part.split()[0] for part in MEASURES.split(", "))}
     letters = c["n_upper"] + c["n_lower"]
 
-    def vote(bad: Column, good: Column | None = None) -> Column:
-        first = F.when(bad, -1)
-        return (first if good is None else first.when(good, 1)).otherwise(0)
+    def vote(bad: Column, good: Column) -> Column:
+        return F.when(bad, -1).when(good, 1).otherwise(0)
 
     return {
-        "symbols": vote(10 * c["n_symbols"] > c["n_words"]),
-        "symbol_share": vote(50 * c["n_symbols"] > c["word_chars"]),
-        "capitals": vote(2 * c["n_upper"] > letters),
-        "bangs": vote(4 * c["n_bangs"] > c["n_words"]),
-        "lines": vote((c["n_lines"] >= 4) & (10 * c["n_dup_lines"] > 3 * c["n_lines"])),
-        "repeats": vote(100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"]),
-        "one_word": vote(5 * c["top_word"] > c["n_words"]),
+        "symbols": vote(10 * c["n_symbols"] > c["n_words"], c["n_symbols"] == 0),
+        "symbol_share": vote(50 * c["n_symbols"] > c["word_chars"], (c["n_symbols"] > 0) & (200 * c["n_symbols"] < c["word_chars"])),
+        "capitals": vote(2 * c["n_upper"] > letters, (c["n_upper"] > 0) & (10 * c["n_upper"] < letters)),
+        "bangs": vote(4 * c["n_bangs"] > c["n_words"], 100 * c["n_bangs"] < c["n_words"]),
+        "lines": vote((c["n_lines"] >= 4) & (10 * c["n_dup_lines"] > 3 * c["n_lines"]), (c["n_lines"] >= 4) & (c["n_dup_lines"] == 0)),
+        "repeats": vote(
+            100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"], (c["n_words"] >= 50) & (4 * c["n_repeat_words"] <= c["n_words"])
+        ),
+        "one_word": vote(5 * c["top_word"] > c["n_words"], 10 * c["top_word"] < c["n_words"]),
         # Vocabulary grows with the root of a text's length, so long texts may repeat their words more.
-        "few_words": vote(c["n_distinct"] * c["n_distinct"] < 2 * c["n_words"]),
-        "word_length": vote((c["word_chars"] > 14 * c["n_words"]) | (c["word_chars"] < 2 * c["n_words"])),
+        "few_words": vote(c["n_distinct"] * c["n_distinct"] < 2 * c["n_words"], c["n_distinct"] * c["n_distinct"] > 20 * c["n_words"]),
+        "word_length": vote(
+            (c["word_chars"] > 14 * c["n_words"]) | (c["word_chars"] < 2 * c["n_words"]),
+            (c["word_chars"] > 4 * c["n_words"]) & (c["word_chars"] < 8 * c["n_words"]),
+        ),
         "sentences": vote((c["n_words"] > 100) & (200 * c["n_stops"] < c["n_words"]), 60 * c["n_stops"] > c["n_words"]),
     }
 
@@ -187,6 +191,11 @@ def judge_quality(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def keep_good(documents: DataFrame, text: str = "text") -> DataFrame:
-    """The rows that are kept, all their columns as they were."""
+    """The rows that are kept, all their columns as they were, whatever their names.
+
+    Null, empty and very short texts fail the base rules and go. Repeated rows count and are judged each,
+    so copies stay or go together; whole texts are measured, however long. A posterior of exactly one half
+    keeps a row. No rows: no rows.
+    """
     model = fit(measured(documents.select(text), [text], text).drop("row"))
     return verdicts(measured(documents, documents.columns, text), model).filter("kept").select("row.*")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from leafmill.llm import quality
 
@@ -69,3 +70,37 @@ def test_clean_texts_stay_and_junk_goes(spark):
     left = quality.keep_good(docs)
     assert left.columns == docs.columns and left.count() == 62
     assert quality.judge_quality(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == 0
+
+
+def words(n, step=1):
+    """``n`` words, in sentences of twelve, from a vocabulary of 300."""
+    return " ".join(f"w{chr(97 + i * step % 25)}{chr(97 + i * step // 25 % 12)}x" + ("." if i % 12 == 11 else "") for i in range(n))
+
+
+def test_good_votes_outweigh_a_lone_bad_one(spark):
+    """All-must-pass filtering would drop the text whose short refrain repeats; its posterior keeps it."""
+    clean = ["W" + words(120 + i, 7) for i in range(80)]
+    junk = [" ".join(w + "###" for w in words(100 + i, 7).split()) for i in range(8)] + [words(100 + i, 7).upper().replace(" ", "!! ") for i in range(8)]
+    refrain = "\n".join(["W" + words(100, 11), "Heigh ho.", "Heigh ho.", "Heigh ho.", "End here."])
+    docs = spark.createDataFrame(list(enumerate([*clean, *junk, refrain])), "doc_id bigint, text string")
+    measures = quality.measured(docs, ["doc_id"])
+    bad = sum((v == -1).cast("int") for v in quality.rules().values())
+    votes = {r["id"]: r["bad"] for r in measures.select(F.col("row.doc_id").alias("id"), bad.alias("bad")).collect()}
+    kept = {r["doc_id"] for r in quality.judge_quality(docs).filter("kept").collect()}
+    assert votes[96] == 1 and 96 in kept
+    assert kept == {*range(80), 96}
+
+
+def test_one_pattern_and_a_posterior_of_one_half(spark):
+    docs = spark.createDataFrame([(i, "W" + words(120, 7)) for i in range(5)], "doc_id bigint, text string")
+    assert quality.judge_quality(docs).filter("kept").count() == 5
+    measures = quality.measured(docs, ["doc_id"])
+    half = quality.verdicts(measures, (0.0, np.zeros((len(quality.rules()), 3)))).collect()
+    assert all(r["quality"] == 0.5 and r["kept"] for r in half)
+
+
+def test_stage_keeps_clashing_columns_and_long_texts(spark):
+    rows = [(1, "W" + words(120, 7), 1, 2.0, "a"), (2, "W" + words(400_000, 7), 2, 3.0, "b"), (2, None, 2, 3.0, "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row int, rate double, n_words string")
+    left = quality.keep_good(docs)
+    assert left.columns == docs.columns and {r["row"] for r in left.collect()} <= {1, 2}
