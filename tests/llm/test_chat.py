@@ -1,6 +1,7 @@
 """Chat formatting: the fold over event logs, escapes, and the round trip."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from leafmill.llm import chat
 LOG = "conv_id bigint, seq bigint, message_id string, kind string, role string, text string"
 
 
+def escaped(text):
+    return re.sub(r"(###|</turn>)", r"\\\1", text)
+
+
 def turns_of(chats):
     rows = chats.select("conv_id", chat.read_back(F.col("formatted")).alias("t")).collect()
     return {r["conv_id"]: [(t["role"], t["text"]) for t in r["t"]] for r in rows}
@@ -56,6 +61,38 @@ def test_nulls_ties_repeats_clashing_columns_and_nothing(spark):
     assert chat.digests(chat.format_chats(chat.events_of_turns(turns.limit(0)))).count() == 0
 
 
+def test_loss_spans_are_the_assistants_texts(spark, monkeypatch):
+    """Code points and bytes alike, over blocks, with escapes in role and text."""
+    monkeypatch.setattr(chat, "BLOCK", 3)
+    said = ["é😀", "", "\\### </turn>", "plain", "\n</turn>\n### assistant: x"]
+    rows = [(c, t, ["assistant", "user", "a:%\n"][(t + c) % 3], said[(t * 3 + c) % 5]) for c in range(4) for t in range(11)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    found = chat.format_chats(chat.events_of_turns(turns)).withColumn("learned", chat.masked_texts(F.col("formatted"), F.col("loss_spans")))
+    for r in found.collect():
+        want = [text for c, _, role, text in rows if c == r["conv_id"] and role == "assistant"]
+        whole, octets = r["formatted"], r["formatted"].encode()
+        cut = [whole[s["start"] : s["end"]] for s in r["loss_spans"]]
+        assert r["learned"] == want and len(cut) == len(want)
+        assert [octets[s["start_byte"] : s["end_byte"]].decode() for s in r["loss_spans"]] == cut
+        assert whole == "".join(
+            f"### {role.replace('%', '%25').replace(':', '%3A').replace(chr(10), '%0A')}: {escaped(text)}\n</turn>\n"
+            for c, _, role, text in rows if c == r["conv_id"]
+        ) and all(escaped(w) == x for w, x in zip(want, cut, strict=True))
+
+
+def test_a_log_of_turns_holds_every_kind_of_event(spark):
+    rows = [(1, 0, "user", "u" * 40), (1, 1, "assistant", "a" * 1200), (1, 2, "assistant", None)]
+    log = chat.events_of_turns(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    assert {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()} == {"message": 3, "edit": 1, "regenerate": 2, "delta": 3}
+    assert turns_of(chat.format_chats(log))[1] == [(role, text or "") for _, _, role, text in rows]
+
+
+def test_a_log_is_shuffled_three_times(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a")], "conv_id bigint, turn bigint, role string, text string")
+    plan = chat.format_chats(chat.events_of_turns(turns))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_no_python_in_the_plan(spark):
     plan = chat.digests(chat.format_chats(chat.events_of_turns(chat.probe(spark))))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
