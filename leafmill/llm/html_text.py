@@ -51,17 +51,52 @@ NAME_WORD = re.compile(r"[a-z]+")
 # Words in a class that say the noise is beside the element, not the element itself; elements that are never noise.
 BESIDE = frozenset("with without has no article main".split())
 NEVER_NOISE = frozenset("html body article main".split())
-# Containers deeper than this count as the one at this depth when paths are scored.
-MAX_PATH = 64
 SPACE = re.compile(r"\s+")
 
 
+class Paths:
+    """The container paths of a page as a tree of names, so that any depth costs one entry a path.
+
+    A path is a number; 0 is the empty one, and a path's parent has a smaller number.
+    """
+
+    def __init__(self):
+        self.parents, self.names, self.depths = [0], [""], [0]
+        self.children: dict[tuple[int, str], int] = {}
+
+    def child(self, path: int, name: str) -> int:
+        if (found := self.children.get((path, name))) is None:
+            found = self.children[path, name] = len(self.parents)
+            self.parents.append(path)
+            self.names.append(name)
+            self.depths.append(self.depths[path] + 1)
+        return found
+
+    def text(self, path: int) -> str:
+        names = []
+        while path:
+            names.append(self.names[path])
+            path = self.parents[path]
+        return ">".join(reversed(names))
+
+    def below(self, text: str) -> list[bool]:
+        """Whether each path is the given one or inside of it; none is if the page does not have it."""
+        found = 0
+        for name in text.split(">"):
+            if (found := self.children.get((found, name), -1)) < 0:
+                return [False] * len(self.parents)
+        inside = [False] * len(self.parents)
+        for path in range(1, len(inside)):
+            inside[path] = path == found or inside[self.parents[path]]
+        return inside
+
+
 class Block:
-    """One block of text: its pieces, the length of those inside links, the paths of the containers around it."""
+    """One block of text: its pieces, the length of those inside links, the path of the containers around it."""
 
     __slots__ = ("linked", "path", "pieces")
 
-    def __init__(self, path: tuple[str, ...]):
+    def __init__(self, path: int):
         self.pieces: list[str] = []
         self.linked = 0
         self.path = path
@@ -92,23 +127,23 @@ def element_name(tag: str, attributes: str) -> tuple[str, bool]:
 class OpenElements:
     """The elements that are open at a place of a page, outermost first."""
 
-    def __init__(self):
+    def __init__(self, paths: Paths):
+        self.known = paths
         self.tags: list[str] = []
-        self.paths: list[tuple[str, ...]] = []  # of the containers around and including each element
+        self.paths: list[int] = []  # of the containers around and including each element
         self.counts: dict[str, int] = {}
         self.noise = 0  # depth at which a noisy element began, 0 for none
 
     def has(self, *tags: str) -> bool:
         return any(self.counts.get(t) for t in tags)
 
-    def path(self) -> tuple[str, ...]:
-        return self.paths[-1] if self.paths else ()
+    def path(self) -> int:
+        return self.paths[-1] if self.paths else 0
 
     def open(self, tag: str, name: str, noisy: bool) -> None:
         path = self.path()
         if tag in CONTAINERS or tag == "html":
-            whole = f"{path[-1]}>{name}" if path else name
-            path = (*path, whole) if len(path) < MAX_PATH else path
+            path = self.known.child(path, name)
         self.tags.append(tag)
         self.paths.append(path)
         self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -146,13 +181,13 @@ class OpenElements:
                 return
 
 
-def blocks_of(page: str) -> Iterator[Block]:
-    """The blocks of text of a page outside of dropped and noisy elements, in page order.
+def blocks_of(page: str, paths: Paths) -> Iterator[Block]:
+    """The blocks of text of a page outside of dropped and noisy elements, in page order; their paths go to ``paths``.
 
     Unclosed elements are closed by what follows: a paragraph by the next block, any element by
     the end of one around it. An end tag without a start is passed over.
     """
-    around = OpenElements()
+    around = OpenElements(paths)
     block: Block | None = None
     at, size = 0, len(page)
     last_end = page.rfind(">")
@@ -192,49 +227,65 @@ def blocks_of(page: str) -> Iterator[Block]:
         yield block
 
 
-def best_path(blocks: list[Block]) -> tuple[str, float]:
+def best_path(blocks: list[Block], paths: Paths) -> tuple[str, float]:
     """The container path with the main text, and its score.
 
     A container is worth its text, less twice what of it is in links. Each level down is worth a
     little more, up to five levels, and article and main elements are, so of containers that hold nearly the same
-    text the inner one wins.
+    text the inner one wins. Equal scores go to the path that sorts last.
     """
-    worth: dict[str, float] = {}
+    worth: list[float | None] = [None] * len(paths.parents)
     for b in blocks:
-        own = max(0, sum(map(len, b.pieces)) - 2 * b.linked)
-        for path in b.path:
-            worth[path] = worth.get(path, 0.0) + own
-    best = ("", 0.0)
-    for path, own in worth.items():
-        last = path.rpartition(">")[2].partition(".")[0]
-        score = own * (1 + 0.02 * min(path.count(">"), 5)) * (1.2 if last in ("article", "main") else 1.0)
-        best = max(best, (path, score), key=lambda x: (x[1], x[0]))
-    return best
+        worth[b.path] = (worth[b.path] or 0.0) + max(0, sum(map(len, b.pieces)) - 2 * b.linked)
+    for path in range(len(worth) - 1, 0, -1):
+        if worth[path] is not None:
+            worth[paths.parents[path]] = (worth[paths.parents[path]] or 0.0) + worth[path]
+    best, best_score = 0, 0.0
+    for path in range(1, len(worth)):
+        if worth[path] is None:
+            continue
+        last = paths.names[path].partition(".")[0]
+        score = worth[path] * (1 + 0.02 * min(paths.depths[path] - 1, 5)) * (1.2 if last in ("article", "main") else 1.0)
+        # A path sorts after the one around it.
+        if score > best_score or score == best_score and (paths.parents[path] == best or paths.text(path) > paths.text(best)):
+            best, best_score = path, score
+    return paths.text(best), best_score
 
 
 def main_text(page: str, path: str | None = None) -> str:
     """The text of a page at ``path``; at its own best path if it has nothing there."""
-    blocks = list(blocks_of(page))
-    chosen = [b for b in blocks if path in b.path] if path else []
-    lines = [t for b in chosen if (t := b.text())]
+    paths = Paths()
+    blocks = list(blocks_of(page, paths))
+
+    def lines_at(where: str) -> list[str]:
+        inside = paths.below(where)
+        return [t for b in blocks if inside[b.path] and (t := b.text())]
+
+    lines = lines_at(path) if path else []
     if not lines:
-        own = best_path(blocks)[0]
-        lines = [t for b in blocks if (not own or own in b.path) and (t := b.text())]
+        own = best_path(blocks, paths)[0]
+        lines = lines_at(own) if own else [t for b in blocks if (t := b.text())]
     return "\n".join(lines)
 
 
+def page_vote(page: str) -> tuple[str, float]:
+    """Where one page alone has its main text, and its score."""
+    paths = Paths()
+    return best_path(list(blocks_of(page, paths)), paths)
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host of a url; a null url, or one without host, belongs to the empty host."""
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def host_paths(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host, path``: where most pages of each host have their main text, by number of votes, then score."""
+    """``host, path``: where most pages of each host have their main text, by number of votes, then score, then the path that sorts last."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [best_path(list(blocks_of(t.decode("utf-8", "replace")))) for t in texts_of(batch.column(1))]
-            scores = pa.array([round(min(s, 10_000.0)) for _, s in found], pa.int64())
+            found = [page_vote(t.decode("utf-8", "replace")) for t in texts_of(batch.column(1))]
+            scores = pa.array([round(s) for _, s in found], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in found], pa.string()), scores], names=["host", "path", "score"])
 
     votes = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("html")).mapInArrow(vote, "host string, path string, score bigint")

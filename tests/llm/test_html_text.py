@@ -1,5 +1,7 @@
 """Page texts: fixtures with every kind of clutter, host votes, broken and very long pages."""
 
+import random
+
 import pytest
 
 from leafmill.llm import html_text
@@ -49,3 +51,40 @@ def test_hosts_agree_on_a_path(spark):
     texts = {i: t for i, t, _ in got}
     assert texts[9] == "Brief story." and texts[10] == "alone" and texts[None] == texts[11] == ""
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_paths_of_any_depth_and_equal_scores():
+    """Two columns far inside a page are told apart; a very deep page costs what its tags do."""
+    deep = "<div>" * 200 + "<div class=story>" + "<p>main words here</p>" * 9 + "</div><div class=other><p><a href=x>a link</a></p></div>" + "</div>" * 200
+    assert html_text.page_vote(deep)[0].endswith("div>div.story") and html_text.page_vote(deep)[0].count(">") == 200
+    assert html_text.main_text(deep) == "\n".join(["main words here"] * 9)
+    very_deep = "<div>" * 100_000 + "<p>the end</p>"
+    assert html_text.main_text(very_deep) == "the end" and html_text.page_vote(very_deep)[0].count(">") == 99_999
+    equal = "<div class=a><p>same</p></div><div class=b><p>same</p></div>"
+    assert html_text.page_vote(equal)[0] == "div.b"
+
+
+def test_scores_of_all_containers_equal_brute_force():
+    """Every container's text summed again from each block's whole list of containers."""
+    rng = random.Random(3)
+    for _ in range(60):
+        page, still = "", []
+        for _ in range(rng.randint(1, 40)):
+            if still and rng.random() < 0.4:
+                page += f"</{still.pop()}>"
+            elif rng.random() < 0.6:
+                still.append(rng.choice(["div", "section", "article", "main"]))
+                page += f"<{still[-1]} class={rng.choice('abc')}>"
+            else:
+                page += f"<p>{'x' * rng.randint(1, 9)}</p>"
+        paths = html_text.Paths()
+        blocks, worth = list(html_text.blocks_of(page, paths)), {}
+        for b in blocks:
+            names = paths.text(b.path).split(">") if b.path else []
+            for n in range(1, len(names) + 1):
+                worth[">".join(names[:n])] = worth.get(">".join(names[:n]), 0) + max(0, sum(map(len, b.pieces)) - 2 * b.linked)
+        scored = [
+            (own * (1 + 0.02 * min(p.count(">"), 5)) * (1.2 if p.rpartition(">")[2].split(".")[0] in ("article", "main") else 1.0), p)
+            for p, own in worth.items()
+        ]
+        assert html_text.best_path(blocks, paths) == max(scored, default=(0.0, ""))[::-1]
