@@ -20,7 +20,6 @@ from leafmill.llm.common import hashed_sample, stored
 
 # Words are hashed into so many buckets; the table of weights, buckets x domains, has this size at any input.
 BUCKETS = 1 << 12
-MAX_DOMAINS = 64
 SAMPLE_ROWS = 10_000
 # The evidence of a text is that of its mean word this many times at most, so posteriors stay soft.
 EVIDENCE_WORDS = 20.0
@@ -42,13 +41,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, domain: str) -> Dat
     return documents.join(F.broadcast(ids), "doc_id", "left_semi").select("text", F.col(domain).cast("string").alias("domain"))
 
 
-def word_weights(labelled: DataFrame) -> tuple[dict[str, float], DataFrame | None]:
+def word_weights(labelled: DataFrame, max_domains: int) -> tuple[dict[str, float], DataFrame | None]:
     """Log share of words by domain, and per bucket the log probability under each domain (``w0, w1, ...``)."""
     rows = labelled.filter("domain is not null and text is not null")
     counts = stored(words_of(rows, ["domain"]).groupBy("domain", "bucket").agg(F.count("*").alias("n")), "word-counts")
-    totals = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).orderBy("domain").limit(MAX_DOMAINS + 1).collect()}
-    if len(totals) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains")
+    totals = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).orderBy("domain").limit(max_domains + 1).collect()}
+    if len(totals) > max_domains:
+        raise ValueError(f"more than {max_domains} domains; max_domains sets how many columns of weights may be")
     if not totals:
         return {}, None
     own = [F.sum(F.when(F.col("domain") == d, F.col("n"))).alias(f"n{j}") for j, d in enumerate(totals)]
@@ -59,13 +58,13 @@ def word_weights(labelled: DataFrame) -> tuple[dict[str, float], DataFrame | Non
     return shares, stored(found.select("bucket", *logs), "word-weights")
 
 
-def posteriors(documents: DataFrame, labelled: DataFrame) -> tuple[list[str], DataFrame]:
+def posteriors(documents: DataFrame, labelled: DataFrame, max_domains: int = 64) -> tuple[list[str], DataFrame]:
     """The domains, and ``doc_id, n_tokens, p`` (array by domain) for every row of ``doc_id, text``.
 
     Naive Bayes over hashed words on the text's mean word. A text without words has the prior.
     Rows with equal id are one document for their words; a null id is an id.
     """
-    shares, weights = word_weights(labelled)
+    shares, weights = word_weights(labelled, max_domains)
     domains, prior, k = list(shares), list(shares.values()), len(shares)
     ids = documents.select("doc_id").distinct()
     if weights is None:
@@ -130,16 +129,19 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float])
     return steps
 
 
-def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, flatten: float = 0.5) -> DataFrame:
+def mix(
+    documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, flatten: float = 0.5, max_domains: int = 64
+) -> DataFrame:
     """``doc_id, n_tokens, domain, posterior, rate, copies`` for every distinct id of ``doc_id, text``.
 
     ``labelled``: ``text, domain``. ``targets``: token share by domain; without them the expected
     shares raised to ``flatten``. ``domain`` is the likeliest one. ``copies`` is the rate rounded up
     or down by a hash of the id, so that copies add up to rates. Null texts have no tokens and the
-    prior as posterior; without labelled rows every rate is 1. No rows: no rows.
+    prior as posterior; without labelled rows every rate is 1. No rows: no rows. Domains are columns of
+    a plan, so more than ``max_domains`` of them are an error; nothing is left out.
     """
     docs = documents.select(F.col("doc_id"), F.col("text"))
-    domains, found = posteriors(docs, labelled)
+    domains, found = posteriors(docs, labelled, max_domains)
     members = stored(found, "posteriors")
     k = len(domains)
     if targets is None and k:
@@ -159,7 +161,10 @@ def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | N
 
 
 def sample(documents: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``documents`` as often as ``copies`` of ``mixed`` says, all their columns as they were."""
+    """The rows of ``documents`` as often as ``copies`` of ``mixed`` says, all their columns as they were, whatever their names.
+
+    Repeated rows are repeated each; a null id is an id; a text, null or very long, plays no part. No rows: no rows.
+    """
     named = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.struct("doc_id").alias("id"))
     copies = mixed.filter("copies > 0").select(F.struct("doc_id").alias("id"), "copies")
     return named.join(copies, "id").select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("_copy")).select("row.*")
