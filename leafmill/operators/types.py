@@ -13,18 +13,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_A_WORD), lambda w: w != "")
 
 
-def _grams() -> Column:
-    """Every run of one to ``_longest`` words of ``_words``, with its length and place."""
-    size, longest = F.size("_words"), F.col("_longest")
+def name_key(name: Column) -> Column:
+    """Half of a SHA-256, as bytes: what stands for a name where its runs and types travel."""
+    return F.substring(F.unhex(F.sha2(name, 256)), 1, 16)
 
-    def run(n: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), size - n + 1),
-            lambda at: F.struct(F.array_join(F.slice("_words", at, n), " ").alias("term"), n.alias("n"), at.alias("at")),
-        )
 
-    lengths = F.sequence(F.lit(1), F.least(size, longest))
-    return F.when((size > 0) & (longest > 0), F.flatten(F.transform(lengths, run)))
+def _runs(names: DataFrame) -> DataFrame:
+    """Every run of one to ``_longest`` words of ``_words``, with its length and place; the array itself is not copied."""
+    lengths = F.sequence(F.lit(1), F.least(F.size("_words"), F.col("_longest")))
+    sized = names.filter((F.size("_words") > 0) & (F.col("_longest") > 0)).select("*", F.explode(lengths).alias("n"))
+    placed = sized.select("*", F.explode(F.sequence(F.lit(1), F.size("_words") - F.col("n") + 1)).alias("at"))
+    return placed.select("name_key", F.array_join(F.slice("_words", F.col("at"), F.col("n")), " ").alias("term"), "n", "at")
 
 
 def types_of(names: DataFrame, terms: DataFrame, name: str = "name") -> DataFrame:
@@ -33,17 +32,16 @@ def types_of(names: DataFrame, terms: DataFrame, name: str = "name") -> DataFram
     ``terms``: term, type. Terms and names are compared word by word, whatever parts the words. Most words
     win, then most letters, then the first in the name; a term listed twice has the smaller type, a term
     without words or type counts for nothing. The runs of words meet the terms in an equi-join, so
-    neither table is held anywhere; only a digest of the name travels with a run.
+    neither table is held anywhere; only a digest of the name travels with a run. The join is a merge:
+    Spark takes exploded runs for as small as the names were, and would send them all through the driver.
     """
     listed = terms.select(words(F.col("term")).alias("_words"), "type").filter("size(_words) > 0 and type is not null")
     listed = listed.groupBy(F.array_join("_words", " ").alias("term")).agg(F.min("type").alias("type"))
     longest = listed.select(F.coalesce(F.max(F.size(F.split("term", " "))), F.lit(0))).scalar()
     known = names.select(F.col(name).alias("_name")).filter("_name is not null").distinct()
-    runs = known.select(F.sha2("_name", 256).alias("name_key"), words(F.col("_name")).alias("_words"), longest.alias("_longest")).select(
-        "name_key", F.explode_outer(_grams()).alias("_run")
-    ).select("name_key", "_run.*")
+    runs = _runs(known.select(name_key(F.col("_name")).alias("name_key"), words(F.col("_name")).alias("_words"), longest.alias("_longest")))
     best = F.max_by("type", F.struct("n", F.length("term"), -F.col("at")))
-    return runs.filter("term is not null").join(listed, "term").groupBy("name_key").agg(best.alias("type"))
+    return runs.join(listed.hint("merge"), "term").groupBy("name_key").agg(best.alias("type"))
 
 
 def with_types(offers: DataFrame, terms: DataFrame, name: str = "name") -> DataFrame:
@@ -53,7 +51,7 @@ def with_types(offers: DataFrame, terms: DataFrame, name: str = "name") -> DataF
     """
     untyped = offers.filter("type is null")
     found = types_of(untyped, terms, name).select(F.col("name_key").alias("_name_key"), F.col("type").alias("_type"))
-    key = F.when(F.col("type").isNull(), F.sha2(F.col(name), 256))
+    key = F.when(F.col("type").isNull(), name_key(F.col(name)))
     typed = offers.withColumn("_name_key", key).join(found, "_name_key", "left")
     typed = typed.withColumn("type", F.coalesce("type", "_type"))
     return typed.select(*offers.columns)

@@ -60,3 +60,13 @@ def test_a_very_long_name_and_no_cross_join(spark):
     assert [r["type"] for r in found.collect()] == ["prosciutto cotto"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_runs_of_words_are_never_broadcast(spark):
+    """However small Spark takes the exploded runs for, they must not all go through the driver."""
+    names = spark.range(200).selectExpr("concat('pane ', id, repeat(' vino', 50)) as name")
+    terms = spark.range(20_000).selectExpr("concat('voce ', id) as term", "'voce' as type")
+    found = types_of(names, terms)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
