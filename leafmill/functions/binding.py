@@ -60,12 +60,16 @@ def in_stages(known: Known, stages: tuple[Stage, ...], result: Callable[[Known],
 
 
 def add_stages(rows: DataFrame, known: Known, stages: tuple[Stage, ...], mark: str) -> tuple[DataFrame, Known]:
-    """The same as columns, one projection per stage: whole-stage code without lambdas.
+    """The same as columns, one projection per stage.
 
-    The new columns are called ``mark`` and the name of the value; the caller drops them.
+    The new columns are called ``mark`` and the name of the value; the caller drops them. Each value
+    is a short method of generated code: a stage's first value passes through a lambda, which keeps its projection
+    out of whole-stage code. That would be one method of over 8,000 bytes, which HotSpot never compiles.
     """
     for stage in stages:
         made = stage(known)
+        first = next(iter(made))
+        made[first] = bind(made[first], lambda value: value)
         rows = rows.withColumns({mark + name: column for name, column in made.items()})
         known = known | {name: F.col(mark + name) for name in made}
     return rows, known

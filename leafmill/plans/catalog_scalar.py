@@ -377,8 +377,8 @@ def promo_price(spark, sf_dir):
         F.lit("Yogurt Cremoso "), q, F.lit(" g - "), m + 1, F.lit("x"), m, F.lit(" (prendi "), m + 1,
         F.lit(", paghi "), m, F.lit(") - €"), unit, F.lit(" a vasetto"),
     )
-    rows = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", written.alias("written"))
-    rows = spread(rows, keys=("l_orderkey", "l_linenumber", "written"))
+    lines = standins.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    rows = spread(lines, keys=("l_orderkey", "l_linenumber")).select("l_orderkey", "l_linenumber", written.alias("written"))
     return packs.add_pack(rows, F.col("written")).drop("written")
 
 

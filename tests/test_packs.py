@@ -89,3 +89,17 @@ def test_null_text(spark):
     row = spark.createDataFrame([(None,)], "t string")
     offers = packs.read_offers(F.col("t"), F.lit(AS_OF).cast("date"), F.lit("Bevande"))
     assert row.select(offers.alias("o")).first()["o"] == []
+
+
+def _largest_method(frame) -> int:
+    stages = frame._jdf.queryExecution().debug().codegenToSeq()
+    return max((stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length())), default=0)
+
+
+def test_no_method_of_the_line_reader_is_too_large_to_be_compiled(spark):
+    """HotSpot leaves methods of over 8,000 bytes to its interpreter."""
+    rows = spark.range(8).selectExpr("id", "concat('Passata ', id, '00g - 1,20€') as line")
+    assert _largest_method(packs.add_pack(rows, F.col("line"))) <= 8_000
+    read = packs.read_lines(rows, F.col("line"), F.lit("2025-06-20").cast("date"), F.lit("Dispensa secca"))
+    assert _largest_method(read) <= 8_000
+    assert read.count() == 8
