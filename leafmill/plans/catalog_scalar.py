@@ -448,7 +448,8 @@ def rule_offers(spark, sf_dir):
         F.lit("€ - valida dal 28/06 al 30/06"),
         F.when(F.col("p_type") == "PROMO", " con buono viaggio").otherwise(""),
     )
-    rows = standins.table(spark, sf_dir, "part").select("p_partkey", written.alias("written"))
+    parts = spread(standins.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice"), keys=("p_partkey",))
+    rows = parts.select("p_partkey", written.alias("written"))
     as_of = F.lit("2025-06-20").cast("date")
     read = packs.read_lines(rows, F.col("written"), as_of, F.lit("Dispensa secca"))
     return read.select(

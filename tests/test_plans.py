@@ -124,3 +124,8 @@ def test_copies_reach_the_state_as_a_row_a_task(spark):
 
 def test_routing_needs_no_window(spark):
     assert "Window" not in plan(spark, "ingest_route")
+
+
+def test_rule_offers_spreads_its_rows(spark):
+    """A table of one small file is read by one task; the slow reading must not stay in it."""
+    assert "REPARTITION_BY_COL" in plan(spark, "rule_offers")
