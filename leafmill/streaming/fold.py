@@ -6,6 +6,10 @@ arrival order and equal to the batch form. A complete flyer leaves only a tombst
 which stops redelivered chunks and expires; by then the stored-flyer test rejects the
 checksum at intake. A flyer has few chunks, so rows come one by one rather than as frames.
 
+Flyers are many and each is little work, while every call of the state operator costs messages between JVM
+and Python worker and a frame of its own on the way back. So a call folds all flyers of a slot, one of a fixed number
+of hash values, and their states are entries of the slot's two maps.
+
 A chunk may be delivered many times. Of the copies that one task reads, one goes on to the state
 operator; of those that reach a flyer together, the one of the earliest staging batch counts, and
 none after it. The state says which copy that was, and publication takes the offers of just that copy.
@@ -13,16 +17,20 @@ none after it. The state says which copy that was, and publication takes the off
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import MapState
+from pyspark.sql.types import DoubleType
 
 from leafmill.operators.fold import COUNTERS
-from leafmill.schemas import FOLD_OUTPUT
+from leafmill.schemas import FOLD_INPUT, FOLD_OUTPUT
 
 COMPLETE, INCOMPLETE = "complete", "incomplete"
 
@@ -35,15 +43,21 @@ _STATE = (
     " spot_n int, place_id string, lat double, lon double, name_n int, place_name string,"
     " address_n int, address string, validity_from string, validity_to string,"
     " offers_count bigint, ai_input_tokens bigint, ai_cached_tokens bigint,"
-    " ai_output_tokens bigint, processing_time_seconds double"
+    " ai_output_tokens bigint, processing_time_seconds double, due bigint"
 )
 _FIELDS = [part.split()[0] for part in _STATE.split(", ")]
 
+_CHUNK = FOLD_INPUT.fieldNames()
+_DOUBLES = [f.name for f in FOLD_INPUT.fields if isinstance(f.dataType, DoubleType)]
+
 _DAY_MS = 24 * 60 * 60 * 1000
 
+# Bytes of a tombstone, and into how many values a slot's are cut by age.
+_DIGEST, _PERIODS = 16, 32
+
 
 class FlyerFold(StatefulProcessor):
-    """See the module text. ``give_up_ms`` reports a flyer still open after that time; None waits for ever."""
+    """The fold of one flyer, see the module text. ``give_up_ms`` reports a flyer still open after that time; None waits for ever."""
 
     def __init__(self, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS):
         self.tombstone_ms = tombstone_ms
@@ -54,18 +68,19 @@ class FlyerFold(StatefulProcessor):
         self.open = handle.getValueState("open", _STATE)
         self.done = handle.getValueState("done", "at timestamp", self.tombstone_ms)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[Row | dict], timerValues) -> Iterator[Row]:
         if self.done.exists():
             return
         stored = self.open.get() if self.open.exists() else None
         state = dict(zip(_FIELDS, stored or [None] * len(_FIELDS)))
         seen = dict(zip(state["seen"] or (), state["copies"] or (), strict=True))
-        new: dict[int, Row] = {}
+        new: dict[int, Row | dict] = {}
         for row in rows:
-            if row.chunk_n not in seen and (row.chunk_n not in new or _staged(row) < _staged(new[row.chunk_n])):
-                new[row.chunk_n] = row
+            n = row["chunk_n"]
+            if n not in seen and (n not in new or _staged(row) < _staged(new[n])):
+                new[n] = row
         for n in sorted(new):
-            seen[n] = new[n].staged_batch
+            seen[n] = new[n]["staged_batch"]
             self._add(state, new[n])
         if not seen:
             return
@@ -79,9 +94,10 @@ class FlyerFold(StatefulProcessor):
                 for timer in list(self.handle.listTimers()) if self.give_up_ms else []:
                     self.handle.deleteTimer(timer)
             return
-        self.open.update(tuple(state[name] for name in _FIELDS))
         if stored is None and self.give_up_ms:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.give_up_ms)
+            state["due"] = timerValues.getCurrentProcessingTimeInMs() + self.give_up_ms
+            self.handle.registerTimer(state["due"])
+        self.open.update(tuple(state[name] for name in _FIELDS))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.open.exists():
@@ -93,18 +109,18 @@ class FlyerFold(StatefulProcessor):
         pass
 
     @staticmethod
-    def _add(state: dict, row: Row) -> None:
+    def _add(state: dict, row: Row | dict) -> None:
         """Add one new chunk to the state."""
-        n = row.chunk_n
+        n = row["chunk_n"]
         for name in COUNTERS:
             state[name] = (state[name] or 0) + (row[name] or 0)
         seconds = "processing_time_seconds"
         state[seconds] = (state[seconds] or 0.0) + (row[seconds] or 0.0)
-        state["chunk_total"] = max(state["chunk_total"] or 0, row.chunk_total or 0)
+        state["chunk_total"] = max(state["chunk_total"] or 0, row["chunk_total"] or 0)
         if n == 0:
-            state.update(validity_from=row.validity_from, validity_to=row.validity_to)
+            state.update(validity_from=row["validity_from"], validity_to=row["validity_to"])
         if state["last_n"] is None or n > state["last_n"]:
-            state.update(last_n=n, url=row.url, filename=row.filename)
+            state.update(last_n=n, url=row["url"], filename=row["filename"])
         for number, columns in _LOWEST:
             values = {c: row[c] for c in columns}
             if any(v is not None for v in values.values()) and (state[number] is None or n < state[number]):
@@ -118,8 +134,136 @@ class FlyerFold(StatefulProcessor):
         return Row(**{name: values[name] for name in (*FOLD_OUTPUT.fieldNames(), "status")})
 
 
-def _staged(row: Row) -> tuple:
-    return row.staged_batch is None, row.staged_batch or 0
+def _staged(row: Row | dict) -> tuple:
+    return row["staged_batch"] is None, row["staged_batch"] or 0
+
+
+class _Entry:
+    """What a map state holds for the flyer at hand, used like a value state."""
+
+    def __init__(self, states: MapState):
+        self.states = states
+        self.key: tuple = ()
+        self.empty = False
+
+    def exists(self) -> bool:
+        return not self.empty and self.states.containsKey(self.key)
+
+    def get(self) -> tuple | None:
+        return self.states.getValue(self.key)
+
+    def update(self, value: tuple) -> None:
+        self.states.updateValue(self.key, value)
+
+    def clear(self) -> None:
+        self.states.removeKey(self.key)
+
+
+class _Tombstones:
+    """Digests of a slot's complete flyers, one value for each of ``_PERIODS`` parts of their life, used like a value state.
+
+    They are read in one go and a call adds to the current period only. A period expires as a whole, a life after
+    its last tombstone.
+    """
+
+    def __init__(self, states: MapState, life_ms: int):
+        self.states = states
+        self.span = max(1, life_ms // _PERIODS)
+        self.key: tuple = ()
+
+    def load(self, now: int) -> None:
+        periods = {period: bytes(digests) for (period,), (digests,) in self.states.iterator()}
+        self.period, self.added = now // self.span, []
+        self.current = periods.get(self.period, b"")
+        self.known = {d[i : i + _DIGEST] for d in periods.values() for i in range(0, len(d), _DIGEST)}
+
+    def save(self) -> None:
+        if self.added:
+            self.states.updateValue((self.period,), (self.current + b"".join(self.added),))
+
+    def exists(self) -> bool:
+        return self._digest() in self.known
+
+    def update(self, value: tuple) -> None:
+        self.added.append(self._digest())
+
+    def _digest(self) -> bytes:
+        return blake2b(self.key[0].encode(), digest_size=_DIGEST).digest()
+
+
+class SlotFold(StatefulProcessor):
+    """``FlyerFold`` for every flyer of a slot in one call; to that fold the slot is its handle.
+
+    Rows carry a chunk as JSON, as a worker reads a row cell by cell. A flyer that comes whole to a slot without open
+    ones costs no message of its own. A slot has one timer, for the open flyer that is due first.
+    """
+
+    def __init__(self, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS):
+        self.fold = FlyerFold(tombstone_ms, give_up_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        life = self.fold.tombstone_ms
+        self.open = _Entry(handle.getMapState("open", "checksum string", _STATE))
+        self.done = _Tombstones(handle.getMapState("done", "period bigint", "digests binary", life), life)
+        self.due: list[int] = []
+        self.fold.handle, self.fold.open, self.fold.done = self, self.open, self.done
+
+    def registerTimer(self, at: int) -> None:
+        self.due.append(at)
+
+    def listTimers(self) -> Iterator[int]:
+        return iter(())  # the slot's timer serves other flyers, too
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        flyers: dict[str, list[dict]] = {}
+        for row in rows:
+            chunk = _chunk(row["chunk"])
+            flyers.setdefault(chunk["checksum"], []).append(chunk)
+        self.open.empty = not self.open.states.exists()
+        self.done.load(timerValues.getCurrentProcessingTimeInMs())
+        for checksum, chunks in flyers.items():
+            yield from self.fold.handleInputRows(self._at(checksum), iter(chunks), timerValues)
+        self.done.save()
+        self._set_timer()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, gone = timerValues.getCurrentProcessingTimeInMs(), []
+        for (checksum,), value in self.open.states.iterator():
+            due = value[_FIELDS.index("due")]
+            if due is not None and due <= now:
+                gone.append(checksum)
+            elif due is not None:
+                self.due = [min([due, *self.due])]
+        self.open.empty = False
+        for checksum in gone:
+            yield from self.fold.handleExpiredTimer(self._at(checksum), timerValues, expiredTimerInfo)
+        self._set_timer(now)
+
+    def close(self) -> None:
+        pass
+
+    def _at(self, checksum: str) -> tuple[str]:
+        """Turn the states to a flyer; its key."""
+        self.open.key = self.done.key = (checksum,)
+        return (checksum,)
+
+    def _set_timer(self, after: int = -1) -> None:
+        """A timer for the first of ``due``, unless one fires ``after`` a time and by then."""
+        if self.due:
+            first = min(self.due)
+            if not any([after < at <= first for at in self.handle.listTimers()]):
+                self.handle.registerTimer(first)
+            self.due = []
+
+
+def _chunk(text: str) -> dict:
+    """A ``FOLD_INPUT`` row from Spark's JSON, which leaves out nulls and quotes doubles that are no numbers."""
+    chunk = dict.fromkeys(_CHUNK) | json.loads(text)
+    for name in _DOUBLES:
+        if isinstance(chunk[name], str):
+            chunk[name] = float(chunk[name])
+    return chunk
 
 
 def first_per_task(chunks: DataFrame) -> DataFrame:
@@ -130,7 +274,7 @@ def first_per_task(chunks: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[pa.RecordBatch, list[tuple]]] = []
         best: dict[tuple, tuple] = {}
         for batch in batches:
             names, numbers, staged = (batch.column(c).to_pylist() for c in ("checksum", "chunk_n", "staged_batch"))
@@ -141,22 +285,27 @@ def first_per_task(chunks: DataFrame) -> DataFrame:
                     best[key] = rank, len(held)
                     mine[key] = i
             if mine:
-                held.append(batch.take(pa.array(list(mine.values()))))
-        for number, batch in enumerate(held):
-            keys = zip(batch.column("checksum").to_pylist(), batch.column("chunk_n").to_pylist(), strict=True)
+                held.append((batch.take(pa.array(list(mine.values()))), list(mine)))
+        for number, (batch, keys) in enumerate(held):
             won = np.array([best[key][1] == number for key in keys])
             yield batch.filter(pa.array(won))
 
     return chunks.filter(F.col("chunk_n").isNotNull()).mapInArrow(run, chunks.schema)
 
 
-def fold_stream(chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS) -> DataFrame:
+def fold_stream(
+    chunks: DataFrame, tombstone_ms: int = 30 * _DAY_MS, give_up_ms: int | None = _DAY_MS, slots: int = 4_096
+) -> DataFrame:
     """Folded flyers (``FOLD_OUTPUT`` and ``status``) of a stream of ``FOLD_INPUT`` rows.
 
-    Needs the RocksDB state store provider, see ``leafmill.session``.
+    A task holds a slot's narrow rows of one micro-batch at a time. ``slots`` belongs to the checkpoint
+    and must not change. Needs the RocksDB state store provider, see ``leafmill.session``.
     """
-    return first_per_task(chunks).groupBy("checksum").transformWithState(
-        statefulProcessor=FlyerFold(tombstone_ms, give_up_ms),
+    slot = F.pmod(F.xxhash64("checksum"), F.lit(slots)).cast("int")
+    chunk = F.to_json(F.struct(*_CHUNK)).alias("chunk")
+    first = first_per_task(chunks.select("checksum", "chunk_n", "staged_batch", chunk))
+    return first.select(slot.alias("slot"), "chunk").groupBy("slot").transformWithState(
+        statefulProcessor=SlotFold(tombstone_ms, give_up_ms),
         outputStructType=OUTPUT_DDL,
         outputMode="Append",
         timeMode="ProcessingTime",

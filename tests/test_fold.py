@@ -1,5 +1,6 @@
 """The fold: scenarios, order independence, and stream against batch."""
 
+import json
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from leafmill.operators.fold import fold_batch, fold_totals, incomplete_flyers
 from leafmill.schemas import FOLD_INPUT, FOLD_OUTPUT
 from leafmill.session import scratch_dir, streaming_session
 from leafmill.streaming.flow import finish
-from leafmill.streaming.fold import COMPLETE, INCOMPLETE, FlyerFold, fold_stream
+from leafmill.streaming.fold import COMPLETE, INCOMPLETE, FlyerFold, SlotFold, fold_stream
 
 NAMES = FOLD_INPUT.fieldNames()
 OUT = [n for n in FOLD_OUTPUT.fieldNames()]
@@ -172,3 +173,140 @@ def test_restart_loses_and_repeats_nothing(spark, staged):
     got = spark.read.parquet(f"{root}/out").select(*OUT)
     assert got.count() == 20
     assert got.exceptAll(fold_totals(frame(spark, rows))).count() == 0
+
+
+class FakeMap:
+    def __init__(self):
+        self.values, self.calls = {}, 0
+
+    def exists(self):
+        self.calls += 1
+        return bool(self.values)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.values
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.values.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.values[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        self.values.pop(key, None)
+
+    def iterator(self):
+        self.calls += 1
+        return iter(list(self.values.items()))
+
+
+class FakeSlot(FakeHandle):
+    def getMapState(self, name, key, schema, ttl=None):
+        return self.states.setdefault(name, FakeMap())
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def slot(**options):
+    handle, processor = FakeSlot(), SlotFold(**options)
+    processor.init(handle)
+
+    def call(rows, now=1_000):
+        texts = [json.dumps({n: v for n, v in zip(NAMES, row) if v is not None}) for row in rows]
+        return list(processor.handleInputRows((0,), iter(Row(slot=0, chunk=text) for text in texts), Clock(now)))
+
+    def expire(now):
+        out = list(processor.handleExpiredTimer((0,), Clock(now), None))
+        handle.timers = [at for at in handle.timers if at > now]
+        return out
+
+    return handle, call, expire
+
+
+def test_flyers_of_a_slot_do_not_cost_a_message_each():
+    handle, call, _ = slot()
+    rows = [chunk(f"k{i}", n, 3) for i in range(500) for n in range(3)]
+    assert len(call(rows)) == 500 and call(rows) == []
+    assert sum(state.calls for state in handle.states.values()) <= 6 and not handle.timers
+
+
+def test_a_slot_gives_the_rows_of_its_flyers():
+    rng = random.Random(11)
+    rows, cuts = [], []
+    for i in range(40):
+        total = rng.randint(1, 5)
+        rows += [chunk(f"k{i}", n, total, rng.choice([None, 2**60 + n]), rng.choice([None, "d"]), rng.choice([None, f"p{n}"]))
+                 for n in range(total)]
+    arrivals = rows + rng.choices(rows, k=50)
+    rng.shuffle(arrivals)
+    cuts = [0, *sorted(rng.choices(range(len(arrivals)), k=4)), len(arrivals)]
+    handle, call, _ = slot()
+    out = [row for start, end in zip(cuts, cuts[1:]) for row in call(arrivals[start:end])]
+    alone = [fold_in_memory([r for r in arrivals if r[0] == f"k{i}"], [])[2][0] for i in range(40)]
+    assert sorted(out, key=lambda r: r["checksum"]) == sorted(alone, key=lambda r: r["checksum"])
+    assert not handle.states["open"].values
+
+
+def test_tombstones_are_kept_by_period():
+    handle, call, _ = slot(tombstone_ms=32_000)
+    for number in range(4):
+        assert len(call([chunk(f"k{number}", 0, 1)], now=600 * number)) == 1
+    assert {k: len(v[0]) for k, v in handle.states["done"].values.items()} == {(0,): 32, (1,): 32}
+    assert call([chunk(f"k{number}", 0, 1) for number in range(4)], now=2_500) == []
+
+
+def test_one_timer_a_slot_serves_all_open_flyers():
+    handle, call, expire = slot(give_up_ms=500)
+    call([chunk("a", 0, 2), chunk("b", 0, 2), chunk("c", 0, 2)], now=1_000)
+    call([chunk("d", 0, 2)], now=1_200)
+    call([chunk("b", 1, 2)], now=1_300)
+    assert handle.timers == [1_500]
+    assert sorted(r["checksum"] for r in expire(1_500)) == ["a", "c"] and handle.timers == [1_700]
+    assert [(r["checksum"], r["status"]) for r in expire(1_700)] == [("d", INCOMPLETE)] and handle.timers == []
+
+
+def test_json_keeps_what_doubles_and_longs_hold(spark):
+    root = scratch_dir(spark, "test-json")
+    session = streaming_session(spark, drain=True)
+    rows = []
+    for i, (lat, lon) in enumerate([(float("nan"), float("-inf")), (0.1 + 0.2, -0.0), (None, 1e-320)]):
+        row = dict(zip(NAMES, chunk(f"k{i}", 0, 1, tokens=2**62 + 1, name='"\\\n\u2028')))
+        rows.append(tuple((row | {"lat": lat, "lon": lon}).values()))
+    frame(spark, rows).write.parquet(f"{root}/in")
+    finish(start(session, root, per_batch=9))
+    got, wanted = spark.read.parquet(f"{root}/out").select(*OUT), fold_totals(frame(spark, rows))
+    assert got.count() == 3 and got.exceptAll(wanted).count() == 0
+
+
+def test_a_standing_slot_gives_up_on_each_flyer_in_turn(spark):
+    import time
+
+    root = scratch_dir(spark, "test-turns")
+    session = streaming_session(spark)
+    frame(spark, [chunk("a", 0, 2)]).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = session.readStream.schema(FOLD_INPUT).parquet(f"{root}/in")
+    running = (
+        fold_stream(stream, give_up_ms=6_000, slots=1).writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint").start()
+    )
+    try:
+        gone, until = [], time.time() + 90
+        while len(gone) < 2 and time.time() < until:
+            time.sleep(1)
+            assert running.isActive, running.exception()
+            if running.lastProgress and not gone and not spark.read.parquet(f"{root}/in").filter("checksum = 'b'").count():
+                frame(spark, [chunk("b", 0, 2)]).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            gone = spark.read.schema("checksum string, status string").parquet(f"{root}/out").collect()
+    finally:
+        running.stop()
+    assert sorted(tuple(r) for r in gone) == [("a", INCOMPLETE), ("b", INCOMPLETE)]
