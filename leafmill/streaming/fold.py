@@ -24,6 +24,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import MapState
@@ -55,6 +56,9 @@ _DAY_MS = 24 * 60 * 60 * 1000
 # Bytes of a tombstone, and into how many values a slot's are cut by age.
 _DIGEST, _PERIODS = 16, 32
 
+# Rows that a task lets gather before it looks for copies.
+_PIECE = 65_536
+
 
 class FlyerFold(StatefulProcessor):
     """The fold of one flyer, see the module text. ``give_up_ms`` reports a flyer still open after that time; None waits for ever."""
@@ -194,7 +198,7 @@ class _Tombstones:
 class SlotFold(StatefulProcessor):
     """``FlyerFold`` for every flyer of a slot in one call; to that fold the slot is its handle.
 
-    Rows carry a chunk as JSON, as a worker reads a row cell by cell. A flyer that comes whole to a slot without open
+    Rows carry a task's chunks of the slot as JSON, as a worker reads a row cell by cell. A flyer that comes whole to a slot without open
     ones costs no message of its own. A slot has one timer, for the open flyer that is due first.
     """
 
@@ -218,8 +222,9 @@ class SlotFold(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         flyers: dict[str, list[dict]] = {}
         for row in rows:
-            chunk = _chunk(row["chunk"])
-            flyers.setdefault(chunk["checksum"], []).append(chunk)
+            for text in row["chunks"]:
+                chunk = _chunk(text)
+                flyers.setdefault(chunk["checksum"], []).append(chunk)
         self.open.empty = not self.open.states.exists()
         self.done.load(timerValues.getCurrentProcessingTimeInMs())
         for checksum, chunks in flyers.items():
@@ -266,31 +271,45 @@ def _chunk(text: str) -> dict:
     return chunk
 
 
+def _first(rows: pa.Table) -> pa.Table:
+    """Of the copies of a chunk the first of the earliest staging batch, rows in the order of slots; nulls come last."""
+    keys = ("slot", "checksum", "chunk_n")
+    rows = rows.take(pc.sort_indices(rows, sort_keys=[(k, "ascending") for k in (*keys, "staged_batch")]))
+    new = np.zeros(max(0, len(rows) - 1), dtype=bool)
+    for key in keys:
+        column = rows.column(key)
+        here, before = column.slice(1), column.slice(0, max(0, len(rows) - 1))
+        differ = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(pc.is_null(here), pc.is_null(before)))
+        new |= differ.to_numpy()
+    return rows.filter(pa.array(np.concatenate([[True], new])[: len(rows)], pa.bool_()))
+
+
 def first_per_task(chunks: DataFrame) -> DataFrame:
-    """Of the copies of a chunk that one task reads, the first of the earliest staging batch; rows without a number go.
+    """``slot, chunks``: a row per slot and task, with the first of the earliest staging batch of each chunk's copies.
 
-    A million copies of a chunk leave a row a task for the shuffle. A task holds one narrow row for
-    each chunk of its part of a micro-batch until it ends.
+    ``chunks``: slot, checksum, chunk_n, staged_batch, chunk; rows without a number go. A million copies of a chunk
+    leave one a task for the shuffle. A task holds one narrow row for each chunk of its part of a micro-batch until it
+    ends, and as many again, or ``_PIECE``, that are still to be looked through.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[pa.RecordBatch, list[tuple]]] = []
-        best: dict[tuple, tuple] = {}
+        held, waiting, n = None, [], 0
         for batch in batches:
-            names, numbers, staged = (batch.column(c).to_pylist() for c in ("checksum", "chunk_n", "staged_batch"))
-            mine = {}
-            for i, (key, at) in enumerate(zip(zip(names, numbers, strict=True), staged, strict=True)):
-                rank = (at is None, at or 0)
-                if key not in best or rank < best[key][0]:
-                    best[key] = rank, len(held)
-                    mine[key] = i
-            if mine:
-                held.append((batch.take(pa.array(list(mine.values()))), list(mine)))
-        for number, (batch, keys) in enumerate(held):
-            won = np.array([best[key][1] == number for key in keys])
-            yield batch.filter(pa.array(won))
-
-    return chunks.filter(F.col("chunk_n").isNotNull()).mapInArrow(run, chunks.schema)
+            waiting.append(batch)
+            n += batch.num_rows
+            if n >= max(_PIECE, 0 if held is None else len(held)):
+                held, waiting, n = _first(pa.Table.from_batches([*(held.to_batches() if held else []), *waiting])), [], 0
+        if waiting:
+            held = _first(pa.Table.from_batches([*(held.to_batches() if held else []), *waiting]))
+        if held:
+            held = held.combine_chunks()
+            slots = held.column("slot").to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+            bounds = pa.array(np.append(starts, len(slots)), pa.int32())
+            lists = pa.ListArray.from_arrays(bounds, held.column("chunk").combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array(slots[starts], pa.int32()), lists], ["slot", "chunks"])
+
+    return chunks.filter(F.col("chunk_n").isNotNull()).mapInArrow(run, "slot int, chunks array<string>")
 
 
 def fold_stream(
@@ -301,10 +320,10 @@ def fold_stream(
     A task holds a slot's narrow rows of one micro-batch at a time. ``slots`` belongs to the checkpoint
     and must not change. Needs the RocksDB state store provider, see ``leafmill.session``.
     """
-    slot = F.pmod(F.xxhash64("checksum"), F.lit(slots)).cast("int")
+    slot = F.pmod(F.xxhash64("checksum"), F.lit(slots)).cast("int").alias("slot")
     chunk = F.to_json(F.struct(*_CHUNK)).alias("chunk")
-    first = first_per_task(chunks.select("checksum", "chunk_n", "staged_batch", chunk))
-    return first.select(slot.alias("slot"), "chunk").groupBy("slot").transformWithState(
+    first = first_per_task(chunks.select(slot, "checksum", "chunk_n", "staged_batch", chunk))
+    return first.groupBy("slot").transformWithState(
         statefulProcessor=SlotFold(tombstone_ms, give_up_ms),
         outputStructType=OUTPUT_DDL,
         outputMode="Append",

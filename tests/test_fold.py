@@ -223,7 +223,7 @@ def slot(**options):
 
     def call(rows, now=1_000):
         texts = [json.dumps({n: v for n, v in zip(NAMES, row) if v is not None}) for row in rows]
-        return list(processor.handleInputRows((0,), iter(Row(slot=0, chunk=text) for text in texts), Clock(now)))
+        return list(processor.handleInputRows((0,), iter(Row(slot=0, chunks=texts[i : i + 7]) for i in range(0, len(texts), 7)), Clock(now)))
 
     def expire(now):
         out = list(processor.handleExpiredTimer((0,), Clock(now), None))
@@ -310,3 +310,16 @@ def test_a_standing_slot_gives_up_on_each_flyer_in_turn(spark):
     finally:
         running.stop()
     assert sorted(tuple(r) for r in gone) == [("a", INCOMPLETE), ("b", INCOMPLETE)]
+
+
+def test_a_task_sends_a_row_for_each_slot(spark):
+    from leafmill.streaming import fold
+
+    columns = "slot int, checksum string, chunk_n int, staged_batch bigint, chunk string"
+    rows = [(k % 2, f"k{k}", n, staged, f"{k}/{n}/{staged}") for staged in (None, 5, 3, 9) for k in range(4) for n in range(50)]
+    rows += [(0, None, 1, None, "x"), (0, None, 1, 2, "y"), (1, "k1", None, 0, "no number")]
+    got = fold.first_per_task(spark.createDataFrame(rows, columns).coalesce(1)).collect()
+    wanted = {s: {f"{k}/{n}/3" for k in range(4) if k % 2 == s for n in range(50)} for s in (0, 1)}
+    wanted[0].add("y")
+    assert len(got) == 2 and {r["slot"]: set(r["chunks"]) for r in got} == wanted
+    assert sum(len(r["chunks"]) for r in got) == 201
