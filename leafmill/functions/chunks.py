@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from leafmill.functions.binding import bind
+
 # Pages per chunk.
 PAGES_PER_CHUNK = 5
 
@@ -21,10 +23,13 @@ def text_pages(text: Column, separator: str = "\n") -> Column:
 def chunk_pages(pages: Column, size: int = PAGES_PER_CHUNK) -> Column:
     """``array<array<page>>`` with ``ceil(n / size)`` parts; the last may be short.
 
-    No pages give no chunks: without the guard ``sequence(0, -1)`` would count down.
+    No pages give no chunks: without the guard ``sequence(0, -1)`` would count down. The pages are bound,
+    as an expression over a text would cut all of it anew for every part.
     """
-    n = F.size(pages)
-    starts = F.sequence(F.lit(0), F.floor((n - 1) / F.lit(size)).cast("int"))
-    return F.when(n > 0, F.transform(starts, lambda i: F.slice(pages, i * size + 1, F.lit(size)))).otherwise(
-        F.array().cast("array<array<string>>")
-    )
+
+    def parts(p: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / F.lit(size)).cast("int"))
+        cut = F.transform(starts, lambda i: F.slice(p, i * size + 1, F.lit(size)))
+        return F.when(F.size(p) > 0, cut).otherwise(F.array().cast("array<array<string>>"))
+
+    return bind(pages, parts)

@@ -88,7 +88,7 @@ def normalize_date(text: Column, day_of_month: str = "first", as_of: Column | No
         moment = F.when(t.rlike(r"(?:[Zz]|[+-]\d{2}:?\d{2})$"), F.to_utc_timestamp(moment, F.current_timezone())).otherwise(moment)
         return F.when(t.rlike(_STAMP), moment).otherwise(bind(parts, stamp))
 
-    return bind(F.trim(text), parse)
+    return F.when(text.isNotNull(), bind(F.trim(text), parse))  # most offers have no date of their own
 
 
 def iso_millis(stamp: Column) -> Column:

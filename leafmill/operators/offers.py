@@ -14,8 +14,11 @@ def inherit(own: Column, of_flyer: Column) -> Column:
     return F.coalesce(own, of_flyer)
 
 
-def flyer_rows(folded: DataFrame, places: DataFrame | None = None) -> DataFrame:
-    """Rows of the flyer table, stamped; places from the fold, or a ``checksum, sources`` table."""
+def flyer_rows(folded: DataFrame, places: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the flyer table, stamped; places from the fold, or a ``checksum, sources`` table.
+
+    The columns in ``keep`` stay beside them.
+    """
     own = place(F.col("place_id"), F.col("place_name"), F.col("address"), F.col("lat"), F.col("lon"))
     if places is None:
         rows = folded.withColumn("sources", F.when(F.col("place_id").isNotNull(), F.array(own)))
@@ -28,35 +31,43 @@ def flyer_rows(folded: DataFrame, places: DataFrame | None = None) -> DataFrame:
             "processed_at": F.current_timestamp(),
         }
     )
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLYERS.fields])
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLYERS.fields], *keep)
 
 
-def explode_offers(results: DataFrame) -> DataFrame:
+def explode_offers(results: DataFrame, *keep: str) -> DataFrame:
     """One row per offer of a chunk result, keyed ``(flyer_checksum, chunk_n, offer_n)``.
 
-    Chunks without offers give no row. ``results``: checksum, chunk_n, offers_data.
+    Chunks without offers give no row. ``results``: checksum, chunk_n, offers_data; the columns in ``keep``
+    are repeated with every offer.
     """
     return results.select(
         F.col("checksum").alias("flyer_checksum"),
         "chunk_n",
+        *keep,
         F.posexplode("offers_data").alias("offer_n", "offer"),
-    ).select("flyer_checksum", "chunk_n", "offer_n", "offer.*")
+    ).select("flyer_checksum", "chunk_n", "offer_n", *keep, "offer.*")
 
 
 def offer_rows(offers: DataFrame, flyers: DataFrame) -> DataFrame:
-    """Rows of the offer table for the offers whose flyer is in ``flyers``.
+    """Rows of the offer table for the offers whose flyer is in ``flyers``: checksum, validity_from, validity_to."""
+    dates = flyers.select(F.col("checksum").alias("flyer_checksum"), *flyer_dates())
+    return dated_offers(offers.join(dates, "flyer_checksum"))
+
+
+def flyer_dates() -> list[Column]:
+    """The dates of a row of the flyer table, named as ``dated_offers`` wants them."""
+    return [F.col("validity_from").alias("_flyer_from"), F.col("validity_to").alias("_flyer_to")]
+
+
+def dated_offers(offers: DataFrame) -> DataFrame:
+    """Rows of the offer table for offers that carry the dates of their flyer, see ``flyer_dates``.
 
     Dates are normalised on both levels before one inherits from the other; the raw
-    texts are kept beside them. ``flyers``: checksum, validity_from, validity_to.
+    texts are kept beside them.
     """
-    dates = flyers.select(
-        F.col("checksum").alias("flyer_checksum"),
-        F.col("validity_from").alias("_flyer_from"),
-        F.col("validity_to").alias("_flyer_to"),
-    )
     own_from = normalize_date(F.col("validity_from"), "first")
     own_to = normalize_date(F.col("validity_to"), "last")
-    rows = offers.join(dates, "flyer_checksum").withColumns(
+    rows = offers.withColumns(
         {
             "validity_from_raw": F.col("validity_from"),
             "validity_to_raw": F.col("validity_to"),

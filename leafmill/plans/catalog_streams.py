@@ -144,13 +144,13 @@ def _line_offers(chunks):
         parts = {"name": line, "category": F.lit("Giochi"), "price": F.length(line)}
         return F.struct(*[parts.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in OFFER.fields])
 
-    lines = F.filter("chunk", lambda line: F.length(F.trim(line)) > 0)
+    filled = chunks.withColumn("lines", F.filter("chunk", lambda line: F.trim(line) != ""))
     text = F.array_join("chunk", "\n")
     results = extract_by_rule(
-        chunks, F.transform(lines, offer), F.lit("2025-06-28"), F.lit("giugno 2025"),
-        F.length(text), F.size(lines),
+        filled, F.transform("lines", offer), F.lit("2025-06-28"), F.lit("giugno 2025"),
+        F.length(text), F.size("lines"),
     )
-    return results
+    return results.drop("lines")
 
 
 def _announce(spark, sf_dir, store):

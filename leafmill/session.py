@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
@@ -47,6 +49,8 @@ def streaming_session(
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not drain).lower())
     # A micro-batch too large to be broadcast sends a bloom filter of its keys ahead to the stored table's scan.
     session.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "64MB")
+    # Contents and offers meet narrow rows: these are hashed where a partition of them is small, the wide ones are not sorted.
+    session.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
     partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
@@ -54,6 +58,22 @@ def streaming_session(
     return session
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive plans for the batch work of a stateful query, as far as the application has not switched them off.
+
+    Spark switches them off for the whole session of such a query, as state must stay where it is. What
+    ``foreachBatch`` does with a batch, whose rows are planned by then, has no state.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, spark.sparkContext.getConf().get(key, "true"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession, purpose: str, root: str | None = None) -> str:
     """A fresh folder below ``root``, or ``spark.checkpoint.dir``, which every executor can reach.
 

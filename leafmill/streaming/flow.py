@@ -34,8 +34,9 @@ from leafmill.operators.chunking import OK, acquire, split_chunks, spread
 from leafmill.operators.extraction import split_valid
 from leafmill.operators.fold import fold_input
 from leafmill.operators.ingest import known_among, new_flyers, new_places, place_lists
-from leafmill.operators.offers import explode_offers, flyer_rows, offer_rows
+from leafmill.operators.offers import dated_offers, explode_offers, flyer_dates, flyer_rows
 from leafmill.operators.types import with_types
+from leafmill.session import adaptive
 from leafmill.sources import tables
 from leafmill.sources.messages import parse_messages, with_arrival, write_queue
 from leafmill.streaming.fold import COMPLETE, INCOMPLETE, fold_stream
@@ -231,24 +232,24 @@ def publish_batch(batch: DataFrame, batch_id: int, store: Store, terms: Terms =
     """Write the flyers a batch completed, with their offers, and those it gave up on.
 
     The offers wait in staging. The fold tells which copy of each chunk it counted, so just those
-    copies' offers are read, from the folders of the batches that staged them. With ``terms``, an
+    copies' offers are read, from the folders of the batches that staged them. A copy brings the
+    flyer's dates along, so the offers are joined, and shuffled, once. With ``terms``, an
     offer without a type gets that of the longest term in its name.
     """
     spark = batch.sparkSession
-    folded = batch.persist()
+    folded = flyer_rows(batch, keep=("status", "chunks_seen", "copies")).persist()
     try:
-        complete = folded.filter(F.col("status") == COMPLETE)
-        flyers = flyer_rows(complete)
-        copies = complete.select("checksum", F.explode("copies").alias("c")).select(
-            "checksum", "c.chunk_n", F.col("c.staged_batch").alias("batch_id")
+        flyers = folded.filter(F.col("status") == COMPLETE)
+        copies = flyers.select("checksum", *flyer_dates(), F.explode("copies").alias("c")).select(
+            F.col("c.staged_batch").alias("batch_id"), "checksum", "c.chunk_n", "_flyer_from", "_flyer_to"
         )
         folded.count()  # from here on Spark knows its size
         staged = store.staging(spark).select("batch_id", "checksum", "chunk_n", "offers_data")
-        wanted = staged.join(copies, ["batch_id", "checksum", "chunk_n"], "left_semi").drop("batch_id")
-        offers = explode_offers(wanted)
+        wanted = staged.join(copies, ["batch_id", "checksum", "chunk_n"])
+        offers = explode_offers(wanted, "_flyer_from", "_flyer_to")
         if terms is not None:
             offers = with_types(offers, terms(spark) if callable(terms) else terms)
-        tables.commit_batch(offer_rows(offers, flyers), store.path("offers"), batch_id)
+        tables.commit_batch(dated_offers(offers), store.path("offers"), batch_id)
         gone = folded.filter(F.col("status") == INCOMPLETE)
         tables.commit_batch(gone.select(*schemas.INCOMPLETE.fieldNames()), store.path("incomplete"), batch_id)
         tables.upsert_batch(flyers, store.path("flyers"), schemas.FLYERS, "checksum", batch_id, store.flyer_parts)
@@ -264,10 +265,15 @@ def start_fold(chunks: DataFrame, store: Store, once: bool = False, terms: Terms
 
     ``terms``: a table of product types (see ``operators.types``), or a function that reads it per batch.
     """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            publish_batch(batch, batch_id, store, terms)
+
     return (
         _start(fold_stream(chunks, **fold_options), "fold", store, once)
         .queryName("fold")
-        .foreachBatch(lambda batch, batch_id: publish_batch(batch, batch_id, store, terms))
+        .foreachBatch(publish)
         .start()
     )
 

@@ -219,6 +219,36 @@ def test_a_standing_query_gives_up_on_a_flyer(spark):
     assert [(r["checksum"], r["chunks_seen"], r["chunk_total"]) for r in gone] == [("a", 1, 2)]
 
 
+def test_offers_of_a_batch_are_joined_once_and_adaptively(spark, monkeypatch):
+    session = streaming_session(spark, drain=True)
+    store = flow.Store(scratch_dir(spark, "test-joined-once"))
+    store.create(session)
+    staging = flow.schemas.STAGING
+    offer = {f.name: None for f in flow.schemas.OFFER.fields} | {"name": "pane", "category": "Bevande"}
+    row = dict.fromkeys(staging.fieldNames()) | {"checksum": "a", "chunk_total": 3, "fetch_status": "ok"}
+    chunks = [
+        row | {"chunk_n": 0, "validity_from": "2025-06-28", "validity_to": "giugno 2025", "offers_data": [offer, offer | {"validity_to": "2025-07-02"}]},
+        row | {"chunk_n": 1, "offers_data": [offer | {"validity_from": "luglio 2025"}]},
+        row | {"chunk_n": 2, "offers_data": []},
+    ]
+    rows = spark.createDataFrame([tuple(chunk.values()) for chunk in chunks], staging)
+    tables.commit_batch(rows, store.path("staging"), 0)
+    plans, commit = [], tables.commit_batch
+
+    def seen(rows, path, batch_id, *partitions, **options):
+        if path == store.path("offers"):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return commit(rows, path, batch_id, *partitions, **options)
+
+    monkeypatch.setattr(tables, "commit_batch", seen)
+    flow.finish(flow.start_fold(flow.staged_chunks(session, store), store, once=True))
+    assert len(plans) == 1 and plans[0].count("Join") == 1 and "AdaptiveSparkPlan" in plans[0]
+    found = flow.offers_view(spark, store, with_places=False).orderBy("chunk_n", "offer_n").select(
+        "chunk_n", "offer_n", *[F.date_format(c, "MM-dd") for c in ("validity_from", "validity_to")]
+    )
+    assert [tuple(r) for r in found.collect()] == [(0, 0, "06-28", "06-30"), (0, 1, "06-28", "07-02"), (1, 0, "07-01", "06-30")]
+
+
 def test_retry_waits_and_gives_up():
     calls = []
 

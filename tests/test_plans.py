@@ -78,6 +78,16 @@ def test_a_batch_reads_the_content_of_its_days(spark):
     messages.unpersist()
 
 
+def test_a_text_is_cut_into_pages_once(spark):
+    from leafmill.operators.chunking import split_chunks
+
+    text = "\n".join(str(n) for n in range(12))
+    chunks = split_chunks(spark.createDataFrame([("a", text)], "checksum string, content string"), outer=True)
+    plan = explained(chunks)
+    assert plan.count("split(") == 1 and "slice(lambda" in plan
+    assert [(r["chunk_n"], len(r["chunk"])) for r in chunks.collect()] == [(0, 5), (1, 5), (2, 2)]
+
+
 def test_a_batch_reads_the_registry_of_its_prefixes(spark):
     from leafmill import schemas
     from leafmill.session import scratch_dir, streaming_session
