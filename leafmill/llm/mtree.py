@@ -4,6 +4,9 @@ The greatest inner products are the nearest vectors once every vector has one mo
 brings it to the norm of the longest (and queries 0 there): then d(q, x)^2 = M^2 + |q|^2 - 2 q.x.
 That distance is a metric, so a node's covering radius bounds all below it, and stored distances to
 the parent tell by the triangle inequality which distances need not be computed at all.
+
+Many queries walk a tree together: a page is read once for those whose bounds reach it, and their
+distances to its vectors are one matrix product.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ import numpy as np
 from leafmill.llm.exact_vectors import as_integers, as_longs
 
 PAGE, FANOUT = 256, 32
+# Queries that walk a tree together.
+STRIP = 1024
 # Bounds are compared with this slack, as a share of the longest distance: more than rounding can add up to.
 SLACK = 1e-6
 
@@ -34,12 +39,13 @@ class Node:
 
 @dataclass
 class Tree:
-    """``nodes[0]`` is the root; ``norm`` is the greatest squared norm."""
+    """``nodes[0]`` is the root; ``norm`` is the greatest squared norm. Counted are distances computed and spared, and pages read."""
 
     nodes: list[Node]
     norm: float
     computed: int = field(default=0, compare=False)
     spared: int = field(default=0, compare=False)
+    reads: int = field(default=0, compare=False)
 
 
 def lift(vectors: np.ndarray, norm: float) -> np.ndarray:
@@ -107,59 +113,115 @@ def _search_all(tree: Tree, query: np.ndarray, own_id: int, k: int):
     return scores, ids
 
 
-def search(tree: Tree, query: np.ndarray, own_id: int, k: int, least: int | None = None, exact: bool = True):
-    """``(scores, ids)``: the tree's first ``k`` by inner product, then smaller id, without ``own_id``.
-
-    ``least``: rows that score below are not wanted. ``exact``: doubles hold all products exactly;
-    if they don't, nothing is spared, and products are made of Python integers.
-    """
-    if not exact:
-        return _search_all(tree, query, own_id, k)
-    scores, ids = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    if not tree.nodes:
-        return scores, ids
-    base = tree.norm + float(query @ query)
-    slack = SLACK * (math.sqrt(tree.norm) + math.sqrt(float(query @ query)))
-
-    def reach(score: int | None) -> float:
-        return math.inf if score is None else math.sqrt(max(0.0, base - 2.0 * score)) + slack
-
-    limit = reach(least)
-    heap = [(0.0, 0, math.nan)]
+class _Best:
+    """The first ``k`` hits of each query, and the least score (then greatest id) that another must have."""
+
+    def __init__(self, least: np.ndarray, k: int):
+        self.k, self.least = k, least
+        self.below = np.full(len(least), np.iinfo(np.int64).max)
+        self.hits = (np.empty(0, np.int64),) * 3
+        self.more: list[tuple] = []
+        self.waiting = 0
+
+    def add(self, at: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> bool:
+        """Whether the least scores were brought up to date, which is put off until it pays."""
+        low = self.least[at]
+        wanted = (scores > low) | ((scores == low) & (ids < self.below[at]))
+        self.more.append((at[wanted], scores[wanted].astype(np.int64), ids[wanted]))
+        self.waiting += len(self.more[-1][0])
+        if self.waiting < self.k * len(self.least):
+            return False
+        self.settle()
+        return True
+
+    def settle(self) -> None:
+        at, scores, ids = (np.concatenate(x) for x in zip(self.hits, *self.more, strict=True))
+        order = np.lexsort((ids, -scores, at))
+        at = at[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        order, at, place = order[place < self.k], at[place < self.k], place[place < self.k]
+        self.hits, self.more, self.waiting = (at, scores[order], ids[order]), [], 0
+        last = place == self.k - 1
+        self.least[at[last]], self.below[at[last]] = self.hits[1][last], self.hits[2][last]
+
+
+def _walk(tree: Tree, queries: np.ndarray, own_ids: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    own = np.einsum("ij,ij->i", queries, queries)
+    base = tree.norm + own
+    slack = SLACK * (math.sqrt(tree.norm) + np.sqrt(own))
+    asked = queries.astype(tree.nodes[0].vectors.dtype)
+    best = _Best(least, k)
+
+    def reach() -> np.ndarray:
+        return np.sqrt(np.maximum(0.0, base - 2.0 * best.least)) + slack
+
+    limit = reach()
+    # Queries without a least score first go down to one leaf each (False sorts before True).
+    everyone = np.arange(len(queries))
+    heap = [(bool(np.isfinite(least).all()), 0.0, 0, 0, everyone, np.zeros(len(queries)), None)]
+    pushed = 1
     while heap:
-        nearest, at, router_distance = heapq.heappop(heap)
-        if nearest > limit:
-            break
-        node = tree.nodes[at]
-        inside = node.radius if node.ids is None else 0.0
-        chosen = None
-        if not math.isnan(router_distance):
-            chosen = np.flatnonzero(np.abs(router_distance - node.parent_distance) - inside <= limit)
-            tree.spared += len(node.vectors) - len(chosen)
-            if not len(chosen):
-                continue
-            if len(chosen) == len(node.vectors):
-                chosen = None
-        found = (node.vectors if chosen is None else node.vectors[chosen]) @ query
-        tree.computed += len(found)
-        if node.ids is None:
-            far = np.sqrt(np.maximum(0.0, base - 2.0 * found))
-            radius, children = (node.radius, node.children) if chosen is None else (node.radius[chosen], node.children[chosen])
-            low = np.maximum(far - radius, nearest)
-            for i in np.flatnonzero(low <= limit):
-                heapq.heappush(heap, (float(low[i]), int(children[i]), float(far[i])))
+        later, _, _, page, at, nearest, router_distance = heapq.heappop(heap)
+        node = tree.nodes[page]
+        inside = node.radius if node.ids is None else np.zeros(len(node.vectors))
+        n_pairs = len(at) * len(node.vectors)
+        near = nearest <= limit[at]
+        chosen = np.arange(len(node.vectors))
+        if router_distance is not None:
+            low, high = router_distance - limit[at], router_distance + limit[at]
+            near &= (low <= (node.parent_distance + inside).max()) & (high >= (node.parent_distance - inside).min())
+            if near.any():
+                chosen = np.flatnonzero((node.parent_distance + inside >= low[near].min()) & (node.parent_distance - inside <= high[near].max()))
+        at, nearest = at[near], nearest[near]
+        tree.spared += n_pairs - len(at) * len(chosen)
+        if not len(at) or not len(chosen):
             continue
-        names = node.ids if chosen is None else node.ids[chosen]
-        found = as_longs(found)
-        wanted = names != own_id
-        if least is not None:
-            wanted &= found >= least
-        if not wanted.any():
+        # Vectors x queries.
+        found = node.vectors[chosen] @ asked[at].T
+        tree.computed += found.size
+        tree.reads += 1
+        if node.ids is None:
+            far = np.sqrt(np.maximum(0.0, base[at] - 2.0 * found.astype(np.float64)))
+            low = np.maximum(far - node.radius[chosen, None], nearest)
+            first = np.zeros(len(at), dtype=np.int64) - 1 if later else far.argmin(axis=0)
+            for i, child in enumerate(node.children[chosen].tolist()):
+                reached = low[i] <= limit[at]
+                for last, those in ((False, np.flatnonzero(reached & (first == i))), (True, np.flatnonzero(reached & (first != i)))):
+                    if len(those):
+                        heapq.heappush(heap, (last, float(low[i, those].min()), pushed, child, at[those], low[i, those], far[i, those]))
+                        pushed += 1
             continue
-        scores, ids = np.concatenate([scores, found[wanted]]), np.concatenate([ids, names[wanted]])
-        order = np.lexsort((ids, -scores))[:k]
-        scores, ids = scores[order], ids[order]
-        if len(scores) == k and (least is None or scores[-1] > least):
-            least = int(scores[-1])
-            limit = reach(least)
-    return scores, ids
+        row, column = np.divmod(np.flatnonzero(found >= best.least[at].astype(found.dtype)), len(at))
+        names, hit = node.ids[chosen][row], at[column]
+        other = names != own_ids[hit]
+        if best.add(hit[other], found[row, column][other], names[other]):
+            limit = reach()
+    best.settle()
+    return best.hits
+
+
+def search_many(tree: Tree, queries: np.ndarray, own_ids: np.ndarray, k: int, least: np.ndarray | None = None, exact: bool = True):
+    """``(at, scores, ids)``: for the query at each place, the tree's first ``k`` by inner product, then smaller id, without its own id.
+
+    ``least``: rows that score below a query's are not wanted; minus infinity for none. ``exact``: the
+    type of the tree's vectors holds all products exactly; if it doesn't, nothing is spared, and
+    products are made of Python integers.
+    """
+    found = [(np.empty(0, np.int64),) * 3]
+    if not exact:
+        for i, (query, name) in enumerate(zip(queries, own_ids.tolist(), strict=True)):
+            scores, ids = _search_all(tree, query, name, k)
+            found.append((np.full(len(ids), i), scores, ids))
+    elif tree.nodes:
+        low = np.full(len(queries), -np.inf) if least is None else least.astype(np.float64)
+        for start in range(0, len(queries), STRIP):
+            part = slice(start, start + STRIP)
+            at, scores, ids = _walk(tree, queries[part].astype(np.float64), own_ids[part], k, low[part])
+            found.append((at + start, scores, ids))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def search(tree: Tree, query: np.ndarray, own_id: int, k: int, least: int | None = None, exact: bool = True):
+    """``(scores, ids)``: as ``search_many``, for one query."""
+    low = None if least is None else np.array([least], dtype=np.float64)
+    return search_many(tree, query[None, :], np.array([own_id]), k, low, exact)[1:]

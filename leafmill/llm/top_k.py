@@ -21,12 +21,12 @@ from leafmill.llm.exact_vectors import blocks, bound, copied, dealt, extent, mat
 # The centroids are fitted on so many vectors at most, which come first by a hash of the id.
 SAMPLE_VECTORS = 20_000
 TREE_ROWS, MAX_CELLS, ROUNDS = 8192, 256, 6
-# Queries that meet a tree in one task.
-TOUR = 8192
+# Queries that meet a tree in one task, packed until a strip of them is searched.
+TOUR = 32_768
 
-PLACED = "size int, cell int, far double, vec_id bigint, v array<double>"
+PLACED = "size int, cell int, far double, vec_id bigint, v binary"
 PAGES = (
-    "size int, cell int, part int, node int, norm double, leaf boolean, vectors array<double>, parent_distance array<double>, "
+    "size int, cell int, part int, node int, norm double, leaf boolean, vectors binary, parent_distance array<double>, "
     "ids array<bigint>, radius array<double>, children array<int>"
 )
 FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -59,39 +59,52 @@ def _sizes_in(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield int(size), batch.filter(pa.array(sizes == size))
 
 
-def _place(rows: DataFrame, centroids: dict[int, np.ndarray]) -> DataFrame:
+def packed_type(top: float) -> np.dtype:
+    """The narrowest of four types that holds whole numbers up to ``top`` in absolute value."""
+    return np.dtype(next((t for t in ("<i1", "<i2", "<i4") if top <= np.iinfo(t).max), "<f8"))
+
+
+def _packed(rows: np.ndarray, kind: np.dtype) -> pa.Array:
+    return pa.array([row.tobytes() for row in rows.astype(kind)], pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray | pa.Array, size: int, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), size)
+
+
+def _place(rows: DataFrame, centroids: dict[int, np.ndarray], kind: np.dtype) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for size, part in _sizes_in(batch):
-                cell, far = np.zeros(part.num_rows, np.int32), np.full(part.num_rows, np.inf)
+                cell, far, data = np.zeros(part.num_rows, np.int32), np.full(part.num_rows, np.inf), matrix(part.column("v"), size)
                 if size in centroids:
-                    near, far = _nearest(matrix(part.column("v"), size), centroids[size])
+                    near, far = _nearest(data, centroids[size])
                     cell = near.astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("size"), pa.array(cell), pa.array(far), part.column("vec_id"), part.column("v")],
+                yield pa.RecordBatch.from_arrays([part.column("size"), pa.array(cell), pa.array(far), part.column("vec_id"), _packed(data, kind)],
                                                  names=["size", "cell", "far", "vec_id", "v"])
 
     return rows.select(F.size("v").alias("size"), "vec_id", "v").mapInArrow(run, PLACED)
 
 
-def _pages(group: pa.Table) -> pa.Table:
+def _pages(group: pa.Table, kind: np.dtype) -> pa.Table:
     """The nodes of the tree over one group of vectors, one row each."""
     size, cell, part = (group.column(c)[0].as_py() for c in TREE)
-    tree = mtree.build(group.column("vec_id").to_numpy(), matrix(group.column("v"), size))
+    tree = mtree.build(group.column("vec_id").to_numpy(), _unpacked(group.column("v"), size, kind).astype(np.float64))
     rows = [
         {
             "size": size, "cell": cell, "part": part, "node": at, "norm": tree.norm, "leaf": node.ids is not None,
-            "vectors": node.vectors.ravel(), "parent_distance": node.parent_distance, "ids": node.ids, "radius": node.radius,
+            "vectors": node.vectors.astype(kind).tobytes(), "parent_distance": node.parent_distance, "ids": node.ids, "radius": node.radius,
             "children": node.children,
         }
         for at, node in enumerate(tree.nodes)
     ]
     kinds = {"size": pa.int32(), "cell": pa.int32(), "part": pa.int32(), "node": pa.int32(), "norm": pa.float64(), "leaf": pa.bool_(),
-             "vectors": pa.list_(pa.float64()), "parent_distance": pa.list_(pa.float64()), "ids": pa.list_(pa.int64()),
+             "vectors": pa.binary(), "parent_distance": pa.list_(pa.float64()), "ids": pa.list_(pa.int64()),
              "radius": pa.list_(pa.float64()), "children": pa.list_(pa.int32())}
     return pa.Table.from_pylist(rows, pa.schema(kinds))
 
 
-def _tree(pages: pa.Table) -> mtree.Tree:
+def _tree(pages: pa.Table, packed: np.dtype, kind: type) -> mtree.Tree:
     pages = pages.sort_by("node")
     size, n = pages.column("size")[0].as_py(), pages.num_rows
 
@@ -99,27 +112,32 @@ def _tree(pages: pa.Table) -> mtree.Tree:
         value = pages.column(name)[at]
         return value.values.to_numpy(zero_copy_only=False) if value.is_valid else None
 
-    nodes = [
-        mtree.Node(array("vectors", i).reshape(-1, size) if size else np.zeros((len(array("parent_distance", i)), 0)),
-                   array("parent_distance", i), array("ids", i), array("radius", i), array("children", i))
-        for i in range(n)
-    ]
+    nodes = []
+    for i in range(n):
+        far = array("parent_distance", i)
+        vectors = np.frombuffer(pages.column("vectors")[i].as_py(), packed).reshape(len(far), size).astype(kind)
+        nodes.append(mtree.Node(vectors, far, array("ids", i), array("radius", i), array("children", i)))
     return mtree.Tree(nodes, pages.column("norm")[0].as_py())
 
 
-def _search(requests: DataFrame, pages: DataFrame, groups: int, keys: list[str], k: int, exact: bool) -> DataFrame:
+def _or_none(least: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Least scores as doubles, minus infinity for null."""
+    return least.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy()
+
+
+def _search(requests: DataFrame, pages: DataFrame, groups: int, keys: list[str], k: int, limit: int, packed: np.dtype) -> DataFrame:
+    """``limit``: no inner product, nor any part of one, is beyond it; ``packed``: the type of the packed vectors."""
+    exact = limit < 1 << 53
+    kind = np.float32 if limit < 1 << 24 else np.float64
+
     def run(asked: pa.Table, nodes: pa.Table) -> pa.Table:
-        out = [[], [], []]
+        names = scores = ids = np.empty(0, np.int64)
         if asked.num_rows and nodes.num_rows:
-            tree, size = _tree(nodes), asked.column("size")[0].as_py()
-            queries, least = matrix(asked.column("v"), size), asked.column("least").to_pylist()
-            for name, query, low in zip(asked.column("query_id").to_pylist(), queries, least, strict=True):
-                scores, ids = mtree.search(tree, query, name, k, low, exact)
-                out[0].append(np.full(len(ids), name, np.int64))
-                out[1].append(ids)
-                out[2].append(scores)
-        joined = [np.concatenate([np.empty(0, np.int64), *x]) for x in out]
-        return pa.table({name: pa.array(x) for name, x in zip(("query_id", "vec_id", "score"), joined, strict=True)})
+            names = asked.column("query_id").to_numpy()
+            queries = _unpacked(asked.column("v"), asked.column("size")[0].as_py(), packed)
+            at, scores, ids = mtree.search_many(_tree(nodes, packed, kind), queries, names, k, _or_none(asked.column("least")), exact)
+            names = names[at]
+        return pa.table({"query_id": pa.array(names, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.int64())})
 
     left, right = dealt(requests, groups, *keys), dealt(pages, groups, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, FOUND)
@@ -145,7 +163,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, factor: int = 64) -
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole(F.col("embedding"), factor).alias("v"))
     rows = stored(one_per_id(rows.filter("v is not null"), "vec_id"), "top-k-rows")
     n, top, longest = extent(rows, "v")
-    exact = bound(top, longest) < 1 << 53
+    limit = bound(top, longest)
+    exact = limit < 1 << 53
+    packed = packed_type(top)
 
     # Centroids for each length of vectors in the sample; rows of a length that it lacks share a cell without bound.
     sample = hashed_sample(rows, "vec_id", SAMPLE_VECTORS).select("v").toArrow().column("v").to_pylist()
@@ -155,25 +175,31 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, factor: int = 64) -
     cells = min(MAX_CELLS, max(1, n // TREE_ROWS))
     centroids = {size: centroids_of(np.array(part).reshape(len(part), size), max(1, cells * len(part) // len(sample))) for size, part in by_size.items()}
 
-    placed = stored(_place(rows, centroids), "top-k-cells")
+    placed = stored(_place(rows, centroids, packed), "top-k-cells")
     is_asked = F.coalesce(is_query, F.lit(False))
     measured = placed.groupBy("size", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.count_if(is_asked).alias("asked"))
     # One row per cell of the sampled lengths, and one per further length.
-    summary = stored(measured.withColumn("parts", F.ceil(F.col("n") / TREE_ROWS).cast("int")), "top-k-summary")
+    measured = measured.withColumn("parts", F.ceil(F.col("n") / TREE_ROWS).cast("int"))
+    summary = stored(measured.withColumn("turns", F.ceil(F.col("asked") / F.col("parts") / TOUR).cast("int")), "top-k-summary")
     counts = summary.filter(F.col("size").isin(list(centroids))).collect()
     cell = ["size", "cell"]
     pages = placed.join(summary.select(*cell, "parts"), cell)
     pages = pages.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(41)), F.col("parts")).cast("int"))
     n_trees = sum(r["parts"] for r in counts) or 1
-    pages = stored(dealt(pages.select(*TREE, "vec_id", "v"), n_trees, *TREE).groupBy(*TREE).applyInArrow(_pages, PAGES), "top-k-pages")
+    pages = stored(dealt(pages.select(*TREE, "vec_id", "v"), n_trees, *TREE).groupBy(*TREE).applyInArrow(lambda group: _pages(group, packed), PAGES), "top-k-pages")
 
     tours = blocks(sum(r["asked"] for r in counts), TOUR)
     queries = placed.filter(is_asked).select(*cell, F.col("vec_id").alias("query_id"), "v").withColumn("tour", numbered("query_id", tours))
-    at_home = queries.join(summary.select(*cell, "parts"), cell).withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(43)), F.col("parts")).cast("int"))
+    at_home = queries.join(summary.select(*cell, "parts", "turns"), cell)
+    at_home = at_home.withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(43)), F.col("parts")).cast("int"))
     at_home = at_home.withColumn("least", F.lit(None).cast("bigint"))
     keys = [*TREE, "tour"]
-    by_tour = copied(pages, "tour", tours)
-    home = stored(_search(at_home.drop("parts"), by_tour, n_trees * tours, keys, k, exact), "top-k-home")
+    # At home a tree meets the queries of its own cell only, in few turns: its pages are copied for these, not for all tours.
+    in_turns = at_home.withColumn("tour", F.pmod(F.xxhash64("query_id", F.lit(47)), F.col("turns")).cast("int")).drop("parts", "turns")
+    by_turn = pages.join(summary.filter("turns > 0").select(*cell, "turns"), cell)
+    by_turn = by_turn.withColumn("tour", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+    home_groups = sum(r["parts"] * r["turns"] for r in counts) or 1
+    home = stored(_search(in_turns, by_turn, home_groups, keys, k, limit, packed), "top-k-home")
     kth = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     kth = kth.select("query_id", F.when(F.col("n") >= k, F.col("least")).alias("least"))
 
@@ -184,8 +210,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, factor: int = 64) -
     def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for size, part in _sizes_in(batch):
-                asked = matrix(part.column("v"), size)
-                least = np.array([-np.inf if x is None else float(x) for x in part.column("least").to_pylist()])
+                asked = _unpacked(part.column("v"), size, packed).astype(np.float64)
+                least = _or_none(part.column("least"))
                 own_cell, own_part = part.column("cell").to_numpy(), part.column("part").to_numpy()
                 norms = np.sqrt(np.einsum("ij,ij->i", asked, asked))
                 for c, n_parts, radius in parts.get(size) or [(0, part.column("parts")[0].as_py(), np.inf)]:
@@ -204,7 +230,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, factor: int = 64) -
                                 names=["size", "cell", "part", "tour", "query_id", "v", "least"],
                             )
 
-    asked = at_home.drop("least").join(kth, "query_id", "left").select(*keys, "query_id", "v", "least", "parts")
-    away = asked.mapInArrow(elsewhere, "size int, cell int, part int, tour int, query_id bigint, v array<double>, least bigint")
-    found = home.unionByName(_search(away, by_tour, n_trees * tours, keys, k, exact))
+    asked = at_home.drop("least", "turns").join(kth, "query_id", "left").select(*keys, "query_id", "v", "least", "parts")
+    away = asked.mapInArrow(elsewhere, "size int, cell int, part int, tour int, query_id bigint, v binary, least bigint")
+    found = home.unionByName(_search(away, copied(pages, "tour", tours), n_trees * tours, keys, k, limit, packed))
     return _first(found, k).select("query_id", "rank", "vec_id", "score")

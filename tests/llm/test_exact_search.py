@@ -132,6 +132,40 @@ def test_triangle_bounds_spare_distances():
                     mtree.lift(tree.nodes[child].vectors, tree.norm) - mtree.lift(router[None], tree.norm), axis=1))
 
 
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+@pytest.mark.parametrize("wide", [1.0, 0.01])
+def test_queries_walk_a_tree_together(monkeypatch, kind, wide):
+    monkeypatch.setattr(mtree, "STRIP", 300)
+    rng = np.random.default_rng(8)
+    data = np.floor((rng.normal(size=(8, 16))[rng.integers(8, size=4000)] * (wide < 1) + rng.normal(size=(4000, 16)) * wide) * 20)
+    data[3000:3900] = data[0]  # ties, more than a page of them
+    ids = rng.permutation(9000)[:4000]
+    tree = mtree.build(ids, data)
+    for node in tree.nodes:
+        node.vectors = node.vectors.astype(kind)
+    asked, k = np.arange(0, 4000, 5), 7
+    least = np.where(asked % 2 == 0, -np.inf, np.sort(data[asked] @ data.T, axis=1)[:, -5])
+    at, scores, found = mtree.search_many(tree, data[asked], ids[asked], k, least)
+    want = []
+    for i, q in enumerate(asked):
+        scored = sorted((-int(s), int(x)) for s, x in zip(data[q] @ data.T, ids, strict=True) if x != ids[q] and s >= least[i])
+        want += [(i, -s, x) for s, x in scored[:k]]
+    assert sorted(zip(at.tolist(), scores.tolist(), found.tolist(), strict=True)) == sorted(want)
+    # A strip of queries reads a page at most as often as there are levels above and with it, not once for each query.
+    levels = {0: 1}
+    for i, node in enumerate(tree.nodes):
+        levels.update((int(c), levels[i] + 1) for c in (node.children if node.children is not None else []))
+    assert 0 < tree.reads <= 3 * sum(levels.values()) < len(asked)
+
+
+def test_vectors_are_packed_without_loss():
+    for top, width in ((0, 1), (127, 1), (128, 2), (32767, 2), (32768, 4), (2**31 - 1, 4), (2**31, 8), (1e200, 8)):
+        rows = np.array([[top, -top, 0.0], [1.0, -top, top]])
+        kind = top_k.packed_type(top)
+        assert kind.itemsize == width and (top_k._unpacked(top_k._packed(rows, kind), 3, kind) == rows).all()
+    assert top_k._unpacked(top_k._packed(np.zeros((4, 0)), np.dtype("<i1")), 0, np.dtype("<i1")).shape == (4, 0)
+
+
 def test_packing_and_lookups_are_exact():
     rng = np.random.default_rng(4)
     for top, dims in ((1, 3), (255, 64), (256, 9), (10**6, 8)):
