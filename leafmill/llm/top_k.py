@@ -21,6 +21,9 @@ from leafmill.llm.exact_vectors import blocks, bound, copied, dealt, extent, mat
 # The centroids are fitted on so many vectors at most, which come first by a hash of the id.
 SAMPLE_VECTORS = 20_000
 TREE_ROWS, MAX_CELLS, ROUNDS = 8192, 256, 6
+# Every tree gets a copy of each query that may find rows there, so larger tables have larger trees, not more of them, until
+# the vectors of a tree have so many components.
+TREES, TREE_NUMBERS = 32, 1 << 22
 # Queries that meet a tree in one task, packed until a strip of them is searched.
 TOUR = 32_768
 
@@ -59,6 +62,11 @@ def _sizes_in(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
         yield int(size), batch.filter(pa.array(sizes == size))
 
 
+def tree_rows(n: int, longest: int) -> int:
+    """The most vectors of a tree for a table of ``n`` whose longest has so many components."""
+    return max(TREE_ROWS, min(n // TREES, TREE_NUMBERS // max(1, longest)))
+
+
 def packed_type(top: float) -> np.dtype:
     """The narrowest of four types that holds whole numbers up to ``top`` in absolute value."""
     return np.dtype(next((t for t in ("<i1", "<i2", "<i4") if top <= np.iinfo(t).max), "<f8"))
@@ -172,14 +180,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, factor: int = 64) -
     by_size: dict[int, list] = {}
     for v in sample:
         by_size.setdefault(len(v), []).append(v)
-    cells = min(MAX_CELLS, max(1, n // TREE_ROWS))
+    per_tree = tree_rows(n, longest)
+    cells = min(MAX_CELLS, max(1, n // per_tree))
     centroids = {size: centroids_of(np.array(part).reshape(len(part), size), max(1, cells * len(part) // len(sample))) for size, part in by_size.items()}
 
     placed = stored(_place(rows, centroids, packed), "top-k-cells")
     is_asked = F.coalesce(is_query, F.lit(False))
     measured = placed.groupBy("size", "cell").agg(F.count("*").alias("n"), F.max("far").alias("radius"), F.count_if(is_asked).alias("asked"))
     # One row per cell of the sampled lengths, and one per further length.
-    measured = measured.withColumn("parts", F.ceil(F.col("n") / TREE_ROWS).cast("int"))
+    measured = measured.withColumn("parts", F.ceil(F.col("n") / per_tree).cast("int"))
     summary = stored(measured.withColumn("turns", F.ceil(F.col("asked") / F.col("parts") / TOUR).cast("int")), "top-k-summary")
     counts = summary.filter(F.col("size").isin(list(centroids))).collect()
     cell = ["size", "cell"]

@@ -158,6 +158,11 @@ def test_queries_walk_a_tree_together(monkeypatch, kind, wide):
     assert 0 < tree.reads <= 3 * sum(levels.values()) < len(asked)
 
 
+def test_trees_grow_with_the_table_within_bounds():
+    assert [top_k.tree_rows(n, 64) for n in (0, 50_000, 800_000, 1_600_000, 10**9)] == [8192, 8192, 25_000, 50_000, 65_536]
+    assert [top_k.tree_rows(10**9, size) for size in (256, 1024)] == [16_384, 8192]
+
+
 def test_vectors_are_packed_without_loss():
     for top, width in ((0, 1), (127, 1), (128, 2), (32767, 2), (32768, 4), (2**31 - 1, 4), (2**31, 8), (1e200, 8)):
         rows = np.array([[top, -top, 0.0], [1.0, -top, top]])
