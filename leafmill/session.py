@@ -51,6 +51,10 @@ def streaming_session(
     session.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "64MB")
     # Contents and offers meet narrow rows: these are hashed where a partition of them is small, the wide ones are not sorted.
     session.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+    # What a step of a micro-batch shuffled is no use to the next, which reads tables or what is persisted; it would stay until the driver collects garbage.
+    session.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    # RocksDB would reserve some 4 MB of disk for every state partition, far more than its state takes.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.session.timeZone"):
         session.conf.set(key, SETTINGS[key])
     partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")

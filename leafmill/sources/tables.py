@@ -63,7 +63,8 @@ def commit_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str, te
         return False
     attempt = f"{path}/{ATTEMPTS}/{batch_id}-{uuid.uuid4().hex}"
     writer = rows.write.partitionBy(*partitions) if partitions else rows.write
-    (writer.text if text else writer.parquet)(attempt)
+    # Batches are kept, and most of them is text: zstd takes two thirds of the space of Spark's default.
+    writer.text(attempt) if text else writer.option("compression", "zstd").parquet(attempt)
     files, written = _files(spark, attempt)
     if not files.rename(written, _files(spark, _folder(path, batch_id))[1]):
         raise OSError(f"batch {batch_id} could not be moved to {path}")

@@ -35,7 +35,7 @@ from leafmill.operators.extraction import split_valid
 from leafmill.operators.fold import fold_input
 from leafmill.operators.ingest import known_among, new_flyers, new_places, place_lists
 from leafmill.operators.offers import dated_offers, explode_offers, flyer_dates, flyer_rows
-from leafmill.operators.types import with_types
+from leafmill.operators.types import digest, fill_types, types_in_chunks
 from leafmill.session import adaptive
 from leafmill.sources import tables
 from leafmill.sources.messages import parse_messages, with_arrival, write_queue
@@ -45,6 +45,9 @@ from leafmill.streaming.progress import commit_counters, count_chunks, count_mes
 Extract = Callable[[DataFrame], DataFrame]
 Terms = DataFrame | Callable[[SparkSession], DataFrame] | None
 
+# What names a copy of a chunk in staging.
+CHUNK = ["batch_id", "checksum", "chunk_n"]
+
 
 @dataclass(frozen=True)
 class Store:
@@ -228,13 +231,23 @@ def staged_chunks(spark: SparkSession, store: Store, files_per_batch: int | None
     return count_chunks(fold_input(good.withColumnRenamed("batch_id", "staged_batch")))
 
 
+def _chunk_key() -> Column:
+    """What names a copy of a chunk, as 16 bytes: it travels with every name that is looked up."""
+    return digest(F.concat_ws("/", "batch_id", "chunk_n", "checksum")).alias("_chunk")
+
+
+def _publish_offers(chunks: DataFrame, store: Store, batch_id: int) -> None:
+    tables.commit_batch(dated_offers(explode_offers(chunks, "_flyer_from", "_flyer_to")), store.path("offers"), batch_id)
+
+
 def publish_batch(batch: DataFrame, batch_id: int, store: Store, terms: Terms = None) -> None:
     """Write the flyers a batch completed, with their offers, and those it gave up on.
 
     The offers wait in staging. The fold tells which copy of each chunk it counted, so just those
     copies' offers are read, from the folders of the batches that staged them. A copy brings the
     flyer's dates along, so the offers are joined, and shuffled, once. With ``terms``, an
-    offer without a type gets that of the longest term in its name.
+    offer without a type gets that of the longest term in its name, which is looked up where staging is read and
+    joins the chunk of its offer.
     """
     spark = batch.sparkSession
     folded = flyer_rows(batch, keep=("status", "chunks_seen", "copies")).persist()
@@ -244,12 +257,16 @@ def publish_batch(batch: DataFrame, batch_id: int, store: Store, terms: Terms =
             F.col("c.staged_batch").alias("batch_id"), "checksum", "c.chunk_n", "_flyer_from", "_flyer_to"
         )
         folded.count()  # from here on Spark knows its size
-        staged = store.staging(spark).select("batch_id", "checksum", "chunk_n", "offers_data")
-        wanted = staged.join(copies, ["batch_id", "checksum", "chunk_n"])
-        offers = explode_offers(wanted, "_flyer_from", "_flyer_to")
-        if terms is not None:
-            offers = with_types(offers, terms(spark) if callable(terms) else terms)
-        tables.commit_batch(dated_offers(offers), store.path("offers"), batch_id)
+        staged = store.staging(spark).select(*CHUNK, "offers_data")
+        if terms is None:
+            _publish_offers(staged.join(copies, CHUNK), store, batch_id)
+        else:
+            batches = [r["batch_id"] for r in copies.select("batch_id").distinct().collect()]
+            named = staged.filter(F.col("batch_id").isin(batches)).select(_chunk_key(), "offers_data")
+            with types_in_chunks(named, terms(spark) if callable(terms) else terms, "_chunk") as types:
+                wanted = named.join(copies.select("*", _chunk_key()), "_chunk").join(types, "_chunk", "left")
+                filled = fill_types(F.col("offers_data"), F.col("types"))
+                _publish_offers(wanted.withColumn("offers_data", filled), store, batch_id)
         gone = folded.filter(F.col("status") == INCOMPLETE)
         tables.commit_batch(gone.select(*schemas.INCOMPLETE.fieldNames()), store.path("incomplete"), batch_id)
         tables.upsert_batch(flyers, store.path("flyers"), schemas.FLYERS, "checksum", batch_id, store.flyer_parts)

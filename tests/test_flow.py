@@ -1,8 +1,11 @@
 """The whole flow: routing over two waves, failures, replays."""
 
+import glob
 import json
 import sys
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -327,3 +330,21 @@ def test_progress_log():
     row = SimpleNamespace(asDict=lambda: {"chunks": 3})
     log.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=1, numInputRows=3, observedMetrics={"chunks": row})))
     assert seen == [{"event": "progress", "batch_id": 1, "rows": 3, "chunks": {"chunks": 3}}]
+
+
+def test_a_finished_step_leaves_no_shuffle_files_and_batches_are_packed(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    session, path = streaming_session(spark), scratch_dir(spark, "test-cleanup")
+    before = shuffled()
+    tables.commit_batch(session.range(50_000).selectExpr("id", "cast(id as string) as s").repartition(3, "id"), path, 0)
+    wait = time.time() + 20
+    while shuffled() - before and time.time() < wait:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert tables.read_batches(spark, path, session.range(1).schema).count() == 50_000
+    (name, *_) = glob.glob(f"{path.removeprefix('file://')}/batch_id=0/*.parquet")
+    assert pq.ParquetFile(name).metadata.row_group(0).column(0).compression == "ZSTD"
